@@ -13,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.operators import lookup, stats
+from shelfrank.operators import lookup, state, stats
+from shelfrank.schemas import RATING_EVENT
 from shelfrank.plans import serving
 from shelfrank.session import scratch_path
 from shelfrank.sources import adapters, tables, text
@@ -103,6 +104,42 @@ def q_product_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out, "score")
 
 
+# ------------------------------------------------------------ rating state
+
+
+def q_recent_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return state.recent_n(adapters.ratings(spark, sf_dir), state.RECENT_RATINGS)
+
+
+def q_recent_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return state.recent_n(adapters.rating_events(spark, sf_dir), state.QUEUE_CAPACITY)
+
+
+def q_rating_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return state.upsert_ratings(adapters.ratings(spark, sf_dir), adapters.rating_events(spark, sf_dir))
+
+
+def q_log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text.parse_log_lines(adapters.log_lines(spark, sf_dir))
+
+
+def q_stream_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _bad = text.parse_event_messages(adapters.event_messages(spark, sf_dir))
+    return good
+
+
+def q_rating_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = adapters.rating_events(spark, sf_dir)
+    docs = e.select(F.to_json(F.struct(*e.columns)).alias("json"))
+    return docs.select(F.from_json("json", RATING_EVENT).alias("r")).select("r.*")
+
+
+def q_user_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return state.new_usernames(
+        adapters.registration_requests(spark, sf_dir), adapters.registered_users(spark, sf_dir)
+    )
+
+
 QUERIES: dict[str, Query] = {
     "load_products": q_load_products,
     "load_ratings": q_load_ratings,
@@ -116,4 +153,11 @@ QUERIES: dict[str, Query] = {
     "most_rated": q_most_rated,
     "product_info": q_product_info,
     "product_search": q_product_search,
+    "recent_n": q_recent_n,
+    "recent_queue": q_recent_queue,
+    "rating_upsert": q_rating_upsert,
+    "log_events": q_log_events,
+    "stream_parse": q_stream_parse,
+    "rating_json": q_rating_json,
+    "user_dedupe": q_user_dedupe,
 }

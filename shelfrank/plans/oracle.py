@@ -20,6 +20,13 @@ PRODUCTS = """products AS (
          replace(p_name, ' ', '|') || '|' || lower(p_type) AS tags
   FROM part)"""
 
+EVENTS = """ev AS (
+  SELECT event_id, CAST(user_id AS INTEGER) AS userId,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS productId,
+         round(least(10, greatest(1, ceil(value / 10))) / 2, 2) AS score,
+         CAST(floor(epoch(ts)) AS BIGINT) AS "timestamp"
+  FROM events)"""
+
 AVGS = """avgs AS (SELECT productId, avg(score) AS avg FROM ratings GROUP BY productId)"""
 
 MONTH = """strftime(make_timestamp(CASE WHEN "timestamp" >= 100000000000
@@ -93,3 +100,45 @@ SQL["product_search"] = (
     _with(RATINGS, PRODUCTS, AVGS, SERVED)
     + f"SELECT * FROM served WHERE regexp_matches(name, '{C.SEARCH_PATTERN}')"
 )
+
+SQL["recent_n"] = _with(RATINGS) + """SELECT userId, rank, productId, score,
+       CAST(productId AS VARCHAR) || ':' || CAST(score AS VARCHAR) AS entry
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY userId
+        ORDER BY "timestamp" DESC, productId, score DESC) AS INTEGER) AS rank FROM ratings)
+WHERE rank <= 20"""
+
+SQL["recent_queue"] = _with(EVENTS) + """SELECT userId, rank, productId, score,
+       CAST(productId AS VARCHAR) || ':' || CAST(score AS VARCHAR) AS entry
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY userId
+        ORDER BY "timestamp" DESC, event_id DESC) AS INTEGER) AS rank FROM ev)
+WHERE rank <= 40"""
+
+SQL["rating_upsert"] = _with(
+    RATINGS,
+    EVENTS,
+    """w AS (
+  SELECT userId, productId, score, "timestamp", 0 AS src, CAST(-1 AS BIGINT) AS seq FROM ratings
+  UNION ALL
+  SELECT userId, productId, score, "timestamp", 1 AS src, event_id AS seq FROM ev)""",
+) + """SELECT userId, productId, score, first_ts AS "timestamp" FROM (
+  SELECT userId, productId, score, min("timestamp") OVER (PARTITION BY userId, productId) AS first_ts,
+         row_number() OVER (PARTITION BY userId, productId
+                            ORDER BY "timestamp" DESC, src DESC, seq DESC, score DESC) AS rn
+  FROM w) WHERE rn = 1"""
+
+SQL["log_events"] = _with(EVENTS) + "SELECT * FROM ev"
+SQL["stream_parse"] = _with(EVENTS) + "SELECT * FROM ev"
+SQL["rating_json"] = _with(EVENTS) + "SELECT * FROM ev"
+
+JAVA_HASH = """CAST(CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END AS INTEGER)"""
+
+SQL["user_dedupe"] = (
+    """WITH req AS (SELECT c_name AS username FROM customer UNION ALL SELECT s_name FROM supplier),
+registered AS (SELECT c_name AS username FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)),
+fresh AS (SELECT DISTINCT username FROM req WHERE username IS NOT NULL
+          AND username NOT IN (SELECT username FROM registered)),
+hashed AS (SELECT username, list_reduce(list_transform(string_split(username, ''),
+             lambda c: CAST(ascii(c) AS BIGINT)), lambda a, c: (a * 31 + c) % 4294967296) AS h FROM fresh)
+"""
+    + f"SELECT username, {JAVA_HASH} AS userId FROM hashed"
+)
