@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.operators import lookup, state, stats
+from shelfrank.operators import lookup, similarity, state, stats, topk
 from shelfrank.schemas import RATING_EVENT
 from shelfrank.plans import serving
 from shelfrank.session import scratch_path
@@ -25,6 +25,10 @@ OUT_DIGITS = 6
 HOT_N = 100
 SEARCH_PATTERN = "^(red|blue) (bolt|widget)$|ring"
 PREVIEW_N = 10
+# No pair of the test embeddings reaches the production threshold 0.6; the
+# registered similarity queries use 0.2 (the operators default to 0.6).
+ITEM_SIM_THRESHOLD = 0.2
+ITEMCF_MIN_SUPPORT = 3
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -140,6 +144,70 @@ def q_user_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# -------------------------------------------------------------- similarity
+
+
+def _item_sims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.cosine_similarity(adapters.factors(spark, sf_dir), ITEM_SIM_THRESHOLD)
+
+
+def q_item_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_item_sims(spark, sf_dir), "sim")
+
+
+def q_product_recs_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ProductRecs table (productId, recs sorted by sim desc), read back exploded."""
+    ranked = similarity.rank_similar(_item_sims(spark, sf_dir))
+    nested = topk.nest(ranked, "productId", "simId", "sim", rank_col="rank")
+    long = topk.unnest(nested.withColumnRenamed("productId", "src"), "src")
+    out = long.select(
+        F.col("src").alias("productId"), "rank", F.col("productId").alias("simId"), F.col("score").alias("sim")
+    )
+    return rounded(out, "sim")
+
+
+def q_sim_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Similarity lists as a map per product, read back through map entries."""
+    sims = _item_sims(spark, sf_dir)
+    maps = sims.groupBy("productId").agg(F.map_from_entries(F.collect_list(F.struct("simId", "sim"))).alias("m"))
+    out = maps.select("productId", F.explode("m").alias("simId", "sim"))
+    return rounded(out, "sim")
+
+
+def q_factor_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = adapters.factors(spark, sf_dir)
+    return rounded(similarity.factor_top_k(f, f, similarity.MAX_RECS), "score")
+
+
+def _itemcf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.cooccurrence_similarity(
+        adapters.ratings(spark, sf_dir), ITEMCF_MIN_SUPPORT, similarity.MAX_RECS
+    )
+
+
+def q_itemcf_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_itemcf(spark, sf_dir).select("productId", "rank", "simId", "sim"), "sim")
+
+
+def q_content_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(similarity.content_similarity(adapters.products(spark, sf_dir)), "sim")
+
+
+def _serve_neighbours(spark: SparkSession, sf_dir: str, ranked: DataFrame) -> DataFrame:
+    r = adapters.ratings(spark, sf_dir)
+    nested = topk.nest(ranked, "productId", "simId", "sim", rank_col="rank")
+    out = serving.neighbours(nested, adapters.products(spark, sf_dir), stats.average_score(r))
+    return rounded(out, "score", "recScore")
+
+
+def q_similar_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _serve_neighbours(spark, sf_dir, _itemcf(spark, sf_dir))
+
+
+def q_content_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _serve_neighbours(spark, sf_dir, similarity.content_similarity(adapters.products(spark, sf_dir)))
+
+
 QUERIES: dict[str, Query] = {
     "load_products": q_load_products,
     "load_ratings": q_load_ratings,
@@ -160,4 +228,12 @@ QUERIES: dict[str, Query] = {
     "stream_parse": q_stream_parse,
     "rating_json": q_rating_json,
     "user_dedupe": q_user_dedupe,
+    "item_similarity": q_item_similarity,
+    "product_recs_nested": q_product_recs_nested,
+    "sim_map": q_sim_map,
+    "factor_topk": q_factor_topk,
+    "itemcf_recs": q_itemcf_recs,
+    "content_recs": q_content_recs,
+    "similar_products": q_similar_products,
+    "content_neighbors": q_content_neighbors,
 }

@@ -142,3 +142,71 @@ hashed AS (SELECT username, list_reduce(list_transform(string_split(username, ''
 """
     + f"SELECT username, {JAVA_HASH} AS userId FROM hashed"
 )
+
+# ------------------------------------------------------------- similarity
+# Brute force over all pairs: fine for an oracle at sf0.01.
+
+FACTORS = """f AS (SELECT CAST(vec_id AS INTEGER) AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"""
+
+ITEM_SIMS = f"""sims AS (
+  SELECT a.id AS productId, b.id AS simId, list_cosine_similarity(a.v, b.v) AS sim
+  FROM f a JOIN f b ON a.id <> b.id
+  WHERE list_dot_product(a.v, a.v) > 0 AND list_dot_product(b.v, b.v) > 0
+    AND list_cosine_similarity(a.v, b.v) > {C.ITEM_SIM_THRESHOLD})"""
+
+SQL["item_similarity"] = _with(FACTORS, ITEM_SIMS) + "SELECT productId, simId, round(sim, 6) AS sim FROM sims"
+
+SQL["sim_map"] = SQL["item_similarity"]
+
+SQL["product_recs_nested"] = _with(FACTORS, ITEM_SIMS) + """SELECT productId,
+  CAST(row_number() OVER (PARTITION BY productId ORDER BY round(sim, 9) DESC, simId) AS INTEGER) AS rank,
+  simId, round(sim, 6) AS sim FROM sims"""
+
+SQL["factor_topk"] = _with(
+    FACTORS,
+    """s AS (SELECT a.id AS userId, b.id AS productId, list_dot_product(a.v, b.v) AS score
+  FROM f a CROSS JOIN f b)""",
+    """r AS (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY round(score, 9) DESC, productId) AS rk
+  FROM s WHERE score > 0)""",
+) + "SELECT userId, CAST(rk AS INTEGER) AS rank, productId, round(score, 6) AS score FROM r WHERE rk <= 20"
+
+ITEMCF = [
+    RATINGS,
+    """up AS (SELECT DISTINCT userId, productId FROM ratings)""",
+    """n AS (SELECT productId, count(*) AS n FROM up GROUP BY productId)""",
+    f"""p AS (SELECT x.productId AS a, y.productId AS b, count(*) AS n_ab
+  FROM up x JOIN up y ON x.userId = y.userId AND x.productId < y.productId
+  GROUP BY 1, 2 HAVING count(*) >= {C.ITEMCF_MIN_SUPPORT})""",
+    """s AS (SELECT a, b, n_ab / sqrt(CAST(na.n AS DOUBLE) * nb.n) AS sim
+  FROM p JOIN n na ON na.productId = a JOIN n nb ON nb.productId = b)""",
+    """both_ AS (SELECT a AS productId, b AS simId, sim FROM s UNION ALL SELECT b, a, sim FROM s)""",
+    """r AS (SELECT *, CAST(row_number() OVER (PARTITION BY productId ORDER BY round(sim, 9) DESC, simId) AS INTEGER)
+  AS rank FROM both_)""",
+]
+
+SQL["itemcf_recs"] = _with(*ITEMCF) + "SELECT productId, rank, simId, round(sim, 6) AS sim FROM r WHERE rank <= 20"
+
+CONTENT = [
+    PRODUCTS,
+    """tok AS (SELECT productId, unnest(string_split(tags, '|')) AS tag FROM products)""",
+    """tf AS (SELECT productId, tag, count(*) AS tf FROM tok WHERE tag <> '' GROUP BY 1, 2)""",
+    """nd AS (SELECT count(DISTINCT productId) AS N FROM tf)""",
+    """idf AS (SELECT tag, ln((max(nd.N) + 1.0) / (count(*) + 1.0)) AS idf FROM tf, nd GROUP BY tag)""",
+    """w AS (SELECT productId, tag, tf * idf AS w FROM tf JOIN idf USING (tag))""",
+    """nrm AS (SELECT productId, sqrt(sum(w * w)) AS nrm FROM w GROUP BY 1 HAVING sum(w * w) > 0)""",
+    """dotp AS (SELECT x.productId AS a, y.productId AS b, sum(x.w * y.w) AS d
+  FROM w x JOIN w y ON x.tag = y.tag AND x.productId <> y.productId GROUP BY 1, 2)""",
+    """s AS (SELECT a AS productId, b AS simId, d / (na.nrm * nb.nrm) AS sim
+  FROM dotp JOIN nrm na ON na.productId = a JOIN nrm nb ON nb.productId = b WHERE d > 0)""",
+    """r AS (SELECT *, CAST(row_number() OVER (PARTITION BY productId ORDER BY round(sim, 9) DESC, simId) AS INTEGER)
+  AS rank FROM s)""",
+]
+
+SQL["content_recs"] = _with(*CONTENT) + "SELECT productId, rank, simId, round(sim, 6) AS sim FROM r WHERE rank <= 20"
+
+_NEIGHBOURS = """SELECT r.productId AS sourceId, r.rank, round(r.sim, 6) AS recScore, s.*
+FROM r JOIN served s ON s.productId = r.simId WHERE r.rank <= 20"""
+
+SQL["similar_products"] = _with(*ITEMCF, PRODUCTS, AVGS, SERVED) + _NEIGHBOURS
+
+SQL["content_neighbors"] = _with(*CONTENT, RATINGS, AVGS, SERVED) + _NEIGHBOURS
