@@ -13,11 +13,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.operators import lookup, similarity, state, stats, topk
+from shelfrank.operators import lookup, scoring, similarity, state, stats, topk
 from shelfrank.schemas import RATING_EVENT
 from shelfrank.plans import serving
 from shelfrank.session import scratch_path
 from shelfrank.sources import adapters, tables, text
+from shelfrank.streaming.recommender import StreamingRecommender
 
 OUT_DIGITS = 6
 
@@ -29,6 +30,8 @@ PREVIEW_N = 10
 # registered similarity queries use 0.2 (the operators default to 0.6).
 ITEM_SIM_THRESHOLD = 0.2
 ITEMCF_MIN_SUPPORT = 3
+STREAM_FILES = 4
+SERVE_N = 6
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -208,6 +211,88 @@ def q_content_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _serve_neighbours(spark, sf_dir, similarity.content_similarity(adapters.products(spark, sf_dir)))
 
 
+# ---------------------------------------------------------------- streaming
+
+
+def _stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.stream_scores(
+        adapters.rating_events(spark, sf_dir), _item_sims(spark, sf_dir), threshold=ITEM_SIM_THRESHOLD
+    )
+
+
+def q_stream_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history = adapters.rating_events(spark, sf_dir)
+    cands = scoring.candidates(scoring.latest_events(history), _item_sims(spark, sf_dir), history)
+    return rounded(cands, "sim")
+
+
+def q_stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_stream_scores(spark, sf_dir), "score")
+
+
+def _stream_recs_batch(spark: SparkSession, sf_dir: str, history: DataFrame | None = None) -> DataFrame:
+    history = history if history is not None else adapters.rating_events(spark, sf_dir)
+    return scoring.stream_recs(history, _item_sims(spark, sf_dir), threshold=ITEM_SIM_THRESHOLD)
+
+
+def q_stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structured Streaming run over the events, cut into STREAM_FILES
+    micro-batches (one file per trigger); returns the final recs table."""
+    base = scratch_path(spark, "stream")
+    src, sims_path = f"{base}/source", f"{base}/sims"
+    adapters.event_messages(spark, sf_dir).repartitionByRange(STREAM_FILES, "event_id").write.parquet(src)
+    tables.write_table(_item_sims(spark, sf_dir), sims_path)
+    rec = StreamingRecommender(spark, f"{base}/state", sims_path, threshold=ITEM_SIM_THRESHOLD)
+    rec.run_available(src, max_files_per_trigger=1)
+    return rounded(topk.unnest(rec.current_recs(), "userId", outer=True), "score")
+
+
+def q_upsert_user_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incremental refresh: lists from the first half of the events, then the
+    users touched by the second half get new lists (replace by userId)."""
+    events = adapters.rating_events(spark, sf_dir)
+    lo, hi = events.agg(F.min("timestamp"), F.max("timestamp")).first()
+    cut = (lo + hi) // 2
+    old = _stream_recs_batch(spark, sf_dir, events.where(F.col("timestamp") <= cut))
+    touched = events.where(F.col("timestamp") > cut).select("userId").distinct()
+    new = _stream_recs_batch(spark, sf_dir, events.join(touched, "userId", "left_semi"))
+    merged = state.replace_by_key(old, new, "userId")
+    return rounded(topk.unnest(merged, "userId", outer=True), "score")
+
+
+def q_serve_stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = adapters.ratings(spark, sf_dir)
+    out = serving.user_recs(
+        _stream_recs_batch(spark, sf_dir), adapters.products(spark, sf_dir), stats.average_score(r), SERVE_N
+    )
+    return rounded(out, "score", "recScore")
+
+
+def _factor_user_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = adapters.factors(spark, sf_dir)
+    return topk.nest(similarity.factor_top_k(f, f), "userId", "productId", "score", rank_col="rank")
+
+
+def q_serve_user_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = adapters.ratings(spark, sf_dir)
+    out = serving.user_recs(
+        _factor_user_recs(spark, sf_dir), adapters.products(spark, sf_dir), stats.average_score(r), SERVE_N
+    )
+    return rounded(out, "score", "recScore")
+
+
+def q_recs_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole user lists -> product rows in list order (rank kept)."""
+    r = adapters.ratings(spark, sf_dir)
+    out = serving.user_recs(
+        _factor_user_recs(spark, sf_dir),
+        adapters.products(spark, sf_dir),
+        stats.average_score(r),
+        similarity.MAX_RECS,
+    )
+    return rounded(out, "score", "recScore")
+
+
 QUERIES: dict[str, Query] = {
     "load_products": q_load_products,
     "load_ratings": q_load_ratings,
@@ -236,4 +321,11 @@ QUERIES: dict[str, Query] = {
     "content_recs": q_content_recs,
     "similar_products": q_similar_products,
     "content_neighbors": q_content_neighbors,
+    "stream_candidates": q_stream_candidates,
+    "stream_scores": q_stream_scores,
+    "stream_recs": q_stream_recs,
+    "upsert_user_recs": q_upsert_user_recs,
+    "serve_stream_recs": q_serve_stream_recs,
+    "serve_user_recs": q_serve_user_recs,
+    "recs_enrich": q_recs_enrich,
 }

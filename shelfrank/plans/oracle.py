@@ -210,3 +210,60 @@ FROM r JOIN served s ON s.productId = r.simId WHERE r.rank <= 20"""
 SQL["similar_products"] = _with(*ITEMCF, PRODUCTS, AVGS, SERVED) + _NEIGHBOURS
 
 SQL["content_neighbors"] = _with(*CONTENT, RATINGS, AVGS, SERVED) + _NEIGHBOURS
+
+# -------------------------------------------------------------- streaming
+
+STREAM = [
+    FACTORS,
+    ITEM_SIMS,
+    EVENTS,
+    """latest AS (SELECT userId, productId FROM (SELECT *, row_number() OVER (PARTITION BY userId
+  ORDER BY "timestamp" DESC, event_id DESC) AS rn FROM ev) WHERE rn = 1)""",
+    """rated AS (SELECT DISTINCT userId, productId FROM ev)""",
+    """nb AS (SELECT l.userId, s.simId AS productId, s.sim FROM latest l JOIN sims s ON s.productId = l.productId
+  WHERE NOT EXISTS (SELECT 1 FROM rated r WHERE r.userId = l.userId AND r.productId = s.simId))""",
+    """cand AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY userId
+  ORDER BY round(sim, 9) DESC, productId) AS INTEGER) AS rank FROM nb) WHERE rank <= 20)""",
+    """recent AS (SELECT userId, productId, score FROM (SELECT *, row_number() OVER (PARTITION BY userId
+  ORDER BY "timestamp" DESC, event_id DESC) AS rn FROM ev) WHERE rn <= 20)""",
+    f"""t AS (SELECT c.userId, c.productId AS q, s.sim, r.score FROM cand c
+  JOIN recent r ON r.userId = c.userId
+  JOIN sims s ON s.productId = c.productId AND s.simId = r.productId WHERE s.sim > {C.ITEM_SIM_THRESHOLD})""",
+    """agg AS (SELECT userId, q AS productId, avg(sim * score)
+     + log10(greatest(count(*) FILTER (WHERE score > 3), 1))
+     - log10(greatest(count(*) FILTER (WHERE score <= 3), 1)) AS score FROM t GROUP BY 1, 2)""",
+    """scored AS (SELECT userId, CAST(row_number() OVER (PARTITION BY userId ORDER BY round(score, 9) DESC, productId)
+  AS INTEGER) AS rank, productId, score FROM agg)""",
+]
+
+SQL["stream_candidates"] = _with(*STREAM) + "SELECT userId, rank, productId, round(sim, 6) AS sim FROM cand"
+
+SQL["stream_scores"] = _with(*STREAM) + "SELECT userId, rank, productId, round(score, 6) AS score FROM scored"
+
+SQL["stream_recs"] = _with(*STREAM) + """SELECT userId, rank, productId, round(score, 6) AS score FROM scored
+UNION ALL
+SELECT DISTINCT userId, CAST(NULL AS INTEGER), CAST(NULL AS INTEGER), CAST(NULL AS DOUBLE) FROM ev
+WHERE userId NOT IN (SELECT userId FROM scored)"""
+
+SQL["upsert_user_recs"] = SQL["stream_recs"]
+
+_USER_SERVE = """SELECT x.userId, x.rank, round(x.score, 6) AS recScore, s.*
+FROM {src} x JOIN served s ON s.productId = x.productId WHERE x.rank <= {n}"""
+
+SQL["serve_stream_recs"] = _with(*STREAM, RATINGS, PRODUCTS, AVGS, SERVED) + _USER_SERVE.format(
+    src="scored", n=C.SERVE_N
+)
+
+FACTOR_RECS = [
+    FACTORS,
+    """fs AS (SELECT a.id AS userId, b.id AS productId, list_dot_product(a.v, b.v) AS score
+  FROM f a CROSS JOIN f b)""",
+    """fr AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY userId
+  ORDER BY round(score, 9) DESC, productId) AS INTEGER) AS rank FROM fs WHERE score > 0) WHERE rank <= 20)""",
+]
+
+SQL["serve_user_recs"] = _with(*FACTOR_RECS, RATINGS, PRODUCTS, AVGS, SERVED) + _USER_SERVE.format(
+    src="fr", n=C.SERVE_N
+)
+
+SQL["recs_enrich"] = _with(*FACTOR_RECS, RATINGS, PRODUCTS, AVGS, SERVED) + _USER_SERVE.format(src="fr", n=20)
