@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.operators import lookup, scoring, similarity, state, stats, topk
+from shelfrank.operators import als, lookup, scoring, similarity, state, stats, topk
 from shelfrank.schemas import RATING_EVENT
 from shelfrank.plans import serving
 from shelfrank.session import scratch_path
@@ -32,6 +32,14 @@ ITEM_SIM_THRESHOLD = 0.2
 ITEMCF_MIN_SUPPORT = 3
 STREAM_FILES = 4
 SERVE_N = 6
+# ALS in the registered queries: a small rank keeps them quick; the operator
+# defaults are the production settings (rank 500, 10 iterations, 0.001).
+ALS_RANK = 10
+ALS_ITER = 10
+ALS_REG = 0.1
+ALS_GRID_RANKS = (5, 10)
+ALS_GRID_REGS = (0.1, 0.01)
+ALS_GRID_ITER = 5
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -293,6 +301,46 @@ def q_recs_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out, "score", "recScore")
 
 
+# ---------------------------------------------------------------------- ALS
+
+
+def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    lab = als.hash_split(adapters.ratings(spark, sf_dir))
+    return lab.where(F.col("split") == "train").drop("split"), lab.where(F.col("split") == "test").drop("split")
+
+
+def q_holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return als.hash_split(adapters.ratings(spark, sf_dir))
+
+
+def q_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RMSE of the product-mean predictor on the hold-out rows."""
+    train, test = _split(spark, sf_dir)
+    return rounded(als.rmse(test, als.product_mean_predictions(train, test)), "rmse")
+
+
+def q_als_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = _split(spark, sf_dir)
+    model = als.fit(train, ALS_RANK, ALS_ITER, ALS_REG)
+    return rounded(als.predict(model, test).select("userId", "productId", "score", "prediction"), "prediction")
+
+
+def q_als_user_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = als.fit(adapters.ratings(spark, sf_dir), ALS_RANK, ALS_ITER, ALS_REG)
+    return rounded(als.user_recs_long(model), "score")
+
+
+def q_als_item_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = als.fit(adapters.ratings(spark, sf_dir), ALS_RANK, ALS_ITER, ALS_REG)
+    return rounded(similarity.cosine_similarity(als.item_factors(model)), "sim")
+
+
+def q_als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = _split(spark, sf_dir)
+    grid = als.grid_search(train, test, ALS_GRID_RANKS, ALS_GRID_REGS, ALS_GRID_ITER)
+    return rounded(grid, "rmse")
+
+
 QUERIES: dict[str, Query] = {
     "load_products": q_load_products,
     "load_ratings": q_load_ratings,
@@ -328,4 +376,10 @@ QUERIES: dict[str, Query] = {
     "serve_stream_recs": q_serve_stream_recs,
     "serve_user_recs": q_serve_user_recs,
     "recs_enrich": q_recs_enrich,
+    "holdout_split": q_holdout_split,
+    "rmse": q_rmse,
+    "als_predict": q_als_predict,
+    "als_user_recs": q_als_user_recs,
+    "als_item_similarity": q_als_item_similarity,
+    "als_grid": q_als_grid,
 }

@@ -267,3 +267,21 @@ SQL["serve_user_recs"] = _with(*FACTOR_RECS, RATINGS, PRODUCTS, AVGS, SERVED) +
 )
 
 SQL["recs_enrich"] = _with(*FACTOR_RECS, RATINGS, PRODUCTS, AVGS, SERVED) + _USER_SERVE.format(src="fr", n=20)
+
+# -------------------------------------------------------------------- ALS
+# Model fits (als_predict, als_user_recs, als_item_similarity, als_grid) are
+# not reproducible in SQL: rows-only checks, plus invariants in tests/.
+
+LABELLED = """lab AS (SELECT *, CASE WHEN (((CAST(userId AS BIGINT) * 31 + productId) % 10) + 10) % 10 < 7
+  THEN 'train' ELSE 'test' END AS split FROM ratings)"""
+
+SQL["holdout_split"] = _with(RATINGS, LABELLED) + "SELECT * FROM lab"
+
+SQL["rmse"] = _with(
+    RATINGS,
+    LABELLED,
+    """means AS (SELECT productId, avg(score) AS prediction FROM lab WHERE split = 'train' GROUP BY productId)""",
+    """pred AS (SELECT DISTINCT t.userId, t.productId, m.prediction FROM lab t JOIN means m USING (productId)
+  WHERE t.split = 'test')""",
+    """j AS (SELECT t.score, p.prediction FROM lab t JOIN pred p USING (userId, productId) WHERE t.split = 'test')""",
+) + "SELECT round(sqrt(avg((prediction - score) * (prediction - score))), 6) AS rmse, count(*) AS n FROM j"
