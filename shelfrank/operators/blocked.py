@@ -103,15 +103,16 @@ def threshold_pairs(ids_a, ua, ids_b, ub, threshold: float, same: bool):
     same=True: a and b index the same block; only i < j is computed once and
     mirrored, and the diagonal is skipped.
     """
+    ids_a, ids_b = np.asarray(ids_a), np.asarray(ids_b)
     if len(ids_a) == 0 or len(ids_b) == 0:
-        return [], [], []
+        return ids_a[:0], ids_b[:0], np.zeros(0)
     s = ua @ ub.T
     mask = s > threshold
     if same:
         mask &= np.triu(np.ones_like(mask, dtype=bool), k=1)
     ia, ib = np.nonzero(mask)
     vals = s[ia, ib]
-    a, b = np.asarray(ids_a)[ia], np.asarray(ids_b)[ib]
+    a, b = ids_a[ia], ids_b[ib]
     return np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([vals, vals])
 
 
@@ -119,15 +120,16 @@ def row_top_k(ids_rows, ids_cols, s: np.ndarray, k: int, positive_only: bool, sl
     """Per row, a superset of its top-k columns by score: every column whose
     score is within `slack` of the row's k-th best (the exact rank, with
     rounding and id tie-break, is applied afterwards in Spark)."""
+    ids_rows, ids_cols = np.asarray(ids_rows), np.asarray(ids_cols)
     if s.size == 0:
-        return [], [], []
+        return ids_rows[:0], ids_cols[:0], np.zeros(0)
     if positive_only:
         s = np.where(s > 0, s, -np.inf)
     kk = min(k, s.shape[1])
     kth = -np.partition(-s, kk - 1, axis=1)[:, kk - 1]
     keep = (s >= (kth - slack)[:, None]) & np.isfinite(s)
     r, c = np.nonzero(keep)
-    return np.asarray(ids_rows)[r], np.asarray(ids_cols)[c], s[r, c]
+    return ids_rows[r], ids_cols[c], s[r, c]
 
 
 # ------------------------------------------------------------- operators
@@ -206,7 +208,8 @@ def cross_top_k(
         side = pdf["_side"].values
         lp, rp = pdf[side == 0], pdf[side == 1]
         if len(lp) == 0 or len(rp) == 0:
-            return pd.DataFrame({"a": [], "b": [], "score": []})
+            empty = np.zeros(0, dtype=np.int32)
+            return pd.DataFrame({"a": empty, "b": empty, "score": np.zeros(0)})
         s = dense_matrix(lp["_v"]) @ dense_matrix(rp["_v"]).T
         a, b, sc = row_top_k(lp["_id"].values, rp["_id"].values, s, k, positive_only)
         return pd.DataFrame({"a": a, "b": b, "score": np.asarray(sc, dtype=np.float64)})
