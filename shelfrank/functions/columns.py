@@ -56,9 +56,13 @@ def half_star(score) -> Column:
     return F.round(as_col(score).cast("double") / F.lit(2.0), 2)
 
 
+# Java's String.trim() strips every character <= U+0020.
+_JAVA_WHITESPACE = "".join(chr(i) for i in range(0x21))
+
+
 def java_trim(s) -> Column:
     """Java String.trim(): strip all characters <= U+0020 at both ends."""
-    return F.regexp_replace(as_col(s), r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return F.trim(as_col(s), F.lit(_JAVA_WHITESPACE))
 
 
 def java_string_hash(s) -> Column:

@@ -131,7 +131,10 @@ def content_similarity(
     products. Expansion is exact and bounded: for a product in profile p only
     the first k+1 profiles q by (sim desc, smallest product id of q) and, in
     each q, its k+1 smallest product ids can reach the top k (k other
-    products already precede anything later). Output (productId, rank, simId, sim).
+    products already precede anything later); of those, p keeps its best k+1,
+    and each product of p drops itself and keeps k. Every product meets at
+    most k+1 candidate rows, however many products share its profile.
+    Output (productId, rank, simId, sim).
     """
     w = tag_weights(products)
     prof_of = w.groupBy("productId").agg(
@@ -173,8 +176,10 @@ def content_similarity(
         members, "profile", k + 1, order=[F.col("productId").asc()], rank_col="_pr"
     ).select(F.col("profile").alias("b"), F.col("productId").alias("simId"))
     cand = top_q.join(first_ids, "b").select(F.col("a").alias("profile"), "simId", "sim")
+    # A product's top k is its profile's top k+1 without itself, so each
+    # profile's list is cut to k+1 before it meets the profile's products.
+    order = [rank_key("sim").desc(), F.col("simId").asc()]
+    cand = top_k_per_group(cand, "profile", k + 1, order=order, rank_col="_cr").drop("_cr")
     per_product = members.join(cand, "profile").where(F.col("productId") != F.col("simId"))
-    ranked = top_k_per_group(
-        per_product, "productId", k, order=[rank_key("sim").desc(), F.col("simId").asc()]
-    )
+    ranked = top_k_per_group(per_product, "productId", k, order=order)
     return ranked.select("productId", "rank", "simId", "sim")
