@@ -62,14 +62,19 @@ class StreamingRecommender:
     # ------------------------------------------------------------- batch step
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
-        good, bad = parse_event_messages(batch)
-        bad.write.mode("overwrite").parquet(os.path.join(self.rejected_dir, f"batch_id={batch_id}"))
-        good.write.mode("overwrite").parquet(os.path.join(self.history_dir, f"batch_id={batch_id}"))
+        # The batch feeds two writes (history, rejected): read and parse it once.
+        batch = batch.persist()
+        try:
+            good, bad = parse_event_messages(batch)
+            batch_history = os.path.join(self.history_dir, f"batch_id={batch_id}")
+            good.write.mode("overwrite").parquet(batch_history)
+            if not bad.isEmpty():
+                bad.write.mode("overwrite").parquet(os.path.join(self.rejected_dir, f"batch_id={batch_id}"))
+        finally:
+            batch.unpersist()
         spark = batch.sparkSession
         history = spark.read.parquet(self.history_dir).drop("batch_id")
-        touched = spark.read.parquet(os.path.join(self.history_dir, f"batch_id={batch_id}")).select(
-            "userId"
-        ).distinct()
+        touched = spark.read.parquet(batch_history).select("userId").distinct()
         user_history = history.join(touched, "userId", "left_semi")
         sims = spark.read.parquet(self.sims_path)
         recs = scoring.stream_recs(user_history, sims, self.k, self.n_recent, self.threshold)
