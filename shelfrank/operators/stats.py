@@ -52,3 +52,24 @@ def most_rated_list(counts: DataFrame, n: int) -> DataFrame:
     """Most rated first, then product id: top n (rank, productId, count)."""
     order = [F.col("count").desc(), F.col("productId").asc()]
     return top_n(counts, n, order).select("rank", "productId", "count")
+
+
+def monthly_rollup(ratings: DataFrame) -> DataFrame:
+    """One pass over the ratings: (productId, yearmonth, count, score_sum).
+
+    The all-time count and the average per product are sums over this table,
+    so the statistics job scans the rating history once instead of three times.
+    """
+    return (
+        ratings.select("productId", year_month("timestamp").alias("yearmonth"), "score")
+        .groupBy("productId", "yearmonth")
+        .agg(F.count("productId").alias("count"), F.sum("score").alias("score_sum"))
+    )
+
+
+def rate_more_from_rollup(rollup: DataFrame) -> DataFrame:
+    return rollup.groupBy("productId").agg(F.sum("count").alias("count"))
+
+
+def average_from_rollup(rollup: DataFrame) -> DataFrame:
+    return rollup.groupBy("productId").agg((F.sum("score_sum") / F.sum("count")).alias("avg"))

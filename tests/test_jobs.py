@@ -1,0 +1,36 @@
+from conftest import SF_SMALL, rows
+from pyspark.sql import functions as F
+
+from shelfrank.operators import stats
+from shelfrank.plans import jobs
+from shelfrank.session import scratch_path
+from shelfrank.sources import adapters
+
+
+def test_load_and_statistics_jobs(spark):
+    base = scratch_path(spark, "jobs")
+    adapters.product_lines(spark, SF_SMALL).write.text(f"{base}/in/products")
+    adapters.rating_lines(spark, SF_SMALL).write.text(f"{base}/in/ratings")
+    root = f"{base}/db"
+    jobs.load_job(spark, f"{base}/in/products", f"{base}/in/ratings", root)
+    jobs.statistics_job(spark, root)
+    r = adapters.ratings(spark, SF_SMALL)
+    read = lambda n: spark.read.parquet(f"{root}/{n}")
+    assert rows(read(jobs.RATE_MORE)) == rows(stats.rate_more(r))
+    assert rows(read(jobs.RATE_MORE_RECENTLY), "productId", "count", "yearmonth") == rows(stats.monthly_counts(r))
+    got = read(jobs.AVERAGE).select("productId", F.round("avg", 9))
+    exp = stats.average_score(r).select("productId", F.round("avg", 9))
+    assert rows(got) == rows(exp)
+
+
+def test_itemcf_and_content_jobs(spark):
+    base = scratch_path(spark, "jobs2")
+    root = f"{base}/db"
+    adapters.ratings(spark, SF_SMALL).write.parquet(f"{root}/{jobs.RATINGS}")
+    adapters.products(spark, SF_SMALL).write.parquet(f"{root}/{jobs.PRODUCTS}")
+    jobs.itemcf_job(spark, root)
+    jobs.content_job(spark, root)
+    for name in (jobs.ITEMCF_RECS, jobs.CONTENT_RECS):
+        t = spark.read.parquet(f"{root}/{name}")
+        assert t.count() > 0
+        assert t.where(F.size("recs") > 20).count() == 0
