@@ -8,7 +8,8 @@ a per-row top-k). So:
 
 * no cross join and no pair rows are materialised: a task holds at most two
   blocks and returns only results;
-* memory per task is bounded by 2 x block_rows x dim, whatever the data size;
+* memory per task is bounded by 2 x block_rows x dim for the vectors plus
+  CHUNK_ROWS x block_rows for scores, whatever the data size;
 * the work is spread over B(B+1)/2 (self) or Bl x Br (cross) tasks.
 
 Ids are unique per input (one vector per item), so hash blocks are balanced;
@@ -97,39 +98,58 @@ def unit_rows(m: np.ndarray) -> np.ndarray:
     return m / norms[:, None]
 
 
-def threshold_pairs(ids_a, ua, ids_b, ub, threshold: float, same: bool):
+# Rows of the left block multiplied at a time: the score matrix held in a task
+# is at most CHUNK_ROWS x block rows, however large the blocks are.
+CHUNK_ROWS = 1024
+
+
+def threshold_pairs(ids_a, ua, ids_b, ub, threshold: float, same: bool, chunk: int = CHUNK_ROWS):
     """Pairs (a, b, cos) with cos > threshold among unit rows; both directions.
 
     same=True: a and b index the same block; only i < j is computed once and
     mirrored, and the diagonal is skipped.
     """
     ids_a, ids_b = np.asarray(ids_a), np.asarray(ids_b)
-    if len(ids_a) == 0 or len(ids_b) == 0:
-        return ids_a[:0], ids_b[:0], np.zeros(0)
-    s = ua @ ub.T
-    mask = s > threshold
-    if same:
-        mask &= np.triu(np.ones_like(mask, dtype=bool), k=1)
-    ia, ib = np.nonzero(mask)
-    vals = s[ia, ib]
-    a, b = ids_a[ia], ids_b[ib]
-    return np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([vals, vals])
-
-
-def row_top_k(ids_rows, ids_cols, s: np.ndarray, k: int, positive_only: bool, slack: float = 1e-8):
-    """Per row, a superset of its top-k columns by score: every column whose
-    score is within `slack` of the row's k-th best (the exact rank, with
-    rounding and id tie-break, is applied afterwards in Spark)."""
+    out_a, out_b, out_s = [ids_a[:0]], [ids_b[:0]], [np.zeros(0)]
+    for start in range(0, len(ids_a), chunk):
+        s = ua[start : start + chunk] @ ub.T
+        mask = s > threshold
+        if same:
+            rows = np.arange(start, start + s.shape[0])[:, None]
+            mask &= np.arange(s.shape[1])[None, :] > rows
+        ia, ib = np.nonzero(mask)
+        vals = s[ia, ib]
+        a, b = ids_a[start + ia], ids_b[ib]
+        out_a += [a, b]
+        out_b += [b, a]
+        out_s += [vals, vals]
+    return np.concatenate(out_a), np.concatenate(out_b), np.concatenate(out_s)
+
+
+def row_top_k(
+    ids_rows, ids_cols, left: np.ndarray, right: np.ndarray, k: int, positive_only: bool,
+    slack: float = 1e-8, chunk: int = CHUNK_ROWS,
+):
+    """Per row of left @ right.T, a superset of its top-k columns by score:
+    every column whose score is within `slack` of the row's k-th best (the
+    exact rank, with rounding and id tie-break, is applied afterwards in
+    Spark)."""
     ids_rows, ids_cols = np.asarray(ids_rows), np.asarray(ids_cols)
-    if s.size == 0:
-        return ids_rows[:0], ids_cols[:0], np.zeros(0)
-    if positive_only:
-        s = np.where(s > 0, s, -np.inf)
-    kk = min(k, s.shape[1])
-    kth = -np.partition(-s, kk - 1, axis=1)[:, kk - 1]
-    keep = (s >= (kth - slack)[:, None]) & np.isfinite(s)
-    r, c = np.nonzero(keep)
-    return ids_rows[r], ids_cols[c], s[r, c]
+    out_r, out_c, out_s = [ids_rows[:0]], [ids_cols[:0]], [np.zeros(0)]
+    if len(ids_rows) == 0 or len(ids_cols) == 0:
+        return out_r[0], out_c[0], out_s[0]
+    kk = min(k, len(ids_cols))
+    for start in range(0, len(ids_rows), chunk):
+        s = left[start : start + chunk] @ right.T
+        if positive_only:
+            s = np.where(s > 0, s, -np.inf)
+        kth = -np.partition(-s, kk - 1, axis=1)[:, kk - 1]
+        keep = (s >= (kth - slack)[:, None]) & np.isfinite(s)
+        r, c = np.nonzero(keep)
+        out_r.append(ids_rows[start + r])
+        out_c.append(ids_cols[c])
+        out_s.append(s[r, c])
+    return np.concatenate(out_r), np.concatenate(out_c), np.concatenate(out_s)
 
 
 # ------------------------------------------------------------- operators
@@ -191,16 +211,22 @@ def cross_top_k(
     k: int,
     positive_only: bool = True,
     block_rows: int = DEFAULT_BLOCK_ROWS,
+    left_block_rows: int | None = None,
 ) -> DataFrame:
     """Candidates for the top-k right rows of every left row by dot product.
 
     Returns a superset (per left row and right block, everything within 1e-8
     of the block's k-th best); rank it with `top_k_per_group` for the exact
     top-k. Output: (a, b, score).
+
+    Shuffle volume is left rows x right blocks + right rows x left blocks, so
+    with many more users than items give the left side large blocks
+    (`left_block_rows`): the kernel multiplies in row chunks, so a large
+    block costs memory for its vectors only.
     """
     lv = left.select(F.col(left_id).cast("int").alias("_l"), F.col(vector_col).alias("_v"))
     rv = right.select(F.col(right_id).cast("int").alias("_r"), F.col(vector_col).alias("_v"))
-    nl = plan_blocks(lv, block_rows, min_blocks=1)
+    nl = plan_blocks(lv, left_block_rows or block_rows, min_blocks=1)
     nr = plan_blocks(rv, block_rows)
     rep = replicate_cross(lv, rv, "_l", "_r", nl, nr)
 
@@ -210,8 +236,9 @@ def cross_top_k(
         if len(lp) == 0 or len(rp) == 0:
             empty = np.zeros(0, dtype=np.int32)
             return pd.DataFrame({"a": empty, "b": empty, "score": np.zeros(0)})
-        s = dense_matrix(lp["_v"]) @ dense_matrix(rp["_v"]).T
-        a, b, sc = row_top_k(lp["_id"].values, rp["_id"].values, s, k, positive_only)
+        a, b, sc = row_top_k(
+            lp["_id"].values, rp["_id"].values, dense_matrix(lp["_v"]), dense_matrix(rp["_v"]), k, positive_only
+        )
         return pd.DataFrame({"a": a, "b": b, "score": np.asarray(sc, dtype=np.float64)})
 
     return rep.groupBy("_lb", "_rb").applyInPandas(kernel, schema="a int, b int, score double")

@@ -106,3 +106,17 @@ def test_content_top_k_matches_brute_force(spark):
         exp[a] = [(b, -s) for s, b in sorted(cands)[:k]]
     exp = {a: v for a, v in exp.items() if v}
     assert dict(got) == exp
+
+
+def test_kernels_chunked_equal_unchunked():
+    rng = np.random.default_rng(11)
+    a = rng.normal(size=(70, 5))
+    ua = a / np.linalg.norm(a, axis=1)[:, None]
+    ids = np.arange(70)
+    full = blocked.threshold_pairs(ids, ua, ids, ua, 0.2, same=True, chunk=1000)
+    small = blocked.threshold_pairs(ids, ua, ids, ua, 0.2, same=True, chunk=7)
+    assert sorted(zip(*[x.tolist() for x in full])) == sorted(zip(*[x.tolist() for x in small]))
+    b = rng.normal(size=(33, 5))
+    f2 = blocked.row_top_k(ids, np.arange(33), a, b, 4, True, chunk=1000)
+    s2 = blocked.row_top_k(ids, np.arange(33), a, b, 4, True, chunk=5)
+    assert sorted(zip(*[x.tolist() for x in f2])) == sorted(zip(*[x.tolist() for x in s2]))
