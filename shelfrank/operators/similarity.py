@@ -137,9 +137,15 @@ def content_similarity(
     Output (productId, rank, simId, sim).
     """
     w = tag_weights(products)
-    prof_of = w.groupBy("productId").agg(
-        F.array_sort(F.collect_list(F.struct("tag", "w"))).alias("vec")
-    ).withColumn("profile", F.sha2(F.to_json("vec"), 256))
+    # The per-product profile table feeds the block sizing count and four
+    # branches below: a reliable checkpoint (in spark.checkpoint.dir) computes
+    # it once and cuts the lineage.
+    prof_of = (
+        w.groupBy("productId")
+        .agg(F.array_sort(F.collect_list(F.struct("tag", "w"))).alias("vec"))
+        .withColumn("profile", F.sha2(F.to_json("vec"), 256))
+        .checkpoint()
+    )
     profiles = (
         prof_of.groupBy("profile")
         .agg(
