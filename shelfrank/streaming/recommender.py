@@ -3,8 +3,10 @@
     readStream (messages 'userId|productId|score|timestamp' + an ordering id)
       -> parse (bad messages dropped from scoring, kept in a side table)
       -> foreachBatch:
-           1. append the batch to the rating history (directory batch_id=<id>)
-           2. users touched by the batch: their full history (left semi join)
+           1. append the batch to the rating history (directory
+              batch_id=<id>/ub=<user bucket>)
+           2. users touched by the batch: their full history, read from the
+              touched user buckets only (partition pruning), left semi join
            3. score their latest events against the similarity table
            4. append their new lists to the recs log (directory batch_id=<id>)
 
@@ -35,6 +37,18 @@ from shelfrank.sources.text import parse_event_messages
 # Fixed value: the reference's micro-batch interval.
 BATCH_INTERVAL = "5 seconds"
 
+# History directories per batch are split by user bucket, so a batch reads
+# only the buckets of the users it touched (partition pruning). Size it to the
+# user base: with U users and batches touching T of them, about
+# n * (1 - (1 - 1/n) ** T) buckets are read; every bucket costs one file per
+# batch. The default suits small deployments and tests.
+USER_BUCKETS = 8
+
+
+def user_bucket(col: str, n: int):
+    return F.pmod(F.xxhash64(F.col(col)), F.lit(n)).cast("int")
+
+
 MESSAGE_SCHEMA = T.StructType(
     [T.StructField("event_id", T.LongType()), T.StructField("value", T.StringType())]
 )
@@ -49,8 +63,10 @@ class StreamingRecommender:
         k: int = scoring.MAX_SIM_PRODUCTS,
         n_recent: int = RECENT_RATINGS,
         threshold: float = scoring.SCORE_THRESHOLD,
+        user_buckets: int = USER_BUCKETS,
     ):
         self.spark = spark
+        self.user_buckets = user_buckets
         self.state_dir = state_dir
         self.sims_path = sims_path
         self.k, self.n_recent, self.threshold = k, n_recent, threshold
@@ -67,14 +83,19 @@ class StreamingRecommender:
         try:
             good, bad = parse_event_messages(batch)
             batch_history = os.path.join(self.history_dir, f"batch_id={batch_id}")
-            good.write.mode("overwrite").parquet(batch_history)
+            good.withColumn("ub", user_bucket("userId", self.user_buckets)).write.mode("overwrite").partitionBy(
+                "ub"
+            ).parquet(batch_history)
             if not bad.isEmpty():
                 bad.write.mode("overwrite").parquet(os.path.join(self.rejected_dir, f"batch_id={batch_id}"))
         finally:
             batch.unpersist()
         spark = batch.sparkSession
-        history = spark.read.parquet(self.history_dir).drop("batch_id")
-        touched = spark.read.parquet(batch_history).select("userId").distinct()
+        this_batch = spark.read.parquet(batch_history)
+        touched = this_batch.select("userId").distinct()
+        # At most `user_buckets` values: read only those history directories.
+        buckets = [r["ub"] for r in this_batch.select("ub").distinct().collect()]
+        history = spark.read.parquet(self.history_dir).where(F.col("ub").isin(buckets)).drop("batch_id", "ub")
         user_history = history.join(touched, "userId", "left_semi")
         sims = spark.read.parquet(self.sims_path)
         recs = scoring.stream_recs(user_history, sims, self.k, self.n_recent, self.threshold)
