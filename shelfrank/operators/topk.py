@@ -53,41 +53,55 @@ def top_n(df: DataFrame, n: int, order: list[Column], rank_col: str = "rank") ->
     return limited.withColumn(rank_col, F.row_number().over(w))
 
 
+# Fixed value: the most entries one nested row holds. Longer lists (uncapped
+# similarity lists) span several rows, so no single row or aggregation group
+# grows with the data.
+PAGE_SIZE = 1000
+
+
 def nest(
     df: DataFrame,
     key: str,
     item: str,
     score: str,
-    rank_col: str | None = "rank",
+    rank_col: str = "rank",
     out: str = "recs",
+    page_size: int | None = None,
 ) -> DataFrame:
-    """Long (key, item, score[, rank]) -> (key, recs ARRAY<STRUCT<productId, score>>).
+    """Long (key, item, score, rank) -> (key, recs ARRAY<STRUCT<productId, score>>),
+    the list ordered by rank.
 
-    The list is ordered by rank when a rank column is given, otherwise by
-    score descending then item id.
+    With `page_size`, a key's list is cut into pages of at most page_size
+    entries: rows (key, first_rank, recs). Use it for lists without a cap.
     """
-    if rank_col is not None:
-        entry = F.struct(F.col(rank_col).alias("_r"), F.col(item).alias("productId"), F.col(score).alias("score"))
-        sorted_ = F.array_sort(F.collect_list(entry))
-    else:
-        entry = F.struct(
-            (-rank_key(score)).alias("_r"), F.col(item).alias("productId"), F.col(score).alias("score")
-        )
-        sorted_ = F.array_sort(F.collect_list(entry))
-    recs = F.transform(sorted_, lambda e: F.struct(e["productId"].alias("productId"), e["score"].alias("score")))
-    return df.groupBy(key).agg(recs.alias(out))
+    entry = F.struct(F.col(rank_col).alias("_r"), F.col(item).alias("productId"), F.col(score).alias("score"))
+    recs = F.transform(
+        F.array_sort(F.collect_list(entry)),
+        lambda e: F.struct(e["productId"].alias("productId"), e["score"].alias("score")),
+    )
+    if page_size is None:
+        return df.groupBy(key).agg(recs.alias(out))
+    page = F.floor((F.col(rank_col) - 1) / F.lit(page_size))
+    return (
+        df.withColumn("_page", page)
+        .groupBy(key, "_page")
+        .agg(F.min(rank_col).alias("first_rank"), recs.alias(out))
+        .drop("_page")
+    )
 
 
 def unnest(df: DataFrame, key: str, recs: str = "recs", outer: bool = False) -> DataFrame:
-    """(key, recs) -> (key, rank, productId, score); rank is the 1-based list position.
+    """(key, recs) or paged (key, first_rank, recs) -> (key, rank, productId, score);
+    rank is the 1-based list position.
 
     With outer=True a key with an empty list keeps one row with nulls.
     """
     pe = F.posexplode_outer(recs) if outer else F.posexplode(recs)
-    exploded = df.select(key, pe.alias("_pos", "_rec"))
+    base = F.col("first_rank") if "first_rank" in df.columns else F.lit(1)
+    exploded = df.select(key, base.alias("_base"), pe.alias("_pos", "_rec"))
     return exploded.select(
         key,
-        (F.col("_pos") + 1).alias("rank"),
+        F.when(F.col("_rec").isNotNull(), F.col("_base") + F.col("_pos")).cast("int").alias("rank"),
         F.col("_rec.productId").alias("productId"),
         F.col("_rec.score").alias("score"),
     )

@@ -167,9 +167,10 @@ def q_item_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_product_recs_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ProductRecs table (productId, recs sorted by sim desc), read back exploded."""
+    """ProductRecs table: each product's whole neighbour list sorted by sim
+    desc, nested in pages of at most PAGE_SIZE entries; read back exploded."""
     ranked = similarity.rank_similar(_item_sims(spark, sf_dir))
-    nested = topk.nest(ranked, "productId", "simId", "sim", rank_col="rank")
+    nested = topk.nest(ranked, "productId", "simId", "sim", rank_col="rank", page_size=topk.PAGE_SIZE)
     long = topk.unnest(nested.withColumnRenamed("productId", "src"), "src")
     out = long.select(
         F.col("src").alias("productId"), "rank", F.col("productId").alias("simId"), F.col("score").alias("sim")
@@ -178,9 +179,13 @@ def q_product_recs_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_sim_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Similarity lists as a map per product, read back through map entries."""
-    sims = _item_sims(spark, sf_dir)
-    maps = sims.groupBy("productId").agg(F.map_from_entries(F.collect_list(F.struct("simId", "sim"))).alias("m"))
+    """Similarity lists as maps simId -> sim per product (pages of at most
+    PAGE_SIZE entries), read back through map entries."""
+    ranked = similarity.rank_similar(_item_sims(spark, sf_dir))
+    paged = ranked.withColumn("_page", F.floor((F.col("rank") - 1) / F.lit(topk.PAGE_SIZE)))
+    maps = paged.groupBy("productId", "_page").agg(
+        F.map_from_entries(F.collect_list(F.struct("simId", "sim"))).alias("m")
+    )
     out = maps.select("productId", F.explode("m").alias("simId", "sim"))
     return rounded(out, "sim")
 

@@ -81,7 +81,8 @@ def offline_job(
     tables.write_table(als.item_factors(model), factors_path)
     sims = similarity.cosine_similarity(tables.read_table(spark, factors_path), threshold)
     ranked = similarity.rank_similar(sims)
-    nested = topk.nest(ranked, "productId", "simId", "sim", rank_col="rank")
+    # Uncapped lists: nested in bounded pages (productId, first_rank, recs).
+    nested = topk.nest(ranked, "productId", "simId", "sim", rank_col="rank", page_size=topk.PAGE_SIZE)
     tables.write_table(nested, _path(root, PRODUCT_RECS), key="productId")
 
 

@@ -1,4 +1,5 @@
 from conftest import rows
+from pyspark.sql import functions as F
 
 from shelfrank.operators import lookup, topk
 from shelfrank.plans import serving
@@ -35,3 +36,14 @@ def test_search_is_unanchored_and_case_sensitive(spark):
     products = spark.createDataFrame([(1, "Red bolt", "", "", ""), (2, "red bolt", "", "", "")], PROD)
     averages = spark.createDataFrame([], "productId int, avg double")
     assert rows(lookup.search_by_name(products, averages, "^red"), "productId") == [(2,)]
+
+
+def test_paged_nest_roundtrip(spark):
+    long = spark.createDataFrame(
+        [(7, r, 100 + r, 1.0 / r) for r in range(1, 26)], "productId int, rank int, simId int, sim double"
+    )
+    paged = topk.nest(long, "productId", "simId", "sim", rank_col="rank", page_size=10)
+    assert paged.count() == 3
+    assert max(len(r["recs"]) for r in paged.collect()) == 10
+    back = topk.unnest(paged, "productId")
+    assert rows(back) == rows(long.select("productId", "rank", F.col("simId").alias("productId2"), "sim"))
