@@ -12,12 +12,12 @@ cross join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfrank.functions import l2norm, rank_key
 from shelfrank.operators import blocked
-from shelfrank.operators.topk import top_k_per_group
+from shelfrank.operators.topk import rank_all, top_k_per_group
 
 # Similarity threshold of the offline job, list lengths.
 SIM_THRESHOLD = 0.6
@@ -48,8 +48,8 @@ def rank_similar(sims: DataFrame, k: int | None = None) -> DataFrame:
     keeps the first k when k is given."""
     order = [rank_key("sim").desc(), F.col("simId").asc()]
     if k is None:
-        w = Window.partitionBy("productId").orderBy(*order)
-        return sims.withColumn("rank", F.row_number().over(w))
+        # Uncapped lists: a product may neighbour a third of the catalogue.
+        return rank_all(sims, "productId", order)
     return top_k_per_group(sims, "productId", k, order=order)
 
 

@@ -45,6 +45,40 @@ def top_k_per_group(
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
 
 
+def rank_all(
+    df: DataFrame,
+    group: str,
+    order: list[Column],
+    rank_col: str = "rank",
+    partitions: int | None = None,
+) -> DataFrame:
+    """Exact 1..n rank of every row within its group, for groups of any size.
+
+    A window per group would sort a group holding a third of all rows in one
+    task. Instead the rows are range-partitioned on (group, order), which
+    splits a large group over many partitions, and checkpointed so partition
+    ids are stable. Rows of a group in earlier partitions precede those in
+    later ones, so rank = (rows of the group in earlier partitions) + row
+    number inside the (group, partition) segment. Offsets come from a window
+    over each group's partition counts (at most `partitions` rows per group).
+    """
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (
+        df.repartitionByRange(n, F.col(group), *order).withColumn("_pid", F.spark_partition_id()).checkpoint()
+    )
+    counts = ranged.groupBy(group, "_pid").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(group, "_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    segment = Window.partitionBy(group, "_pid").orderBy(*order)
+    return (
+        ranged.withColumn("_r", F.row_number().over(segment))
+        .join(offsets, [group, "_pid"])
+        .withColumn(rank_col, (F.col("_off") + F.col("_r")).cast("int"))
+        .drop("_pid", "_r", "_off")
+    )
+
+
 def top_n(df: DataFrame, n: int, order: list[Column], rank_col: str = "rank") -> DataFrame:
     """Global top-n with a rank column: sort+limit (TakeOrderedAndProject),
     then number the <= n rows."""

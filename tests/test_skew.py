@@ -65,3 +65,18 @@ def test_recent_and_upsert_hot_user(spark, skew_conf):
     up = state.upsert_ratings(df.limit(0).drop("event_id"), df)
     assert up.count() == len({(u, p) for _, u, p, _, _ in data})
     assert rows(up.where("userId = 0"), "productId") == [(p,) for p in range(300)]
+
+
+def test_rank_all_splits_hot_group_exactly(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from shelfrank.operators.topk import rank_all
+
+    data = [(1, j, float(j % 17)) for j in range(900)] + [(g, j, float(j)) for g in range(2, 40) for j in range(5)]
+    df = spark.createDataFrame(data, "productId int, simId int, sim double")
+    order = [F.col("sim").desc(), F.col("simId").asc()]
+    got = rank_all(df, "productId", order, partitions=7)
+    w = Window.partitionBy("productId").orderBy(*order)
+    exp = df.withColumn("rank", F.row_number().over(w))
+    assert rows(got.select("productId", "simId", "sim", "rank")) == rows(exp)
