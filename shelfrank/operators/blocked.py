@@ -19,12 +19,18 @@ there is no hot key to skew a block.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The kernels below run in Python workers. Pickling this module by value ships
+# them with each task, so executors need numpy and pandas but not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 DEFAULT_BLOCK_ROWS = 2048
 
 
