@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from shelfrank.operators import scoring
 from shelfrank.operators.state import RECENT_RATINGS
-from shelfrank.sources.text import parse_event_messages
+from shelfrank.sources.text import log_lines_to_messages, parse_event_messages
 
 # Fixed value: the reference's micro-batch interval.
 BATCH_INTERVAL = "5 seconds"
@@ -96,18 +96,57 @@ class StreamingRecommender:
         # At most `user_buckets` values: read only those history directories.
         buckets = [r["ub"] for r in this_batch.select("ub").distinct().collect()]
         history = spark.read.parquet(self.history_dir).where(F.col("ub").isin(buckets)).drop("batch_id", "ub")
-        user_history = history.join(touched, "userId", "left_semi")
-        sims = spark.read.parquet(self.sims_path)
-        recs = scoring.stream_recs(user_history, sims, self.k, self.n_recent, self.threshold)
-        recs.write.mode("overwrite").parquet(os.path.join(self.recs_dir, f"batch_id={batch_id}"))
+        # Four branches (latest event, rated set, recent ratings, users) read
+        # the touched users' history: read and join it once per batch.
+        user_history = history.join(touched, "userId", "left_semi").persist()
+        try:
+            sims = spark.read.parquet(self.sims_path)
+            recs = scoring.stream_recs(user_history, sims, self.k, self.n_recent, self.threshold)
+            recs.write.mode("overwrite").parquet(os.path.join(self.recs_dir, f"batch_id={batch_id}"))
+        finally:
+            user_history.unpersist()
 
     # ------------------------------------------------------------------ query
 
-    def start(self, source_dir: str, available_now: bool = False, max_files_per_trigger: int | None = None):
-        reader = self.spark.readStream.schema(MESSAGE_SCHEMA)
-        if max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-        messages = reader.parquet(source_dir)
+    def messages(
+        self,
+        source: str,
+        source_format: str = "parquet",
+        options: dict | None = None,
+        max_files_per_trigger: int | None = None,
+        log_lines: bool = False,
+    ) -> DataFrame:
+        """The message stream: (event_id, value).
+
+        File formats (parquet, json, orc) read (event_id, value) records from
+        the folder `source`. With source_format="kafka", `source` is the topic
+        and `options` carry the Kafka settings (kafka.bootstrap.servers, ...);
+        the record offset becomes the ordering id. It needs the Kafka connector
+        on the classpath. log_lines=True takes server log lines and strips the
+        rating prefix.
+        """
+        opts = dict(options or {})
+        if source_format == "kafka":
+            opts.setdefault("startingOffsets", "latest")
+            raw = self.spark.readStream.format("kafka").option("subscribe", source).options(**opts).load()
+            msgs = raw.select(F.col("offset").alias("event_id"), F.col("value").cast("string").alias("value"))
+        else:
+            reader = self.spark.readStream.schema(MESSAGE_SCHEMA).options(**opts)
+            if max_files_per_trigger:
+                reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+            msgs = reader.format(source_format).load(source)
+        return log_lines_to_messages(msgs) if log_lines else msgs
+
+    def start(
+        self,
+        source: str,
+        available_now: bool = False,
+        max_files_per_trigger: int | None = None,
+        source_format: str = "parquet",
+        options: dict | None = None,
+        log_lines: bool = False,
+    ):
+        messages = self.messages(source, source_format, options, max_files_per_trigger, log_lines)
         writer = messages.writeStream.foreachBatch(self.process_batch).option(
             "checkpointLocation", self.checkpoint_dir
         )
@@ -116,8 +155,9 @@ class StreamingRecommender:
         )
         return writer.start()
 
-    def run_available(self, source_dir: str, max_files_per_trigger: int | None = None) -> None:
-        q = self.start(source_dir, available_now=True, max_files_per_trigger=max_files_per_trigger)
+    def run_available(self, source: str, max_files_per_trigger: int | None = None, **kwargs) -> None:
+        """Process everything available now in micro-batches, then stop."""
+        q = self.start(source, available_now=True, max_files_per_trigger=max_files_per_trigger, **kwargs)
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))

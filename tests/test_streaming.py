@@ -43,3 +43,15 @@ def test_replayed_batch_is_idempotent(spark, setup):
     first = rows(current_recs(spark, rec.recs_dir).select("userId", F.to_json("recs")))
     rec.process_batch(msgs, 0)
     assert rows(current_recs(spark, rec.recs_dir).select("userId", F.to_json("recs"))) == first
+
+
+def test_stream_from_log_lines(spark, setup):
+    base, expected = setup
+    src = f"{base}/src-logs"
+    adapters.log_lines(spark, SF_SMALL).repartitionByRange(2, "event_id").write.json(src)
+    rec = StreamingRecommender(spark, f"{base}/state-logs", f"{base}/sims", threshold=THRESHOLD)
+    rec.run_available(src, max_files_per_trigger=1, source_format="json", log_lines=True)
+    got = rows(topk.unnest(rec.current_recs(), "userId", outer=True))
+    assert [(u, r, p, round(s, 9) if s is not None else None) for u, r, p, s in got] == [
+        (u, r, p, round(s, 9) if s is not None else None) for u, r, p, s in expected
+    ]
