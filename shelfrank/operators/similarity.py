@@ -59,11 +59,17 @@ def factor_top_k(
     k: int = MAX_RECS,
     positive_only: bool = True,
     block_rows: int = blocked.DEFAULT_BLOCK_ROWS,
+    user_block_rows: int | None = None,
 ) -> DataFrame:
     """(userId, rank, productId, score): each user's k best items by u . i,
-    only scores > 0 when positive_only; ties by productId."""
+    only scores > 0 when positive_only; ties by productId.
+
+    With far more users than items, give users larger blocks
+    (`user_block_rows`): each user row is copied once per item block and each
+    item row once per user block.
+    """
     cands = blocked.cross_top_k(
-        user_factors, item_factors, "id", "id", "features", k, positive_only, block_rows
+        user_factors, item_factors, "id", "id", "features", k, positive_only, block_rows, user_block_rows
     ).select(F.col("a").alias("userId"), F.col("b").alias("productId"), "score")
     ranked = top_k_per_group(cands, "userId", k, score="score", tie_breakers=["productId"])
     return ranked.select("userId", "rank", "productId", "score")
