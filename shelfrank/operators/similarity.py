@@ -12,7 +12,7 @@ cross join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfrank.functions import l2norm, rank_key
@@ -75,27 +75,62 @@ def factor_top_k(
     return ranked.select("userId", "rank", "productId", "score")
 
 
+# Users with more distinct items than this are candidates for the pair-free
+# treatment in cooccurrence_similarity.
+HEAVY_ITEMS = 1000
+
+
 def cooccurrence_similarity(
-    ratings: DataFrame, min_support: int = 3, k: int | None = MAX_RECS
+    ratings: DataFrame,
+    min_support: int = 3,
+    k: int | None = MAX_RECS,
+    heavy_items: int = HEAVY_ITEMS,
 ) -> DataFrame:
-    """Item-CF: sim(a, b) = n_ab / sqrt(n_a * n_b), n = distinct users.
-
-    Pairs come from a self-join of distinct (user, product) on the user with
-    a < b (each unordered pair once); the join is followed by a partial
-    aggregate on (a, b), so pair counts are combined map-side. A user with a
-    huge item list is a skewed key on both join sides: AQE's skew-join splits
-    that partition on both sides into many tasks. Pairs need n_ab >=
-    min_support. Output (productId, simId, sim, rank) with rank <= k.
+    """Item-CF: sim(a, b) = n_ab / sqrt(n_a * n_b), n = distinct users; pairs
+    need n_ab >= min_support. Output (productId, simId, sim, rank), rank <= k.
+
+    n_ab = L_ab + H_ab, split between light users and at most min_support - 1
+    heavy users (the largest ones with more than `heavy_items` items). Then
+    H_ab <= min_support - 1, so every pair that qualifies has L_ab >= 1 and is
+    found by the light users' self-join; H_ab is added by lookup as
+    popcount(mask_a & mask_b), where mask_p has bit i set when heavy user i
+    rated p. A user holding a third of all ratings costs a bitmask, not its
+    m^2 pairs. The light self-join (a < b) is followed in the same stage by a
+    partial aggregate on (a, b), and AQE's skew join splits any remaining big
+    user on both sides. Exact: no pair and no rating is dropped.
     """
     up = ratings.select("userId", "productId").distinct()
     n_item = up.groupBy("productId").agg(F.count("*").alias("n"))
-    a = up.select("userId", F.col("productId").alias("a"))
-    b = up.select("userId", F.col("productId").alias("b"))
+    n_heavy = max(0, min(min_support - 1, 63))
+    heavy = (
+        up.groupBy("userId")
+        .agg(F.count("*").alias("m"))
+        .where(F.col("m") > heavy_items)
+        .orderBy(F.col("m").desc(), F.col("userId").asc())
+        .limit(n_heavy)
+    )
+    # At most n_heavy (< 64) rows: a proven bound, broadcast.
+    heavy = F.broadcast(
+        heavy.withColumn("bit", F.row_number().over(Window.orderBy(F.col("m").desc(), "userId")) - 1)
+    )
+    light = up.join(heavy.select("userId"), "userId", "left_anti")
+    masks = (
+        up.join(heavy.select("userId", "bit"), "userId")
+        .groupBy("productId")
+        .agg(F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), bit)")).alias("mask"))
+    )
+    a = light.select("userId", F.col("productId").alias("a"))
+    b = light.select("userId", F.col("productId").alias("b"))
+    light_pairs = (
+        a.join(b, "userId").where(F.col("a") < F.col("b")).groupBy("a", "b").agg(F.count("*").alias("l_ab"))
+    )
+    ma = masks.select(F.col("productId").alias("a"), F.col("mask").alias("ma"))
+    mb = masks.select(F.col("productId").alias("b"), F.col("mask").alias("mb"))
+    h_ab = F.coalesce(F.bit_count(F.col("ma").bitwiseAND(F.col("mb"))), F.lit(0))
     pairs = (
-        a.join(b, "userId")
-        .where(F.col("a") < F.col("b"))
-        .groupBy("a", "b")
-        .agg(F.count("*").alias("n_ab"))
+        light_pairs.join(ma, "a", "left")
+        .join(mb, "b", "left")
+        .select("a", "b", (F.col("l_ab") + h_ab).alias("n_ab"))
         .where(F.col("n_ab") >= min_support)
     )
     na = n_item.select(F.col("productId").alias("a"), F.col("n").alias("n_a"))

@@ -43,16 +43,19 @@ def skewed_events(spark):
     return spark.createDataFrame(data, EV), data
 
 
-def test_itemcf_hot_user_exact(spark, skew_conf):
+@pytest.mark.parametrize("support,heavy_items", [(2, 100_000), (2, 100), (3, 100), (4, 3)])
+def test_itemcf_hot_user_exact(spark, skew_conf, support, heavy_items):
+    # heavy_items=100_000: the hot user goes through the skew-split self-join;
+    # 100: it is handled by bitmask; 3: several users (support - 1) are heavy.
     df, data = skewed_events(spark)
-    out = similarity.cooccurrence_similarity(df, min_support=2, k=None)
+    out = similarity.cooccurrence_similarity(df, min_support=support, k=None, heavy_items=heavy_items)
     got = {(r["productId"], r["simId"]): r["sim"] for r in out.collect()}
     users = defaultdict(set)
     for _, u, p, _, _ in data:
         users[u].add(p)
     n = Counter(p for s in users.values() for p in s)
     pairs = Counter((a, b) for s in users.values() for a in s for b in s if a != b)
-    exp = {k: c / math.sqrt(n[k[0]] * n[k[1]]) for k, c in pairs.items() if c >= 2}
+    exp = {k: c / math.sqrt(n[k[0]] * n[k[1]]) for k, c in pairs.items() if c >= support}
     assert got.keys() == exp.keys()
     assert all(abs(got[k] - exp[k]) < 1e-12 for k in exp)
 
