@@ -87,6 +87,19 @@ def q_average_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(stats.average_score(adapters.ratings(spark, sf_dir)), "avg")
 
 
+def q_rate_more_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings per product through a temp view and a SQL string."""
+    tables.register_view(adapters.ratings(spark, sf_dir), "ratings")
+    return spark.sql("SELECT productId, count(productId) AS count FROM ratings GROUP BY productId")
+
+
+def q_monthly_counts_ms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly counts over ratings stamped in milliseconds (as the server
+    writes them): the month function normalises ms to s."""
+    r = adapters.ratings(spark, sf_dir).withColumn("timestamp", F.col("timestamp") * 1000)
+    return stats.monthly_counts(r)
+
+
 def q_distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.distinct_keys(adapters.ratings(spark, sf_dir))
 
@@ -354,6 +367,8 @@ QUERIES: dict[str, Query] = {
     "rate_more": q_rate_more,
     "monthly_counts": q_monthly_counts,
     "average_score": q_average_score,
+    "rate_more_sql": q_rate_more_sql,
+    "monthly_counts_ms": q_monthly_counts_ms,
     "distinct_keys": q_distinct_keys,
     "hot_products": q_hot_products,
     "most_rated": q_most_rated,

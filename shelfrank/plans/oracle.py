@@ -63,6 +63,10 @@ SQL["rate_more"] = _with(RATINGS) + 'SELECT productId, count(productId) AS "coun
 
 SQL["monthly_counts"] = _with(RATINGS, MONTHLY) + 'SELECT productId, "count", yearmonth FROM monthly'
 
+SQL["rate_more_sql"] = SQL["rate_more"]
+
+SQL["monthly_counts_ms"] = SQL["monthly_counts"]
+
 SQL["average_score"] = _with(RATINGS) + "SELECT productId, round(avg(score), 6) AS avg FROM ratings GROUP BY productId"
 
 SQL["distinct_keys"] = (
