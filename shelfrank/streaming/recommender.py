@@ -96,8 +96,8 @@ class StreamingRecommender:
         # At most `user_buckets` values: read only those history directories.
         buckets = [r["ub"] for r in this_batch.select("ub").distinct().collect()]
         history = spark.read.parquet(self.history_dir).where(F.col("ub").isin(buckets)).drop("batch_id", "ub")
-        # Four branches (latest event, rated set, recent ratings, users) read
-        # the touched users' history: read and join it once per batch.
+        # Three branches (latest event, rated set, recent ratings) read the
+        # touched users' history: read and join it once per batch.
         user_history = history.join(touched, "userId", "left_semi").persist()
         try:
             sims = spark.read.parquet(self.sims_path)
