@@ -4,8 +4,9 @@ counterpart of the reference's database), overwriting its outputs.
 
 Table names (fixed): products, ratings, rate_more_products,
 rate_more_recently_products, average_products, user_recs, product_recs,
-itemcf_product_recs, content_product_recs, stream_recs (written by the
-streaming job).
+itemcf_product_recs, content_product_recs. The streaming job keeps its
+history and recs log under its own state folder
+(`streaming.recommender.StreamingRecommender`).
 """
 
 from __future__ import annotations

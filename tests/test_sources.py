@@ -75,3 +75,9 @@ def test_table_roundtrip_clustered(spark):
     back = tables.read_table(spark, path)
     assert rows(back) == rows(df)
     assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) <= 4
+
+
+def test_delimited_fields_trimmed_like_java(spark):
+    good, bad = text.parse_rating_lines(lines(spark, ["\x01 1\x1f,\t2 ,3.5\x00,4", "1,2,3.5,4,extra"]))
+    assert rows(good) == [(1, 2, 3.5, 4), (1, 2, 3.5, 4)]
+    assert rows(bad) == []
