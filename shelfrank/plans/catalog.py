@@ -267,7 +267,8 @@ def q_stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "stream")
     src, sims_path = f"{base}/source", f"{base}/sims"
     adapters.event_messages(spark, sf_dir).repartitionByRange(STREAM_FILES, "event_id").write.parquet(src)
-    tables.write_table(_item_sims(spark, sf_dir), sims_path)
+    # The static similarity table is ranked once here, not in every batch.
+    tables.write_table(similarity.rank_similar(_item_sims(spark, sf_dir)), sims_path)
     rec = StreamingRecommender(spark, f"{base}/state", sims_path, threshold=ITEM_SIM_THRESHOLD)
     rec.run_available(src, max_files_per_trigger=1)
     return rounded(topk.unnest(rec.current_recs(), "userId", outer=True), "score")

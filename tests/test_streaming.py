@@ -14,7 +14,7 @@ THRESHOLD = 0.2
 def setup(spark):
     sims = similarity.cosine_similarity(adapters.factors(spark, SF_SMALL), THRESHOLD)
     base = scratch_path(spark, "stream-test")
-    tables.write_table(sims, f"{base}/sims")
+    tables.write_table(similarity.rank_similar(sims), f"{base}/sims")
     expected = rows(topk.unnest(scoring.stream_recs(adapters.rating_events(spark, SF_SMALL), sims, threshold=THRESHOLD), "userId", outer=True))
     return base, expected
 
