@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,9 +65,11 @@ class StreamingRecommender:
         n_recent: int = RECENT_RATINGS,
         threshold: float = scoring.SCORE_THRESHOLD,
         user_buckets: int = USER_BUCKETS,
+        compact_every: int | None = None,
     ):
         self.spark = spark
         self.user_buckets = user_buckets
+        self.compact_every = compact_every
         self.state_dir = state_dir
         self.sims_path = sims_path
         self.k, self.n_recent, self.threshold = k, n_recent, threshold
@@ -74,6 +77,9 @@ class StreamingRecommender:
         self.recs_dir = os.path.join(state_dir, "recs")
         self.rejected_dir = os.path.join(state_dir, "rejected")
         self.checkpoint_dir = os.path.join(state_dir, "checkpoint")
+        self.manifest_dir = os.path.join(state_dir, "manifest")
+        self.history_base_dir = os.path.join(state_dir, "history_base")
+        self.recs_base_dir = os.path.join(state_dir, "recs_base")
 
     # ------------------------------------------------------------- batch step
 
@@ -95,7 +101,7 @@ class StreamingRecommender:
         touched = this_batch.select("userId").distinct()
         # At most `user_buckets` values: read only those history directories.
         buckets = [r["ub"] for r in this_batch.select("ub").distinct().collect()]
-        history = spark.read.parquet(self.history_dir).where(F.col("ub").isin(buckets)).drop("batch_id", "ub")
+        history = self.history(spark, buckets)
         # Three branches (latest event, rated set, recent ratings) read the
         # touched users' history: read and join it once per batch.
         user_history = history.join(touched, "userId", "left_semi").persist()
@@ -105,6 +111,46 @@ class StreamingRecommender:
             recs.write.mode("overwrite").parquet(os.path.join(self.recs_dir, f"batch_id={batch_id}"))
         finally:
             user_history.unpersist()
+        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+            self.compact(spark, batch_id)
+
+    # ------------------------------------------------------------- state
+
+    def base_version(self, spark: SparkSession) -> int | None:
+        """The newest completed compaction, or None."""
+        try:
+            return spark.read.parquet(self.manifest_dir).agg(F.max("base")).first()[0]
+        except AnalysisException:
+            return None
+
+    def history(self, spark: SparkSession, buckets: list | None = None) -> DataFrame:
+        """Rating history: the compacted base plus the batches after it,
+        restricted to the given user buckets (partition pruning)."""
+        base = self.base_version(spark)
+        hist = spark.read.parquet(self.history_dir)
+        if base is not None:
+            hist = hist.where(F.col("batch_id") > base)
+        parts = [hist.drop("batch_id")]
+        if base is not None:
+            parts.append(spark.read.parquet(os.path.join(self.history_base_dir, f"v={base}")))
+        out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        if buckets is not None:
+            out = out.where(F.col("ub").isin(buckets))
+        return out.drop("ub")
+
+    def compact(self, spark: SparkSession, batch_id: int) -> None:
+        """Fold the history and the recs log up to `batch_id` into version
+        `batch_id`, then record it in the manifest. Until the manifest entry
+        is written readers keep using the previous base, and a replayed batch
+        rewrites the same version: no step needs a delete or a rename."""
+        hist = self.history(spark).withColumn("ub", user_bucket("userId", self.user_buckets))
+        hist.write.mode("overwrite").partitionBy("ub").parquet(
+            os.path.join(self.history_base_dir, f"v={batch_id}")
+        )
+        self.current_recs().write.mode("overwrite").parquet(os.path.join(self.recs_base_dir, f"v={batch_id}"))
+        spark.createDataFrame([(batch_id,)], "base int").write.mode("overwrite").parquet(
+            os.path.join(self.manifest_dir, f"v={batch_id}")
+        )
 
     # ------------------------------------------------------------------ query
 
@@ -163,10 +209,21 @@ class StreamingRecommender:
             raise RuntimeError(str(q.exception()))
 
     def current_recs(self) -> DataFrame:
-        return current_recs(self.spark, self.recs_dir)
+        """Each user's list from the latest batch that touched them."""
+        base = self.base_version(self.spark)
+        if base is None:
+            return current_recs(self.spark, self.recs_dir)
+        log = self.spark.read.parquet(self.recs_dir).where(F.col("batch_id") > base)
+        snapshot = self.spark.read.parquet(os.path.join(self.recs_base_dir, f"v={base}")).withColumn(
+            "batch_id", F.lit(base)
+        )
+        return resolve_recs(log.unionByName(snapshot))
 
 
-def current_recs(spark: SparkSession, recs_dir: str) -> DataFrame:
-    """Resolve the recs log: each user's list from the latest batch touching them."""
-    log = spark.read.parquet(recs_dir)
+def resolve_recs(log: DataFrame) -> DataFrame:
     return log.groupBy("userId").agg(F.max_by("recs", "batch_id").alias("recs"))
+
+
+def current_recs(spark: SparkSession, recs_dir: str) -> DataFrame:
+    """Resolve an uncompacted recs log: each user's list from the latest batch touching them."""
+    return resolve_recs(spark.read.parquet(recs_dir))

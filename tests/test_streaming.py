@@ -55,3 +55,17 @@ def test_stream_from_log_lines(spark, setup):
     assert [(u, r, p, round(s, 9) if s is not None else None) for u, r, p, s in got] == [
         (u, r, p, round(s, 9) if s is not None else None) for u, r, p, s in expected
     ]
+
+
+def test_compaction_keeps_results(spark, setup):
+    base, expected = setup
+    src = f"{base}/src-compact"
+    adapters.event_messages(spark, SF_SMALL).repartitionByRange(5, "event_id").write.parquet(src)
+    rec = StreamingRecommender(spark, f"{base}/state-compact", f"{base}/sims", threshold=THRESHOLD, compact_every=2)
+    rec.run_available(src, max_files_per_trigger=1)
+    assert rec.base_version(spark) == 3  # compacted after batches 1 and 3; batch 4 is in the log
+    got = rows(topk.unnest(rec.current_recs(), "userId", outer=True))
+    assert [(u, r, p, round(s, 9) if s is not None else None) for u, r, p, s in got] == [
+        (u, r, p, round(s, 9) if s is not None else None) for u, r, p, s in expected
+    ]
+    assert rec.history(spark).count() == adapters.rating_events(spark, SF_SMALL).count()
