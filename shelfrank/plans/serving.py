@@ -6,7 +6,7 @@ users) with joins instead of per-key lookups.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfrank.operators import lookup, stats, topk
@@ -18,6 +18,29 @@ def hot_products(monthly: DataFrame, products: DataFrame, averages: DataFrame, n
     return lookup.enrich(ranked, products, averages, keep=["rank"])
 
 
+def hot_from_table(
+    spark: SparkSession, monthly_path: str, products: DataFrame, averages: DataFrame, n: int = 100
+) -> DataFrame:
+    """/hot read from the month-partitioned monthly-counts table.
+
+    The hot list is the newest months first, so the top n lie in the newest
+    months that together hold at least n rows: only those partitions are
+    read (partition pruning), however long the history. The per-month row
+    counts are one row per month.
+    """
+    monthly = spark.read.parquet(monthly_path)
+    sizes = (
+        monthly.groupBy("yearmonth").agg(F.count("*").alias("rows")).orderBy(F.col("yearmonth").desc()).collect()
+    )
+    keep, total = [], 0
+    for row in sizes:
+        keep.append(row["yearmonth"])
+        total += row["rows"]
+        if total >= n:
+            break
+    return hot_products(monthly.where(F.col("yearmonth").isin(keep)), products, averages, n)
+
+
 def most_rated(counts: DataFrame, products: DataFrame, averages: DataFrame, n: int = 100) -> DataFrame:
     """/rate: most rated products of all time, enriched."""
     ranked = stats.most_rated_list(counts, n)

@@ -2,7 +2,7 @@ from conftest import SF_SMALL, rows
 from pyspark.sql import functions as F
 
 from shelfrank.operators import stats
-from shelfrank.plans import jobs
+from shelfrank.plans import jobs, serving
 from shelfrank.session import scratch_path
 from shelfrank.sources import adapters
 
@@ -21,6 +21,13 @@ def test_load_and_statistics_jobs(spark):
     got = read(jobs.AVERAGE).select("productId", F.round("avg", 9))
     exp = stats.average_score(r).select("productId", F.round("avg", 9))
     assert rows(got) == rows(exp)
+    # /hot from the month-partitioned table reads only the newest partitions.
+    prods = adapters.products(spark, SF_SMALL)
+    avgs = stats.average_score(r)
+    for n in (5, 100, 5000):
+        hot = serving.hot_from_table(spark, f"{root}/{jobs.RATE_MORE_RECENTLY}", prods, avgs, n)
+        full = serving.hot_products(stats.monthly_counts(r), prods, avgs, n)
+        assert rows(hot, "rank", "productId") == rows(full, "rank", "productId")
 
 
 def test_itemcf_and_content_jobs(spark):
