@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from shelfrank.functions import l2norm, rank_key
 from shelfrank.operators import blocked
 from shelfrank.operators.topk import rank_all, top_k_per_group
+from shelfrank.session import ensure_checkpoint_dir
 
 # Similarity threshold of the offline job, list lengths.
 SIM_THRESHOLD = 0.6
@@ -177,6 +178,7 @@ def content_similarity(
     most k+1 candidate rows, however many products share its profile.
     Output (productId, rank, simId, sim).
     """
+    ensure_checkpoint_dir(products.sparkSession)
     w = tag_weights(products)
     # The per-product profile table feeds the block sizing count and four
     # branches below: a reliable checkpoint (in spark.checkpoint.dir) computes
