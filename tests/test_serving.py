@@ -47,3 +47,10 @@ def test_paged_nest_roundtrip(spark):
     assert max(len(r["recs"]) for r in paged.collect()) == 10
     back = topk.unnest(paged, "productId")
     assert rows(back) == rows(long.select("productId", "rank", F.col("simId").alias("productId2"), "sim"))
+
+
+def test_product_info_for_given_ids(spark):
+    products = spark.createDataFrame([(1, "a", "", "", ""), (2, "b", "", "", ""), (3, "c", "", "", "")], PROD)
+    averages = spark.createDataFrame([(2, 4.0)], "productId int, avg double")
+    ids = spark.createDataFrame([(2,), (3,), (3,), (9,)], "productId int")
+    assert rows(lookup.product_info(products, averages, ids), "productId", "score") == [(2, 4.0), (3, 0.0)]
