@@ -61,14 +61,16 @@ def rank_all(
     ids are stable. Rows of a group in earlier partitions precede those in
     later ones, so rank = (rows of the group in earlier partitions) + row
     number inside the (group, partition) segment. Offsets come from a window
-    over each group's partition counts (at most `partitions` rows per group).
+    over each group's partition counts (at most one row per partition).
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
-        df.repartitionByRange(n, F.col(group), *order).withColumn("_pid", F.spark_partition_id()).checkpoint()
+    # Without an explicit count AQE sizes the range partitions from the data;
+    # it only merges adjacent ranges, so partition ids stay in range order.
+    ranged = df.repartitionByRange(partitions, F.col(group), *order) if partitions else df.repartitionByRange(
+        F.col(group), *order
     )
+    ranged = ranged.withColumn("_pid", F.spark_partition_id()).checkpoint()
     counts = ranged.groupBy(group, "_pid").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(group, "_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

@@ -83,3 +83,17 @@ def test_rank_all_splits_hot_group_exactly(spark):
     w = Window.partitionBy("productId").orderBy(*order)
     exp = df.withColumn("rank", F.row_number().over(w))
     assert rows(got.select("productId", "simId", "sim", "rank")) == rows(exp)
+
+
+def test_rank_all_with_adaptive_partitions(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from shelfrank.operators.topk import rank_all
+
+    data = [(1, j, float(j % 23)) for j in range(2000)] + [(g, j, float(j % 3)) for g in range(2, 300) for j in range(4)]
+    df = spark.createDataFrame(data, "productId int, simId int, sim double")
+    order = [F.col("sim").desc(), F.col("simId").asc()]
+    got = rank_all(df, "productId", order)
+    exp = df.withColumn("rank", F.row_number().over(Window.partitionBy("productId").orderBy(*order)))
+    assert rows(got.select("productId", "simId", "sim", "rank")) == rows(exp)
