@@ -6,7 +6,9 @@ what is unset, so the same code runs in tests (local mode) and on a cluster.
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -24,9 +26,6 @@ _DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
 }
 
-_LOCAL_CHECKPOINT_DIR = "/tmp/shelfrank-checkpoints"
-
-
 def get_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
@@ -52,25 +51,34 @@ def get_session(
     return spark
 
 
+def _is_local(master: str) -> bool:
+    """True for masters whose driver and executors share one machine's disk."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset.
+    """Return the shared checkpoint folder as a URI, setting it if Spark has not.
 
-    On a cluster `spark.checkpoint.dir` names a shared file system folder; the
-    local fallback exists for tests only.
+    The folder is `spark.checkpoint.dir`. Where that is unset, a local master
+    (tests) gets a fresh temporary folder that is removed when the process
+    ends; any other master raises, as executors would not share a local one.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
-        return current.removeprefix("file:")
-    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
-    path = configured or _LOCAL_CHECKPOINT_DIR
+        return current
+    path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        if not _is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="shelfrank-checkpoints-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
     sc.setCheckpointDir(path)
-    return path
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared checkpoint folder for one run."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "shelfrank", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh folder below the shared checkpoint folder for one run. The URI
+    scheme is kept, so it names the same place from every executor."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/shelfrank/{name}-{uuid.uuid4().hex[:12]}"
