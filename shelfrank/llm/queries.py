@@ -5,8 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.llm import langid, quality
+from shelfrank.llm import fingerprints, jaccard, langid, packing, quality, token_store, url_rules
 from shelfrank.llm.common import table
+from shelfrank.session import scratch_path
+
+
+def tokenizer_path() -> str:
+    """The public tokenizer of the registered queries."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of every document and of its edited text, and their likeness."""
+    return fingerprints.with_next(table(spark, sf_dir, "documents"))
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 4096 ids by best-fit decreasing."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids written as Re-Pair blocks and read back from them."""
+    path = scratch_path(spark, "token-store")
+    token_store.write(table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return token_store.read(spark, path)
+
+
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's url by fixed and mined rules."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    rows, names = url_rules.judge(pages, url_rules.mine(pages, table(spark, sf_dir, "labels")))
+    return rows.select("page_id", *(names[c] for c in ("host", "path", "rule", "verdict", "mined_rule")))
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,7 +56,17 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", langid.held_out().alias("held_out"), F.col(lang), F.col(score))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document under links of word 5-gram Jaccard >= 0.75."""
+    return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
+    "op2_packing": op2_packing,
+    "op3_token_store": op3_token_store,
+    "op4_url_rules": op4_url_rules,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op5_quality_rules": op5_quality_rules,
     "op10_language_id": op10_language_id,
 }
