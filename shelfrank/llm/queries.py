@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.llm import fingerprints, jaccard, langid, packing, quality, token_store, url_rules
+from shelfrank.llm import (
+    fingerprints,
+    jaccard,
+    langid,
+    main_text,
+    packing,
+    piece_sampling,
+    quality,
+    token_store,
+    tool_calls,
+    url_rules,
+)
 from shelfrank.llm.common import table
 from shelfrank.session import scratch_path
 
@@ -61,13 +72,40 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(table(spark, sf_dir, "documents"))
 
 
+def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls and results of all conversations linked, ordered and validated."""
+    turns = table(spark, sf_dir, "conversations")
+    calls, results = tool_calls.conversation_calls(turns), tool_calls.conversation_results(turns)
+    return tool_calls.link(calls, results, tool_calls.TOOLS)
+
+
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by boosted trees over its DOM nodes."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    rows, (text, n_chars) = main_text.extract(pages, main_text.train(pages))
+    return rows.select("page_id", "url", text, n_chars)
+
+
+def op9_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled segmentation of every document, seeded by its id, and whether
+    decoding gives the text back."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows, names = piece_sampling.segment(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+    return rows.select("doc_id", *names)
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_packing": op2_packing,
     "op3_token_store": op3_token_store,
     "op4_url_rules": op4_url_rules,
-    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op5_quality_rules": op5_quality_rules,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op7_tool_calls": op7_tool_calls,
+    "op8_main_text": op8_main_text,
+    "op9_piece_sampling": op9_piece_sampling,
     "op10_language_id": op10_language_id,
 }
 
