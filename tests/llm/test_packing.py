@@ -1,0 +1,76 @@
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from shelfrank.llm import packing
+from shelfrank.llm.tokens import Encoder
+
+from .conftest import ROWS
+
+
+@pytest.fixture(scope="module")
+def reference(tokenizer):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(tokenizer)
+    return lambda text: t.encode(text or "", add_special_tokens=False).ids
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(max_size=80) | st.text("aB'sre é²\u0301\u00a0Σ<|endoftext|>.,! 12", max_size=60))
+def test_ids_equal_the_tokenizers(tokenizer, reference, text):
+    got = np.frombuffer(encoder(tokenizer).ids(text.encode()), "<u4").tolist()
+    assert got == reference(text)
+
+
+_ENCODERS = {}
+
+
+def encoder(path):
+    return _ENCODERS.setdefault(path, Encoder(path))
+
+
+@given(st.lists(st.integers(1, 60), max_size=60))
+def test_best_fit_takes_the_tightest_window(lengths):
+    lengths = sorted((min(x, 50) for x in lengths), reverse=True)
+    rooms, want = [], []
+    for x in lengths:  # brute force: the least room that suffices
+        fits = [r for r in rooms if r[0] >= x]
+        room = min(r[0] for r in fits) if fits else 50
+        want.append(room)
+        if fits:
+            rooms.remove(next(r for r in fits if r[0] == room))
+        rooms.append((room - x,))
+    numbers, offsets, n = packing.best_fit(lengths, 50)
+    assert [50 - o for o in offsets] == want
+    used = np.bincount(numbers, lengths, minlength=n) if n else np.zeros(0)
+    assert (used <= 50).all()
+
+
+@pytest.mark.parametrize("shard_docs", [3, 1000])
+def test_pieces_hold_each_id_once(docs, tokenizer, reference, shard_docs):
+    window = 256
+    rows = packing.pack(docs, tokenizer, window=window, shard_docs=shard_docs).collect()
+    want = []
+    for doc_id, text in ROWS:
+        ids = np.array(reference(text) + [2], "<u4")
+        for start in range(0, len(ids), window):
+            part = ids[start : start + window]
+            want.append((doc_id, start, len(part), zlib.crc32(part.tobytes()), len(ids)))
+    assert sorted(map(repr, want)) == sorted(repr(tuple(r)[:5]) for r in rows)
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for pieces in by_sequence.values():
+        end = 0
+        for offset, length in sorted(pieces):
+            assert offset == end
+            end += length
+        assert end <= window
+
+
+def test_empty_table(nothing, tokenizer):
+    assert packing.pack(nothing, tokenizer).collect() == []

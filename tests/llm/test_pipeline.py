@@ -1,0 +1,41 @@
+import corpus_pipeline
+
+import __spark_entry__ as entry
+from shelfrank.llm import jaccard, langid, quality
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_equal_the_operators(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, out = docs, stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        docs = spark.createDataFrame(out.collect(), docs.schema)
+        kept[name] = {r.doc_id for r in docs.collect()}
+        if name == "language_id":
+            rows, (lang, _, rate) = langid.identify(before, langid.train(before))
+            assert kept[name] == {r["doc_id"] for r in rows.collect() if r[lang] != "und" and r[rate] < 8}
+        if name == "quality_rules":
+            rows, names = quality.judge(before, quality.learn(before, spark.read.parquet(f"{SF}/labels.parquet")))
+            assert kept[name] == {r["doc_id"] for r in rows.collect() if r[names["kept"]]}
+        if name == "ngram_jaccard":
+            assert kept[name] == {r.component_id for r in jaccard.classes(before).collect()}
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert {r.doc_id for r in pieces.collect()} == kept["ngram_jaccard"]
+    whole = entry.queries()["pipeline"](spark, SF).select("doc_id", "start", "ids_crc32").collect()
+    assert sorted(map(tuple, whole)) == sorted(map(tuple, pieces.select("doc_id", "start", "ids_crc32").collect()))
+
+
+def test_clashing_columns_and_odd_rows(spark, docs):
+    labels = f"{SF}"
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, labels)
+        assert out.columns == docs.columns
+        assert out.count() <= docs.count()
+
+
+def test_every_operator_is_registered():
+    names = entry.queries()
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names

@@ -1,0 +1,55 @@
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+
+from shelfrank.llm import repair, token_store
+
+from .conftest import ROWS
+
+
+@given(st.lists(st.lists(st.integers(0, 5), max_size=200), max_size=12))
+def test_round_trip(docs):
+    ids = [np.array(d * 3, np.uint32) for d in docs]
+    shard = repair.Shard(repair.encode_shard([None if i == 1 else i for i in range(len(ids))], ids, 6))
+    found = shard.documents()
+    assert [d for d, _, _ in found] == [None if i == 1 else i for i in range(len(ids))]
+    at = 0
+    for want, (_, start, got) in zip(ids, found):
+        assert start == at and got.tolist() == want.tolist()
+        at += len(want)
+
+
+def test_frequent_pairs_become_rules_and_ranges_decode_alone():
+    dice = np.random.default_rng(3)
+    phrase = dice.integers(0, 900, 40)
+    ids = np.concatenate([np.append(phrase, dice.integers(0, 900, 5)) for _ in range(2000)]).astype(np.uint32)
+    block = repair.encode_shard([1], [ids], 900)
+    shard = repair.Shard(block)
+    assert len(shard.rules) and len(shard.symbols) < len(ids) / 4
+    assert len(block) < len(ids)
+    for start, stop in [(0, 1), (0, len(ids)), (4095, 4097), (50_000, 50_100), (len(ids) - 1, len(ids)), (9, 9)]:
+        assert shard.ids(start, stop).tolist() == ids[start:stop].tolist()
+
+
+@pytest.mark.parametrize("shard_ids", [50, 1 << 20])
+def test_store(spark, docs, tokenizer, tmp_path, shard_ids):
+    from tokenizers import Tokenizer
+
+    path = str(tmp_path / "store")
+    token_store.write(docs, path, tokenizer, shard_ids=shard_ids, parts=4)
+    rows = sorted(token_store.read(spark, path).collect(), key=lambda r: r.start)
+    t = Tokenizer.from_file(tokenizer)
+    order = sorted(ROWS, key=lambda r: (r[0] is not None, r[0] or 0))
+    at = 0
+    for (doc_id, text), row in zip(order, rows, strict=True):
+        ids = np.array(t.encode(text or "", add_special_tokens=False).ids + [1], "<u4")
+        assert tuple(row) == (doc_id, at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+
+
+def test_empty_table(spark, nothing, tokenizer, tmp_path):
+    token_store.write(nothing, str(tmp_path / "none"), tokenizer, parts=2)
+    assert token_store.read(spark, str(tmp_path / "none")).collect() == []
