@@ -233,12 +233,13 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> tuple[
     repeat; of languages with equal code lengths the alphabetically first wins.
     """
     names = fresh(docs, "lang_pred", "score", "bits_per_byte")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model and vars(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        learned = Model(**shared.value) if shared.value else None
         for whole in batches:
             for part in slices(whole, text):
-                langs, score, rate = decide(shared.value, texts(part, text))
+                langs, score, rate = decide(learned, texts(part, text))
                 columns = [*part.columns, pa.array(langs, pa.string()), pa.array(score), pa.array(rate)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, *names])
 

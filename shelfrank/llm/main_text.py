@@ -260,12 +260,13 @@ def extract(pages: DataFrame, trees: Trees | None, source: str = "html") -> tupl
     within a block is one space. Every row gives one row; a null, empty or
     textless page, and any page without trees, has an empty text."""
     names = fresh(pages, "text", "n_chars")
-    shared = pages.sparkSession.sparkContext.broadcast(trees)
+    shared = pages.sparkSession.sparkContext.broadcast(trees and vars(trees))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitted = Trees(**shared.value) if shared.value else None
         for whole in batches:
             for part in slices(whole, source):
-                found = main_texts(part.column(source).to_pylist(), shared.value)
+                found = main_texts(part.column(source).to_pylist(), fitted)
                 columns = [*part.columns, pa.array(found, pa.string()), pa.array(list(map(len, found)), pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, *names])
 
