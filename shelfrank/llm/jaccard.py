@@ -24,8 +24,9 @@ Steps, all of them Spark jobs:
    each prefix shingle, all its nodes are first compared with one leader; nodes
    that join one component need no comparison with each other. After STAR_ROUNDS
    such rounds the rest is compared exhaustively: every pair of nodes that share
-   a prefix shingle and lie in different components. So no link between
-   components is lost, and no group is cut.
+   a prefix shingle, lie in different components and could still link by what
+   their prefixes share. So no link between components is lost, and no group is
+   cut.
 4. `components` labels connected nodes by iterated minimum labels with pointer
    jumping; lineage is cut with checkpoint().
 
@@ -325,6 +326,16 @@ def _can_link() -> Column:
     return 100 * most >= PERCENT * (F.col("n") + F.col("other_n") - most)
 
 
+def _prefixes_allow() -> Column:
+    """True at the least shingle that two prefixes share, if the overlap can
+    suffice: beyond what the prefixes share, it lies behind the prefix of the
+    node whose prefix ends first."""
+    both = F.array_intersect("p1", "other_p1")
+    behind = F.greatest(F.col("s") - F.size("p1"), F.col("other_s") - F.size("other_p1"))
+    most = F.size(both) + behind
+    return (100 * most >= PERCENT * (F.col("n") + F.col("other_n") - most)) & (F.array_min(both) == F.col("shingle"))
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return (
         pairs.where(_can_link())
@@ -418,15 +429,12 @@ def links(nodes: DataFrame) -> DataFrame:
         )
         compare(at.join(leader, "shingle").where(F.col("comp") != F.col("other_comp")))
     at, main = open_places()
-    minor = at.join(main, "shingle").where(F.col("comp") != F.col("main"))
-    minor = minor.select(
-        "shingle",
-        F.col("node").alias("other"),
-        F.col("n").alias("other_n"),
-        F.col("s").alias("other_s"),
-        F.col("comp").alias("other_comp"),
+    at = at.join(main, "shingle").join(nodes.select("node", "p1"), "node").checkpoint()
+    minor = at.where(F.col("comp") != F.col("main")).select(
+        "shingle", *(F.col(c).alias(o) for c, o in (("node", "other"), *((c, f"other_{c}") for c in ("n", "s", "comp", "p1"))))
     )
-    compare(at.join(minor, "shingle").where((F.col("comp") != F.col("other_comp")) & _can_link()))
+    rest = at.join(minor, "shingle").where((F.col("comp") != F.col("other_comp")) & _can_link() & _prefixes_allow())
+    compare(rest)
     return label
 
 
