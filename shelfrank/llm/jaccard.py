@@ -70,7 +70,7 @@ _ODD = [
 _FP_BITS = 39
 _FREQUENT_BYTE = 255  # the high byte of a fingerprint is below 128
 _FREQUENT_ID = 1 << 62
-_FREQUENT_DF = 1 << 40
+_FREQUENT_DF = (1 << 32) - 1
 
 
 class _Words(dict):
@@ -171,6 +171,17 @@ _PACKED = T.StructType(
     ]
 )
 
+_MET = T.StructType(
+    [
+        T.StructField("part", T.IntegerType()),
+        T.StructField("nodes", T.BinaryType()),
+        T.StructField("size", T.BinaryType()),
+        T.StructField("held", T.BinaryType()),
+        T.StructField("ids", T.BinaryType()),
+        T.StructField("dfs", T.BinaryType()),
+    ]
+)
+
 _SHARED = T.StructType(
     [
         T.StructField("node", T.BinaryType()),
@@ -233,40 +244,84 @@ def _joined(column: pa.ChunkedArray, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype)
 
 
-def _meet(packed: pa.Table) -> pa.Table:
-    """The fingerprints of one bucket that two nodes have, by node."""
-    bucket = packed.column("bucket")[0].as_py()
-    fp = _joined(packed.column("low"), np.uint32).astype(np.int64)
-    high = _joined(packed.column("high"), np.uint8)
-    fp |= high.astype(np.int64) << 32
-    keys = _joined(packed.column("nodes"), np.uint64).reshape(-1, 2)
-    size = _joined(packed.column("size"), np.uint32)
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the first of each different key in key order, and the number
+    that each key has in this order."""
     order = np.lexsort((keys[:, 1], keys[:, 0]))
     new = np.append(True, (keys[order][1:] != keys[order][:-1]).any(1))
-    node = np.empty(len(keys), np.int64)
-    node[order] = np.cumsum(new) - 1
-    keys, size = keys[order][new], size[order][new]
-    node = np.repeat(node, _joined(packed.column("held"), np.uint32))
-    order = np.lexsort((node, fp))
-    fp, node, often = fp[order], node[order], (high == _FREQUENT_BYTE)[order]
-    starts = np.append(True, fp[1:] != fp[:-1])
-    keep = starts | np.append(True, node[1:] != node[:-1])  # one of each (fingerprint, node)
-    group = np.cumsum(starts) - 1
-    df = np.bincount(group[keep])[group]
-    keep &= often | (df > 1)
-    fp, node, often, df = fp[keep], node[keep], often[keep], df[keep]
-    ids = np.where(often, _FREQUENT_ID | (fp & 0xFFFFFFFF), (np.int64(bucket) << _FP_BITS) | fp)
-    df = np.where(often, _FREQUENT_DF, df)
-    order = np.argsort(node, kind="stable")
-    held = np.bincount(node, minlength=len(keys))
-    some = np.flatnonzero(held)
-    offsets = pa.array(np.append(0, np.cumsum(held[some])).astype(np.int32))
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
+
+
+def _meet(n_parts: int):
+    """The fingerprints of one bucket that two nodes have, a binary row per part
+    of the nodes."""
+
+    def run(packed: pa.Table) -> pa.Table:
+        bucket = packed.column("bucket")[0].as_py()
+        fp = _joined(packed.column("low"), np.uint32).astype(np.int64)
+        high = _joined(packed.column("high"), np.uint8)
+        fp |= high.astype(np.int64) << 32
+        keys = _joined(packed.column("nodes"), np.uint64).reshape(-1, 2)
+        size = _joined(packed.column("size"), np.uint32)
+        first, node = _numbered(keys)
+        keys, size = keys[first], size[first]
+        node = np.repeat(node, _joined(packed.column("held"), np.uint32))
+        order = np.lexsort((node, fp))
+        fp, node, often = fp[order], node[order], (high == _FREQUENT_BYTE)[order]
+        starts = np.append(True, fp[1:] != fp[:-1])
+        keep = starts | np.append(True, node[1:] != node[:-1])  # one of each (fingerprint, node)
+        group = np.cumsum(starts) - 1
+        df = np.bincount(group[keep])[group]
+        keep &= often | (df > 1)
+        fp, node, often, df = fp[keep], node[keep], often[keep], df[keep]
+        ids = np.where(often, _FREQUENT_ID | (fp & 0xFFFFFFFF), (np.int64(bucket) << _FP_BITS) | fp)
+        df = np.where(often, _FREQUENT_DF, np.minimum(df, _FREQUENT_DF - 1)).astype(np.uint32)
+        # By part, then by node.
+        part = (keys[:, 1] % np.uint64(n_parts)).astype(np.int64)
+        order = np.lexsort((node, part[node]))
+        ids, df, node = ids[order], df[order], node[order]
+        edge = np.searchsorted(part[node], np.arange(n_parts + 1))
+        rows = []
+        for p in range(n_parts):
+            i, j = edge[p], edge[p + 1]
+            if i < j:
+                new = np.flatnonzero(np.diff(node[i:j], prepend=-1))
+                held = np.diff(np.append(new, j - i)).astype(np.uint32)
+                who = node[i:j][new]
+                rows.append((p, keys[who], size[who], held, ids[i:j], df[i:j]))
+        return pa.table(
+            [pa.array([r[0] for r in rows], pa.int32())]
+            + [pa.array([r[c].tobytes() for r in rows], pa.binary()) for c in range(1, 6)],
+            names=_MET.fieldNames(),
+        )
+
+    return run
+
+
+def _gather(met: pa.Table) -> pa.Table:
+    """The shared shingles of a part's nodes, of those with enough to link."""
+    keys = _joined(met.column("nodes"), np.uint64).reshape(-1, 2)
+    size = _joined(met.column("size"), np.uint32)
+    held = _joined(met.column("held"), np.uint32)
+    first, node = _numbered(keys)
+    keys, size = keys[first], size[first].astype(np.int64)
+    total = np.bincount(node, held, minlength=len(keys)).astype(np.int64)
+    enough = 100 * total >= PERCENT * size
+    node = np.repeat(node, held)
+    take = np.flatnonzero(enough[node])
+    take = take[np.argsort(node[take], kind="stable")]
+    some = np.flatnonzero(enough)
+    offsets = pa.array(np.append(0, np.cumsum(total[some])).astype(np.int32))
+    ids = _joined(met.column("ids"), np.int64)[take]
+    dfs = _joined(met.column("dfs"), np.uint32)[take].astype(np.int64)
     return pa.table(
         [
             pa.array([keys[i].tobytes() for i in some], pa.binary()),
-            pa.array(size[some].astype(np.int64)),
-            pa.ListArray.from_arrays(offsets, pa.array(ids[order])),
-            pa.ListArray.from_arrays(offsets, pa.array(df[order])),
+            pa.array(size[some]),
+            pa.ListArray.from_arrays(offsets, pa.array(ids)),
+            pa.ListArray.from_arrays(offsets, pa.array(dfs)),
         ],
         names=_SHARED.fieldNames(),
     )
@@ -292,14 +347,9 @@ def shared(docs: DataFrame, n_shingles: int, often: np.ndarray) -> DataFrame:
         docs.select("text")
         .mapInArrow(_pack(n_buckets, spark.sparkContext.broadcast(often)), _PACKED)
         .groupBy("bucket")
-        .applyInArrow(_meet, _SHARED)
-        .groupBy("node")
-        .agg(
-            F.max("n").alias("n"),
-            F.flatten(F.collect_list("ids")).alias("ids"),
-            F.flatten(F.collect_list("dfs")).alias("dfs"),
-        )
-        .where(100 * F.size("ids") >= PERCENT * F.col("n"))
+        .applyInArrow(_meet(n_buckets), _MET)
+        .groupBy("part")
+        .applyInArrow(_gather, _SHARED)
     )
     exact = lambda df: df
     magnitude = lambda df: F.floor(F.log2(df.cast("double")))
