@@ -87,7 +87,7 @@ FEATURES = (
     + [f"attr_{k}" for k in LEXICON]
     + [f"above_{k}" for k in LEXICON]
     + ["depth", "log_chars", "link_density", "tag_density", "chars_per_block", "punctuation", "digits"]
-    + ["share_of_page", "share_of_parent", "place", "siblings", "same_tag_siblings", "index", "blocks_below"]
+    + ["share_of_parent", "place", "siblings", "same_tag_siblings", "blocks_below"]
 )
 _KINDS, _WORDS = len(TAG_KINDS), len(LEXICON)
 
@@ -278,8 +278,8 @@ def features(page: Page) -> np.ndarray:
         same: dict[str, int] = {}
         for k in kids:
             same[page.tag[k]] = same.get(page.tag[k], 0) + 1
-        for j, k in enumerate(kids):
-            out[k, -4], out[k, -3], out[k, -2] = len(kids), same[page.tag[k]] / len(kids), j / len(kids)
+        for k in kids:
+            out[k, -3], out[k, -2] = len(kids), same[page.tag[k]] / len(kids)
     first = 2 * _KINDS + 2 * _WORDS
     for i in range(n):
         row = out[i]
@@ -296,7 +296,7 @@ def features(page: Page) -> np.ndarray:
         for k in page.attrs[i]:
             row[2 * _KINDS + k] = 1
         c = max(1, chars[i])
-        row[first : first + 10] = (
+        row[first : first + 9] = (
             depth[i],
             math.log1p(chars[i]),
             min(1.0, linked[i] / c),
@@ -304,7 +304,6 @@ def features(page: Page) -> np.ndarray:
             chars[i] / max(1, blocks[i]),
             punct[i] / c,
             digits[i] / c,
-            chars[i] / total,
             chars[i] / max(1, chars[parent[i]] if i else c),
             (before[i] or 0) / total,
         )

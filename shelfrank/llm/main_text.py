@@ -33,10 +33,13 @@ ship(__name__)
 
 SAMPLE_PAGES = 200
 #: Layouts built for training.
-LAYOUTS = 500
-TREES = 20
+LAYOUTS = 600
+TREES = 24
 DEPTH = 5
-STEP = 0.3
+STEP = 0.4
+#: Bins per feature; the square is more than the training nodes, so that splits
+#: come from all of them.
+BINS = 160
 
 _MAIN = (
     ("article", ""),
@@ -217,9 +220,12 @@ def train(pages: DataFrame, sample: int = SAMPLE_PAGES, layouts: int = LAYOUTS)
         rows.append(features(page))
         marks.append(labelled(page))
     x, y = np.vstack(rows), np.concatenate(marks)
-    table = pa.table({"x": pa.array(x.tolist(), pa.list_(pa.float64())), "label": pa.array(y.astype(float))})
-    data = spark.createDataFrame(table).select(array_to_vector("x").alias("features"), "label").repartition(8).checkpoint()
-    fitted = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=1, maxBins=32).fit(data)
+    table = pa.table(
+        {"i": pa.array(range(len(y))), "x": pa.array(x.tolist(), pa.list_(pa.float64())), "label": pa.array(y.astype(float))}
+    )
+    nodes = spark.createDataFrame(table).repartition(8, "i").sortWithinPartitions("i")
+    data = nodes.select(array_to_vector("x").alias("features"), "label").checkpoint()
+    fitted = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=1, maxBins=BINS).fit(data)
     return _arrays(fitted)
 
 
