@@ -36,31 +36,33 @@ MARK_IDS = 4096
 MIN_PAIR = 8
 MAX_RULES = 16_000
 MAX_ROUNDS = 16
+#: Rounds end when one shortens the sequence by less than this share.
+LEAST_SAVED = 0.004
 RULES_PER_ROUND = 4_000
 _BINS = 1 << 18
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _frequent(code: np.ndarray, least: int, most: int) -> np.ndarray:
-    """Sorted codes of the most frequent pairs. Bins of hashed codes leave out
+def _frequent(code: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of the most frequent pairs, the positions where they occur, and
+    which of them occurs there. Bins of hashed codes leave out the positions of
     pairs that cannot be frequent before the exact count."""
-    h = ((code.view(np.uint64) * _ODD) >> np.uint64(64 - 18)).astype(np.int64)
-    maybe = np.bincount(h, minlength=_BINS)[h] >= least
-    value, times = np.unique(code[maybe], return_counts=True)
-    good = times >= least
-    value, times = value[good], times[good]
-    order = np.lexsort((value, -times))[:most]
-    return np.sort(value[order])
-
-
-def _first_of_runs(hit: np.ndarray) -> np.ndarray:
-    """Positions to replace: in a run of overlapping hits, every second one."""
-    at = np.flatnonzero(hit)
-    if not len(at):
-        return at
+    h = (code.view(np.uint64) * _ODD) >> np.uint64(64 - 18)
+    maybe = np.flatnonzero((np.bincount(h.view(np.int64), minlength=_BINS) >= least)[h])
+    value, which, times = np.unique(code[maybe], return_inverse=True, return_counts=True)
+    good = np.flatnonzero(times >= least)
+    good = np.sort(good[np.argsort(-times[good], kind="stable")[:most]])
+    number = np.full(len(value), -1, np.int64)
+    number[good] = np.arange(len(good))
+    hit = number[which] >= 0
+    return value[good], maybe[hit], number[which[hit]]
+
+
+def _without_overlaps(at: np.ndarray) -> np.ndarray:
+    """Of runs of neighbouring positions, mark every second, from the first on."""
     new = np.append(True, np.diff(at) != 1)
     run = np.maximum.accumulate(np.where(new, at, 0))
-    return at[(at - run) % 2 == 0]
+    return (at - run) % 2 == 0
 
 
 def compress(ids: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray]:
@@ -72,18 +74,21 @@ def compress(ids: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray]:
         if len(seq) < 2 or room <= 0:
             break
         code = (seq[:-1] << 32) | seq[1:]
-        pairs = _frequent(code, MIN_PAIR, room)
+        pairs, at, which = _frequent(code, MIN_PAIR, room)
         if not len(pairs):
             break
-        where = np.minimum(np.searchsorted(pairs, code), len(pairs) - 1)
-        at = _first_of_runs(pairs[where] == code)
-        used, number = np.unique(where[at], return_inverse=True)
-        seq = seq.copy()
-        seq[at] = terminals + len(rules) + number
+        free = _without_overlaps(at)
+        at, which = at[free], which[free]
+        used = np.bincount(which, minlength=len(pairs)) > 0
+        symbol = np.cumsum(used) - 1 + terminals + len(rules)
+        seq[at] = symbol[which]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        seq = seq[keep]
-        rules = np.vstack([rules, np.stack([pairs[used] >> 32, pairs[used] & 0xFFFFFFFF], 1)])
+        saved, seq = len(at), seq[keep]
+        pairs = pairs[used]
+        rules = np.vstack([rules, np.stack([pairs >> 32, pairs & 0xFFFFFFFF], 1)])
+        if saved < LEAST_SAVED * len(seq):
+            break
     return seq, rules
 
 

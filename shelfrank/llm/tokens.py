@@ -19,7 +19,7 @@ from shelfrank.llm.common import ship
 ship(__name__)
 
 #: Pieces and words whose ids a task keeps.
-KEPT = 400_000
+KEPT = 600_000
 
 # The normalizer and splitting pattern of the tokenizers whose
 # pieces are independent.
