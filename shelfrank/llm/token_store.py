@@ -46,6 +46,7 @@ BLOCKS = T.StructType(
         T.StructField("last_doc_id", T.LongType()),
         T.StructField("n_docs", T.LongType()),
         T.StructField("n_ids", T.LongType()),
+        T.StructField("ahead", T.LongType()),
         T.StructField("block", T.BinaryType()),
     ]
 )
@@ -86,28 +87,31 @@ def _encoded(tokenizer: str, end_id: int, cuts: list[int]):
 
 
 def _blocks(shard_ids: int):
-    """Blocks of a sorted partition; rows of one part follow each other."""
+    """Blocks of a sorted partition, where rows of one part follow each other.
+    `ahead` counts the ids of the part's earlier blocks."""
 
-    def block(part: int, shard: int, doc_ids: list, docs: list, terminals: int) -> pa.RecordBatch:
+    def block(part: int, shard: int, ahead: int, doc_ids: list, docs: list, terminals: int) -> pa.RecordBatch:
         known = [d for d in doc_ids if d is not None]
         payload = encode_shard(doc_ids, docs, terminals)
-        row = (part, shard, min(known, default=None), max(known, default=None), len(docs), sum(map(len, docs)), payload)
-        types = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        ends = min(known, default=None), max(known, default=None)
+        row = (part, shard, *ends, len(docs), sum(map(len, docs)), ahead, payload)
+        types = (pa.int32(), pa.int32(), *[pa.int64()] * 5, pa.binary())
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=BLOCKS.fieldNames())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, shard, held, doc_ids, docs, terminals = None, 0, 0, [], [], 0
+        part, shard, ahead, held, doc_ids, docs, terminals = None, 0, 0, 0, [], [], 0
         for batch in batches:
             for p, d, ids, vocabulary in zip(*(c.to_pylist() for c in batch.columns)):
                 if docs and (p != part or held >= shard_ids):
-                    yield block(part, shard, doc_ids, docs, terminals)
-                    shard, held, doc_ids, docs = (shard + 1 if p == part else 0), 0, [], []
+                    yield block(part, shard, ahead, doc_ids, docs, terminals)
+                    shard, ahead = (shard + 1, ahead + held) if p == part else (0, 0)
+                    held, doc_ids, docs = 0, [], []
                 part, terminals = p, vocabulary
                 docs.append(np.frombuffer(ids, "<u2" if vocabulary <= 1 << 16 else "<u4"))
                 doc_ids.append(d)
                 held += len(docs[-1])
         if docs:
-            yield block(part, shard, doc_ids, docs, terminals)
+            yield block(part, shard, ahead, doc_ids, docs, terminals)
 
     return run
 
@@ -142,25 +146,16 @@ def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def with_base(blocks: DataFrame) -> DataFrame:
-    """blocks with `base`, the number of ids in all blocks before. Totals by part
-    (as many rows as there are ranges) are added up first."""
-    spark = blocks.sparkSession
+    """blocks with `base`, the number of ids in all blocks before. Only totals by
+    part are added up on the driver and broadcast: as many rows as there are
+    ranges, whatever the number of documents."""
     totals = blocks.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect()
     before, rows = 0, []
     for part, n in totals:
         rows.append((part, before))
         before += n
-    starts = spark.createDataFrame(rows, "part int, part_base long")
-    inside = blocks.alias("x").join(
-        blocks.select("part", F.col("shard").alias("earlier"), F.col("n_ids").alias("m")).alias("y"),
-        (F.col("x.part") == F.col("y.part")) & (F.col("y.earlier") < F.col("x.shard")),
-    )
-    ahead = inside.groupBy("x.part", "x.shard").agg(F.sum("m").alias("ahead"))
-    return (
-        blocks.join(starts, "part")
-        .join(ahead, ["part", "shard"], "left")
-        .withColumn("base", F.col("part_base") + F.coalesce("ahead", F.lit(0)))
-    )
+    starts = blocks.sparkSession.createDataFrame(rows, "part int, part_base long")
+    return blocks.join(F.broadcast(starts), "part").withColumn("base", F.col("part_base") + F.col("ahead"))
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
