@@ -53,8 +53,8 @@ def held_out(doc_id: str = "doc_id"):
 
 def training_sample(docs: DataFrame, per_lang: int = SAMPLE_DOCS) -> DataFrame:
     """(lang, text) of at most per_lang training documents per language. Ids are
-    chosen first, without texts; the ids chosen (languages x per_lang) then
-    fetch their texts."""
+    chosen first, without texts; the ids chosen, at most per_lang for each
+    language, are broadcast and fetch their texts where they lie."""
     usable = docs.where(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()
     )
@@ -66,7 +66,7 @@ def training_sample(docs: DataFrame, per_lang: int = SAMPLE_DOCS) -> DataFrame:
         .select("doc_id", "lang")
         .distinct()
     )
-    return usable.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi").drop("doc_id")
+    return usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").drop("doc_id")
 
 
 _COUNTS = T.StructType(

@@ -266,7 +266,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Deci
 
     Labels of null id or quality are left out; a document labelled more than
     once counts as bad if any label says so. The sample holds at most `sample`
-    documents, half of them bad where there are as many. Without labels, or
+    documents, half of them bad where there are as many, so it may be broadcast. Without labels, or
     without bad ones, the list is empty: every document is good."""
     marked = (
         labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
@@ -278,7 +278,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Deci
         marked.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2) for q in (0, 1)
     ]
     chosen = halves[0].unionByName(halves[1])
-    rows, names = with_stats(docs.select("doc_id", "text").join(chosen, "doc_id"))
+    rows, names = with_stats(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
     stats = [*COUNTS, *RATIOS]
     used = [s for s in stats if s not in ("n_words", "word_chars")]
     found = rows.select("doc_id", "quality", *(names[s] for s in used)).toPandas()
