@@ -86,10 +86,15 @@ FEATURES = (
     + [f"in_{k}" for k in TAG_KINDS]
     + [f"attr_{k}" for k in LEXICON]
     + [f"above_{k}" for k in LEXICON]
+    + ["beside_here", "beside_above", "content_above"]
     + ["depth", "log_chars", "link_density", "tag_density", "chars_per_block", "punctuation", "digits"]
     + ["share_of_parent", "place", "siblings", "same_tag_siblings", "blocks_below"]
 )
 _KINDS, _WORDS = len(TAG_KINDS), len(LEXICON)
+_CONTENT = list(LEXICON).index("content")
+#: Tags that surround an article as a rule, and that hold one.
+_BESIDE_TAGS = [list(TAG_KINDS).index(k) for k in ("nav", "header", "footer", "aside", "form")]
+_CONTENT_TAGS = [list(TAG_KINDS).index(k) for k in ("article", "main")]
 
 
 class Page:
@@ -280,7 +285,10 @@ def features(page: Page) -> np.ndarray:
             same[page.tag[k]] = same.get(page.tag[k], 0) + 1
         for k in kids:
             out[k, -3], out[k, -2] = len(kids), same[page.tag[k]] / len(kids)
-    first = 2 * _KINDS + 2 * _WORDS
+    words = 2 * _KINDS
+    above = words + _WORDS
+    told = above + _WORDS
+    first = told + 3
     for i in range(n):
         row = out[i]
         kind = _TAG_KIND.get(page.tag[i])
@@ -288,13 +296,14 @@ def features(page: Page) -> np.ndarray:
             p = parent[i]
             depth[i] = depth[p] + 1
             row[_KINDS : 2 * _KINDS] = np.maximum(out[p, _KINDS : 2 * _KINDS], out[p, :_KINDS])
-            row[2 * _KINDS + _WORDS : first] = np.maximum(
-                out[p, 2 * _KINDS + _WORDS : first], out[p, 2 * _KINDS : 2 * _KINDS + _WORDS]
-            )
+            row[above:told] = np.maximum(out[p, above:told], out[p, words:above])
+            row[told + 1] = max(out[p, told], out[p, told + 1])
+            row[told + 2] = max(out[p, told + 2], out[p, words + _CONTENT], *out[p, _CONTENT_TAGS])
         if kind is not None:
             row[kind] = 1
         for k in page.attrs[i]:
-            row[2 * _KINDS + k] = 1
+            row[words + k] = 1
+        row[told] = kind in _BESIDE_TAGS or any(k != _CONTENT for k in page.attrs[i])
         c = max(1, chars[i])
         row[first : first + 9] = (
             depth[i],

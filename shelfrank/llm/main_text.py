@@ -33,13 +33,13 @@ ship(__name__)
 
 SAMPLE_PAGES = 200
 #: Layouts built for training.
-LAYOUTS = 600
-TREES = 24
-DEPTH = 5
-STEP = 0.4
+LAYOUTS = 900
+TREES = 32
+DEPTH = 4
+STEP = 0.3
 #: Bins per feature; the square is more than the training nodes, so that splits
 #: come from all of them.
-BINS = 160
+BINS = 180
 
 _MAIN = (
     ("article", ""),
@@ -53,12 +53,12 @@ _MAIN = (
     ("section", 'class="story"'),
     ("div", ""),
 )
-#: Surroundings: (elements that may hold them, contents: l links, t short text, p paragraphs, f form fields).
+#: Surroundings: (elements that may hold them, contents: l links, t short text, p paragraphs, h heading, f form fields, c comments).
 _OUTSIDE = {
     "top": ((("nav", ""), ("ul", 'class="menu"'), ("div", 'class="navbar"'), ("div", 'id="nav"')), "l"),
     "crumbs": ((("div", 'class="breadcrumbs"'), ("nav", 'class="breadcrumb"')), "l"),
-    "header": ((("header", ""), ("div", 'id="header"'), ("div", 'class="site-header masthead"')), "tl"),
-    "footer": ((("footer", ""), ("div", 'id="footer"'), ("div", 'class="site-footer"')), "tp"),
+    "header": ((("header", ""), ("div", 'id="header"'), ("div", 'class="header"'), ("div", 'class="site-header masthead"')), "tlhh"),
+    "footer": ((("footer", ""), ("div", 'id="footer"'), ("div", 'class="footer"'), ("div", 'class="site-footer"')), "tpl"),
     "side": ((("aside", ""), ("div", 'class="sidebar"'), ("div", 'id="sidebar"'), ("div", 'class="related widget"')), "lp"),
 }
 _ANYWHERE = {
@@ -82,6 +82,8 @@ class Layout:
         words = self.dice.choice(self.texts).split()
         if few:
             words = words[: self.dice.randint(1, 8)]
+        elif self.dice.random() < 0.4:
+            words = words[: self.dice.randint(5, 20)]
         plain = " ".join(words).replace("&", "&amp;").replace("<", "&lt;")
         return (self.MARK if main else "") + plain
 
@@ -95,6 +97,9 @@ class Layout:
             if dice.random() < 0.7:
                 return "<ul>" + "".join(f"<li>{x}</li>" for x in items) + "</ul>"
             return dice.choice([" | ", " ", ""]).join(items)
+        if kind == "h":
+            level = dice.choice("1223")
+            return f"<h{level}>{self.text(few=True)}</h{level}>" + dice.choice(["", self.filling("l")])
         if kind == "f":
             return f"<p>{self.text(few=True)}</p><label>{self.text(few=True)}</label><input><button>{self.text(few=True)}</button>"
         if kind == "c":
