@@ -45,6 +45,19 @@ def texts(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 
 
+def placed(df: DataFrame, parts: int, *columns: str) -> DataFrame:
+    """df checkpointed in `parts` partitions by hash of columns, such that later
+    joins on these columns leave it where it is. An adaptive plan would not tell
+    its partitioning to the checkpoint, so it is off for this one job."""
+    conf, key = df.sparkSession.conf, "spark.sql.adaptive.enabled"
+    before = conf.get(key)
+    conf.set(key, "false")
+    try:
+        return df.repartition(parts, *columns).checkpoint()
+    finally:
+        conf.set(key, before)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names for added columns, with underscores until none clashes with
     a column of df (Spark's names ignore case)."""

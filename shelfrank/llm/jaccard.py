@@ -47,7 +47,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfrank.llm.common import ship, slices, texts
+from shelfrank.llm.common import placed, ship, slices, texts
+from shelfrank.llm.ranges import default_parts
 from shelfrank.session import scratch_path
 
 ship(__name__)
@@ -362,9 +363,8 @@ def shared(docs: DataFrame, n_shingles: int, often: np.ndarray) -> DataFrame:
         _prefix(2, exact).alias("p2"),
         _prefix(3, magnitude).alias("p3"),
     )
-    path = scratch_path(spark, "shared")
-    out.write.parquet(path)
-    return spark.read.schema(out.schema).parquet(path)
+    # Placed by node once: the joins on nodes below shuffle only their other side.
+    return placed(out, default_parts(docs), "node")
 
 
 # ------------------------------------------------------------- pairs and links
