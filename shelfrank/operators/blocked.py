@@ -91,12 +91,36 @@ def dense_matrix(vectors: pd.Series) -> np.ndarray:
     return np.vstack([np.asarray(v, dtype=np.float64) for v in vectors.values])
 
 
-def sparse_matrix(terms: pd.Series, weights: pd.Series, vocab: dict) -> np.ndarray:
-    m = np.zeros((len(terms), len(vocab)))
-    for i, (ts, ws) in enumerate(zip(terms.values, weights.values)):
-        for t, w in zip(ts, ws):
-            m[i, vocab[t]] += w
-    return m
+# Terms multiplied at a time in sparse products: a task holds two dense slabs of
+# block rows x TERM_CHUNK besides the score matrix, whatever the vocabulary.
+TERM_CHUNK = 2048
+
+
+def sparse_rows(terms, weights=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, term, weight) triples of rows given as lists; weight 1 if not given."""
+    size = np.array([len(t) for t in terms], dtype=np.int64)
+    row = np.repeat(np.arange(len(size)), size)
+    flat = np.concatenate([np.asarray(t) for t in terms]) if size.sum() else np.zeros(0, dtype=np.int64)
+    w = np.ones(len(flat))
+    if weights is not None and len(flat):
+        w = np.concatenate([np.asarray(x, float) for x in weights])
+    return row, flat, w
+
+
+def sparse_product(left, right, n_left: int, n_right: int) -> np.ndarray:
+    """Dense left @ right.T of two triple lists over the same terms."""
+    out = np.zeros((n_left, n_right))
+    shared = np.intersect1d(left[1], right[1])
+    (lr, lt, lw), (rr, rt, rw) = (tuple(x[np.isin(t[1], shared)] for x in t) for t in (left, right))
+    lt, rt = np.searchsorted(shared, lt), np.searchsorted(shared, rt)
+    for start in range(0, len(shared), TERM_CHUNK):
+        width = min(TERM_CHUNK, len(shared) - start)
+        a, b = np.zeros((n_left, width)), np.zeros((n_right, width))
+        for slab, (r, t, w) in ((a, (lr, lt, lw)), (b, (rr, rt, rw))):
+            here = (t >= start) & (t < start + width)
+            np.add.at(slab, (r[here], t[here] - start), w[here])
+        out += a @ b.T
+    return out
 
 
 def unit_rows(m: np.ndarray) -> np.ndarray:
@@ -132,26 +156,58 @@ def threshold_pairs(ids_a, ua, ids_b, ub, threshold: float, same: bool, chunk: i
     return np.concatenate(out_a), np.concatenate(out_b), np.concatenate(out_s)
 
 
+# Scores are ranked on their value rounded to this many digits.
+RANK_DIGITS = 9
+# A score this near (in units of the last digit) to where rounding changes is
+# kept whatever its ties, as engines may round it either way.
+ROUNDING_MARGIN = 1e-3
+
+
+def cut_ties(rows, order_ids, scores, k: int) -> np.ndarray:
+    """Positions to keep so that each row's top k by (rounded score desc, id asc)
+    stays: of equal rounded scores in a row only the k lowest ids can be in it."""
+    unit = scores * 10.0**RANK_DIGITS
+    key = np.round(unit)
+    unsure = np.abs(np.abs(unit - np.floor(unit)) - 0.5) < ROUNDING_MARGIN
+    order = np.lexsort((order_ids, key, rows))
+    r, q = rows[order], key[order]
+    new = np.append(True, (r[1:] != r[:-1]) | (q[1:] != q[:-1])) if len(r) else np.zeros(0, bool)
+    first = np.maximum.accumulate(np.where(new, np.arange(len(r)), 0))
+    keep = (np.arange(len(r)) - first < k) | unsure[order]
+    return np.sort(order[keep])
+
+
+def matrix_top_k(s: np.ndarray, col_ids, k: int, slack: float = 1e-8) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) positions of a superset of each row's top k finite scores:
+    everything within `slack` of the k-th best, less ties beyond the k lowest
+    ids."""
+    col_ids = np.asarray(col_ids)
+    if not s.size:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    kk = min(k, s.shape[1])
+    kth = -np.partition(-s, kk - 1, axis=1)[:, kk - 1]
+    r, c = np.nonzero((s >= (kth - slack)[:, None]) & np.isfinite(s))
+    if len(r) > k * s.shape[0]:
+        at = cut_ties(r, col_ids[c], s[r, c], k)
+        r, c = r[at], c[at]
+    return r, c
+
+
 def row_top_k(
-    ids_rows, ids_cols, left: np.ndarray, right: np.ndarray, k: int, positive_only: bool,
-    slack: float = 1e-8, chunk: int = CHUNK_ROWS,
+    ids_rows, ids_cols, left: np.ndarray, right: np.ndarray, k: int, positive_only: bool, chunk: int = CHUNK_ROWS
 ):
-    """Per row of left @ right.T, a superset of its top-k columns by score:
-    every column whose score is within `slack` of the row's k-th best (the
+    """Per row of left @ right.T, a superset of its top-k columns by score (the
     exact rank, with rounding and id tie-break, is applied afterwards in
-    Spark)."""
+    Spark). A row emits about k columns, however many of them tie."""
     ids_rows, ids_cols = np.asarray(ids_rows), np.asarray(ids_cols)
     out_r, out_c, out_s = [ids_rows[:0]], [ids_cols[:0]], [np.zeros(0)]
     if len(ids_rows) == 0 or len(ids_cols) == 0:
         return out_r[0], out_c[0], out_s[0]
-    kk = min(k, len(ids_cols))
     for start in range(0, len(ids_rows), chunk):
         s = left[start : start + chunk] @ right.T
         if positive_only:
             s = np.where(s > 0, s, -np.inf)
-        kth = -np.partition(-s, kk - 1, axis=1)[:, kk - 1]
-        keep = (s >= (kth - slack)[:, None]) & np.isfinite(s)
-        r, c = np.nonzero(keep)
+        r, c = matrix_top_k(s, ids_cols, k)
         out_r.append(ids_rows[start + r])
         out_c.append(ids_cols[c])
         out_s.append(s[r, c])
@@ -165,36 +221,21 @@ def self_similarity(
     df: DataFrame,
     id_col: str,
     threshold: float,
-    vector_col: str | None = None,
-    terms_col: str | None = None,
-    weights_col: str | None = None,
+    vector_col: str,
     id_type: str = "int",
     block_rows: int = DEFAULT_BLOCK_ROWS,
     n_blocks: int | None = None,
 ) -> DataFrame:
-    """All ordered pairs (a, b), a != b, with cosine(a, b) > threshold.
-
-    Vectors are dense (`vector_col`, numeric array) or sparse (`terms_col`
-    array<string> with `weights_col` array<double>). Rows with a zero norm
-    must be removed by the caller (their cosine is undefined).
-    Output: (a, b, sim).
+    """All ordered pairs (a, b), a != b, with cosine(a, b) > threshold, of dense
+    vectors (numeric arrays). Rows with a zero norm must be removed by the caller
+    (their cosine is undefined). Output: (a, b, sim).
     """
-    cols = [id_col] + [c for c in (vector_col, terms_col, weights_col) if c]
-    data = df.select(*cols)
+    data = df.select(id_col, vector_col)
     nb = n_blocks or plan_blocks(data, block_rows)
-    rep = replicate_self(data, id_col, nb)
-    dense = vector_col is not None
 
     def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi = int(pdf["_lo"].iloc[0]), int(pdf["_hi"].iloc[0])
-        if dense:
-            mat = unit_rows(dense_matrix(pdf[vector_col]))
-        else:
-            vocab: dict = {}
-            for ts in pdf[terms_col].values:
-                for t in ts:
-                    vocab.setdefault(t, len(vocab))
-            mat = unit_rows(sparse_matrix(pdf[terms_col], pdf[weights_col], vocab))
+        mat = unit_rows(dense_matrix(pdf[vector_col]))
         ids = pdf[id_col].values
         blk = pdf["_b"].values
         if lo == hi:
@@ -205,7 +246,78 @@ def self_similarity(
         return pd.DataFrame({"a": a, "b": b, "sim": np.asarray(s, dtype=np.float64)})
 
     schema = f"a {id_type}, b {id_type}, sim double"
-    return rep.groupBy("_lo", "_hi").applyInPandas(kernel, schema=schema)
+    return replicate_self(data, id_col, nb).groupBy("_lo", "_hi").applyInPandas(kernel, schema=schema)
+
+
+def _sides(pdf: pd.DataFrame) -> list[tuple[pd.DataFrame, pd.DataFrame]]:
+    """The (rows, columns) a block pair answers for: each of two blocks against
+    the other, or a block against itself."""
+    lo, hi = int(pdf["_lo"].iloc[0]), int(pdf["_hi"].iloc[0])
+    if lo == hi:
+        return [(pdf, pdf)]
+    a, b = pdf[pdf["_b"] == lo], pdf[pdf["_b"] == hi]
+    return [(a, b), (b, a)]
+
+
+def sparse_neighbours(
+    df: DataFrame,
+    id_col: str,
+    terms_col: str,
+    weights_col: str,
+    order_col: str,
+    k: int,
+    id_type: str = "string",
+    block_rows: int = 1024,
+    n_blocks: int | None = None,
+) -> DataFrame:
+    """(a, b, sim), b != a: a superset of each row's k rows of highest positive
+    cosine, ties by order_col, over sparse vectors (term and weight arrays).
+
+    Each block pair cuts to k inside its task, so about k rows leave it per row,
+    and rows x blocks x k in all, not all pairs.
+    """
+    data = df.select(id_col, terms_col, weights_col, order_col)
+    nb = n_blocks or plan_blocks(data, block_rows)
+
+    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b, sim = [], [], []
+        for rows, cols in _sides(pdf):
+            left, right = (sparse_rows(x[terms_col].values, x[weights_col].values) for x in (rows, cols))
+            norm = [np.sqrt(np.bincount(t[0], t[2] ** 2, minlength=len(x))) for t, x in ((left, rows), (right, cols))]
+            s = sparse_product(left, right, len(rows), len(cols)) / norm[0][:, None] / norm[1][None, :]
+            s[s <= 0] = -np.inf
+            ids, others = rows[id_col].values, cols[id_col].values
+            s[ids[:, None] == others[None, :]] = -np.inf
+            r, c = matrix_top_k(s, cols[order_col].values, k)
+            a.append(ids[r])
+            b.append(others[c])
+            sim.append(s[r, c])
+        return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b), "sim": np.concatenate(sim)})
+
+    schema = f"a {id_type}, b {id_type}, sim double"
+    return replicate_self(data, id_col, nb).groupBy("_lo", "_hi").applyInPandas(kernel, schema=schema)
+
+
+def set_overlaps(
+    df: DataFrame, id_col: str, members_col: str, block_rows: int = 1024, n_blocks: int | None = None
+) -> DataFrame:
+    """(a, b, n), a < b: the number of members that two rows' arrays share, where
+    it is not 0. One row per pair leaves a task, however many members they share."""
+    data = df.select(F.col(id_col).cast("int").alias(id_col), members_col)
+    nb = n_blocks or plan_blocks(data, block_rows)
+
+    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows, cols = _sides(pdf)[0]
+        left, right = (sparse_rows(x[members_col].values) for x in (rows, cols))
+        n = sparse_product(left, right, len(rows), len(cols))
+        ids, others = rows[id_col].values, cols[id_col].values
+        if rows is cols:
+            n[ids[:, None] >= others[None, :]] = 0
+        r, c = np.nonzero(n)
+        a, b = ids[r], others[c]
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "n": n[r, c].astype(np.int64)})
+
+    return replicate_self(data, id_col, nb).groupBy("_lo", "_hi").applyInPandas(kernel, schema="a int, b int, n long")
 
 
 def cross_top_k(
@@ -221,9 +333,8 @@ def cross_top_k(
 ) -> DataFrame:
     """Candidates for the top-k right rows of every left row by dot product.
 
-    Returns a superset (per left row and right block, everything within 1e-8
-    of the block's k-th best); rank it with `top_k_per_group` for the exact
-    top-k. Output: (a, b, score).
+    Returns a superset, about k rows per left row and right block; rank it with
+    `top_k_per_group` for the exact top-k. Output: (a, b, score).
 
     Shuffle volume is left rows x right blocks + right rows x left blocks, so
     with many more users than items give the left side large blocks

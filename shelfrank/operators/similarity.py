@@ -76,72 +76,60 @@ def factor_top_k(
     return ranked.select("userId", "rank", "productId", "score")
 
 
-# Users with more distinct items than this are candidates for the pair-free
-# treatment in cooccurrence_similarity.
+# Users with more distinct items than this are counted pair by pair of product
+# blocks instead of pair by pair of their items. The results do not depend on it.
 HEAVY_ITEMS = 1000
 
 
 def cooccurrence_similarity(
     ratings: DataFrame,
-    min_support: int = 3,
+    min_support: int = 1,
     k: int | None = MAX_RECS,
     heavy_items: int = HEAVY_ITEMS,
+    block_rows: int = 1024,
 ) -> DataFrame:
     """Item-CF: sim(a, b) = n_ab / sqrt(n_a * n_b), n = distinct users; pairs
     need n_ab >= min_support. Output (productId, simId, sim, rank), rank <= k.
 
-    n_ab = L_ab + H_ab, split between light users and at most min_support - 1
-    heavy users (the largest ones with more than `heavy_items` items). Then
-    H_ab <= min_support - 1, so every pair that qualifies has L_ab >= 1 and is
-    found by the light users' self-join; H_ab is added by lookup as
-    popcount(mask_a & mask_b), where mask_p has bit i set when heavy user i
-    rated p. A user holding a third of all ratings costs a bitmask, not its
-    m^2 pairs. The light self-join (a < b) is followed in the same stage by a
-    partial aggregate on (a, b), and AQE's skew join splits any remaining big
-    user on both sides. Exact: no pair and no rating is dropped.
+    n_ab = L_ab + H_ab, split between light and heavy users. A light user makes
+    at most heavy_items^2 / 2 pairs in a self-join (a < b), which a partial
+    aggregate on (a, b) follows in the same stage. Heavy users, however many,
+    make no pairs of their own: each product carries the list of its heavy
+    users, and product blocks meet in bounded tasks that count the lists'
+    overlaps, one row per pair of products. Exact: no pair and no rating is
+    dropped.
     """
     up = ratings.select("userId", "productId").distinct()
     n_item = up.groupBy("productId").agg(F.count("*").alias("n"))
-    n_heavy = max(0, min(min_support - 1, 63))
-    heavy = (
-        up.groupBy("userId")
-        .agg(F.count("*").alias("m"))
-        .where(F.col("m") > heavy_items)
-        .orderBy(F.col("m").desc(), F.col("userId").asc())
-        .limit(n_heavy)
-    )
-    # At most n_heavy (< 64) rows: a proven bound, broadcast.
-    heavy = F.broadcast(
-        heavy.withColumn("bit", F.row_number().over(Window.orderBy(F.col("m").desc(), "userId")) - 1)
-    )
-    light = up.join(heavy.select("userId"), "userId", "left_anti")
-    masks = (
-        up.join(heavy.select("userId", "bit"), "userId")
-        .groupBy("productId")
-        .agg(F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), bit)")).alias("mask"))
-    )
+    heavy = up.groupBy("userId").agg(F.count("*").alias("m")).where(F.col("m") > heavy_items).select("userId")
+    light = up.join(heavy, "userId", "left_anti")
     a = light.select("userId", F.col("productId").alias("a"))
     b = light.select("userId", F.col("productId").alias("b"))
     light_pairs = (
-        a.join(b, "userId").where(F.col("a") < F.col("b")).groupBy("a", "b").agg(F.count("*").alias("l_ab"))
+        a.join(b, "userId").where(F.col("a") < F.col("b")).groupBy("a", "b").agg(F.count("*").alias("n"))
     )
-    ma = masks.select(F.col("productId").alias("a"), F.col("mask").alias("ma"))
-    mb = masks.select(F.col("productId").alias("b"), F.col("mask").alias("mb"))
-    h_ab = F.coalesce(F.bit_count(F.col("ma").bitwiseAND(F.col("mb"))), F.lit(0))
-    pairs = (
-        light_pairs.join(ma, "a", "left")
-        .join(mb, "b", "left")
-        .select("a", "b", (F.col("l_ab") + h_ab).alias("n_ab"))
-        .where(F.col("n_ab") >= min_support)
+    ensure_checkpoint_dir(ratings.sparkSession)
+    lists = (
+        up.join(heavy, "userId", "left_semi")
+        .groupBy("productId")
+        .agg(F.collect_list("userId").alias("users"))
+        .checkpoint()
     )
+    pairs = light_pairs
+    if not lists.isEmpty():
+        heavy_pairs = blocked.set_overlaps(lists, "productId", "users", block_rows)
+        pairs = light_pairs.unionByName(heavy_pairs).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    pairs = pairs.select("a", "b", F.col("n").alias("n_ab")).where(F.col("n_ab") >= min_support)
     na = n_item.select(F.col("productId").alias("a"), F.col("n").alias("n_a"))
     nb = n_item.select(F.col("productId").alias("b"), F.col("n").alias("n_b"))
     scored = pairs.join(na, "a").join(nb, "b").select(
         "a", "b", (F.col("n_ab") / F.sqrt(F.col("n_a").cast("double") * F.col("n_b"))).alias("sim")
     )
-    both = scored.select(F.col("a").alias("productId"), F.col("b").alias("simId"), "sim").unionByName(
-        scored.select(F.col("b").alias("productId"), F.col("a").alias("simId"), "sim")
+    ends = F.array(
+        F.struct(F.col("a").alias("productId"), F.col("b").alias("simId")),
+        F.struct(F.col("b").alias("productId"), F.col("a").alias("simId")),
     )
+    both = scored.select(F.inline(ends), "sim")
     return rank_similar(both, k)
 
 
@@ -163,7 +151,6 @@ def tag_weights(products: DataFrame, tags_col: str = "tags") -> DataFrame:
 def content_similarity(
     products: DataFrame,
     k: int = MAX_RECS,
-    threshold: float = 0.0,
     block_rows: int = 1024,
 ) -> DataFrame:
     """Content neighbours: cosine of TF-IDF tag vectors, top k per product.
@@ -203,14 +190,9 @@ def content_similarity(
             F.transform("vec", lambda e: e["w"]).alias("weights"),
         )
     )
-    pairs = blocked.self_similarity(
-        profiles,
-        "profile",
-        threshold,
-        terms_col="terms",
-        weights_col="weights",
-        id_type="string",
-        block_rows=block_rows,
+    # Cut to k + 1 inside each block pair's task: pairs never leave it whole.
+    pairs = blocked.sparse_neighbours(
+        profiles, "profile", "terms", "weights", "min_id", k + 1, block_rows=block_rows
     )
     selfs = profiles.select(F.col("profile").alias("a"), F.col("profile").alias("b"), F.lit(1.0).alias("sim"))
     # Candidate profiles q of p: the first k+1 by (sim desc, min_id asc).

@@ -65,6 +65,9 @@ def rank_all(
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    # Range partitioning samples its input first: computing the input once, into
+    # the checkpoint folder, keeps the sampling from running it a second time.
+    df = df.checkpoint()
     # Without an explicit count AQE sizes the range partitions from the data;
     # it only merges adjacent ranges, so partition ids stay in range order.
     ranged = df.repartitionByRange(partitions, F.col(group), *order) if partitions else df.repartitionByRange(

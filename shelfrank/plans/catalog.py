@@ -29,7 +29,7 @@ PREVIEW_N = 10
 # No pair of the test embeddings reaches the production threshold 0.6; the
 # registered similarity queries use 0.2 (the operators default to 0.6).
 ITEM_SIM_THRESHOLD = 0.2
-ITEMCF_MIN_SUPPORT = 3
+ITEMCF_MIN_SUPPORT = 1
 STREAM_FILES = 4
 SERVE_N = 6
 # ALS in the registered queries: a small rank keeps them quick; the operator

@@ -87,7 +87,7 @@ def offline_job(
     tables.write_table(nested, _path(root, PRODUCT_RECS), key="productId")
 
 
-def itemcf_job(spark: SparkSession, root: str, min_support: int = 3, k: int = similarity.MAX_RECS) -> None:
+def itemcf_job(spark: SparkSession, root: str, min_support: int = 1, k: int = similarity.MAX_RECS) -> None:
     ratings = tables.read_table(spark, _path(root, RATINGS))
     ranked = similarity.cooccurrence_similarity(ratings, min_support, k)
     nested = topk.nest(ranked, "productId", "simId", "sim", rank_col="rank")
