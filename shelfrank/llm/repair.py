@@ -37,25 +37,37 @@ MIN_PAIR = 8
 MAX_RULES = 16_000
 MAX_ROUNDS = 16
 #: Rounds end when one shortens the sequence by less than this share.
-LEAST_SAVED = 0.004
+LEAST_SAVED = 0.01
 RULES_PER_ROUND = 4_000
-_BINS = 1 << 18
+_BIN_BITS = 18
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _frequent(code: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes of the most frequent pairs, the positions where they occur, and
-    which of them occurs there. Bins of hashed codes leave out the positions of
-    pairs that cannot be frequent before the exact count."""
-    h = (code.view(np.uint64) * _ODD) >> np.uint64(64 - 18)
-    maybe = np.flatnonzero((np.bincount(h.view(np.int64), minlength=_BINS) >= least)[h])
-    value, which, times = np.unique(code[maybe], return_inverse=True, return_counts=True)
-    good = np.flatnonzero(times >= least)
-    good = np.sort(good[np.argsort(-times[good], kind="stable")[:most]])
-    number = np.full(len(value), -1, np.int64)
-    number[good] = np.arange(len(good))
-    hit = number[which] >= 0
-    return value[good], maybe[hit], number[which[hit]]
+    which of them occurs there. Hashed bins leave out the positions of pairs that
+    cannot be frequent before the exact count, and find the pairs again; of pairs
+    in one bin the most frequent is taken now, the others in a later round."""
+    bits = 32 if code.dtype == np.uint32 else 64
+    h = ((code * code.dtype.type(int(_ODD) >> (64 - bits) | 1)) >> code.dtype.type(bits - _BIN_BITS)).astype(np.int32)
+    maybe = np.bincount(h, minlength=1 << _BIN_BITS) >= least
+    at = np.flatnonzero(maybe[h])
+    code, h = code[at], h[at]
+    ordered = np.sort(code)
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.empty(0, np.int64)
+    times = np.diff(np.append(first, len(ordered)))
+    good = times >= least
+    value, times = ordered[first[good]], times[good]
+    best = np.sort(np.argsort(-times, kind="stable")[:most])
+    value, times = value[best], times[best]
+    bin_of = np.full(1 << _BIN_BITS, -1, np.int32)
+    by_times = np.argsort(times, kind="stable")
+    v = value[by_times]
+    bin_of[((v * v.dtype.type(int(_ODD) >> (64 - bits) | 1)) >> v.dtype.type(bits - _BIN_BITS)).astype(np.int32)] = by_times
+    which = bin_of[h]
+    hit = np.flatnonzero(which >= 0)
+    hit = hit[value[which[hit]] == code[hit]]
+    return value, at[hit], which[hit]
 
 
 def _without_overlaps(at: np.ndarray) -> np.ndarray:
@@ -67,15 +79,17 @@ def _without_overlaps(at: np.ndarray) -> np.ndarray:
 
 def compress(ids: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray]:
     """(symbols, rules): rule r, a pair of symbols, is symbol terminals + r."""
-    seq = ids.astype(np.int64)
+    # A pair is one number: 32 bits where symbols have 16.
+    small = terminals + MAX_RULES <= 1 << 16
+    kind, shift = (np.uint32, np.uint32(16)) if small else (np.uint64, np.uint64(32))
+    seq = ids.astype(kind)
     rules = np.empty((0, 2), np.int64)
     for _ in range(MAX_ROUNDS):
         room = min(RULES_PER_ROUND, MAX_RULES - len(rules))
         if len(seq) < 2 or room <= 0:
             break
-        code = (seq[:-1] << 32) | seq[1:]
-        pairs, at, which = _frequent(code, MIN_PAIR, room)
-        if not len(pairs):
+        pairs, at, which = _frequent((seq[:-1] << shift) | seq[1:], MIN_PAIR, room)
+        if not len(at):
             break
         free = _without_overlaps(at)
         at, which = at[free], which[free]
@@ -84,12 +98,11 @@ def compress(ids: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray]:
         seq[at] = symbol[which]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        saved, seq = len(at), seq[keep]
-        pairs = pairs[used]
-        rules = np.vstack([rules, np.stack([pairs >> 32, pairs & 0xFFFFFFFF], 1)])
-        if saved < LEAST_SAVED * len(seq):
+        seq, pairs = seq[keep], pairs[used]
+        rules = np.vstack([rules, np.stack([pairs >> shift, pairs & kind((1 << int(shift)) - 1)], 1).astype(np.int64)])
+        if len(at) < LEAST_SAVED * len(seq):
             break
-    return seq, rules
+    return seq.astype(np.int64), rules
 
 
 def expansion_lengths(rules: np.ndarray, terminals: int) -> np.ndarray:

@@ -79,6 +79,10 @@ class Encoder:
         return np.array([t.id for t in self.tokenizer.model.tokenize(letters)], "<u4").tobytes()
 
     def _piece(self, piece: bytes) -> bytes:
+        if piece.isalpha():  # ASCII letters: one word
+            return self.words[piece.lower().decode()]
+        if piece[:-1].isalpha() and piece[-1:] in (b".", b","):
+            return self.words[piece[:-1].lower().decode()] + self.words[piece[-1:].decode()]
         text = piece.decode()
         if _PLAIN.fullmatch(text) and not any(m in text for m in self.marks):
             return b"".join(map(self.words.__getitem__, _WORD.findall(text.lower())))
