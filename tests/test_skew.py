@@ -43,10 +43,10 @@ def skewed_events(spark):
     return spark.createDataFrame(data, EV), data
 
 
-@pytest.mark.parametrize("support,heavy_items", [(2, 100_000), (2, 100), (3, 100), (4, 3)])
+@pytest.mark.parametrize("support,heavy_items", [(1, 100_000), (1, 100), (1, 4), (2, 100), (4, 3)])
 def test_itemcf_hot_user_exact(spark, skew_conf, support, heavy_items):
     # heavy_items=100_000: the hot user goes through the skew-split self-join;
-    # 100: it is handled by bitmask; 3: several users (support - 1) are heavy.
+    # 100: its pairs are counted by product blocks; 4 and 3: all users' are.
     df, data = skewed_events(spark)
     out = similarity.cooccurrence_similarity(df, min_support=support, k=None, heavy_items=heavy_items)
     got = {(r["productId"], r["simId"]): r["sim"] for r in out.collect()}

@@ -38,16 +38,21 @@ def test_rating_lines(spark):
 
 
 def test_f12_log_line(spark):
-    out = text.parse_log_lines(
+    out, bad = text.parse_log_lines(
         lines(
             spark,
             [
                 "2019-12-09 10:00:00 INFO [exec-1] api - PRODUCT_RATING_PREFIX:-5|12|3.5|1575900000",
                 "2019-12-09 10:00:01 INFO [exec-1] api - something else",
+                "x PRODUCT_RATING_PREFIX:99999999999|12|3.5|1575900000",
+                "x PRODUCT_RATING_PREFIX:5|12|3.0.1|1575900000",
+                "x PRODUCT_RATING_PREFIX:5|12|3.5",
+                "x PRODUCT_RATING_PREFIX:6|12|3.5|1575900000123",
             ],
         )
     )
-    assert rows(out) == [(-5, 12, 3.5, 1575900000)]
+    assert rows(out) == [(-5, 12, 3.5, 1575900000), (6, 12, 3.5, 1575900000)]
+    assert len(rows(bad)) == 3
     msgs = text.log_lines_to_messages(
         lines(spark, ["x PRODUCT_RATING_PREFIX:-5|12|3.5|1575900000"])
     )

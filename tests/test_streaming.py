@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from shelfrank.operators import scoring, similarity, topk
 from shelfrank.session import scratch_path
 from shelfrank.sources import adapters, tables
-from shelfrank.streaming.recommender import StreamingRecommender, current_recs
+from shelfrank.streaming.recommender import SIM_BUCKETS, StreamingRecommender, kafka_messages, kafka_options
 
 THRESHOLD = 0.2
 
@@ -14,7 +14,7 @@ THRESHOLD = 0.2
 def setup(spark):
     sims = similarity.cosine_similarity(adapters.factors(spark, SF_SMALL), THRESHOLD)
     base = scratch_path(spark, "stream-test")
-    tables.write_table(similarity.rank_similar(sims), f"{base}/sims")
+    tables.write_buckets(similarity.rank_similar(sims), f"{base}/sims", "productId", SIM_BUCKETS)
     expected = rows(topk.unnest(scoring.stream_recs(adapters.rating_events(spark, SF_SMALL), sims, threshold=THRESHOLD), "userId", outer=True))
     return base, expected
 
@@ -40,9 +40,67 @@ def test_replayed_batch_is_idempotent(spark, setup):
     rec = StreamingRecommender(spark, f"{base}/state-replay", f"{base}/sims", threshold=THRESHOLD)
     msgs = adapters.event_messages(spark, SF_SMALL)
     rec.process_batch(msgs, 0)
-    first = rows(current_recs(spark, rec.recs_dir).select("userId", F.to_json("recs")))
+    first = rows(rec.current_recs().select("userId", F.to_json("recs")))
     rec.process_batch(msgs, 0)
-    assert rows(current_recs(spark, rec.recs_dir).select("userId", F.to_json("recs"))) == first
+    assert rows(rec.current_recs().select("userId", F.to_json("recs"))) == first
+
+
+def _rounded(got):
+    return [(u, r, p, round(s, 9) if s is not None else None) for u, r, p, s in got]
+
+
+def test_replay_after_compaction(spark, setup):
+    """A batch replayed once its compaction is recorded, also by a new process,
+    leaves the state as it is."""
+    base, expected = setup
+    state = f"{base}/state-replay-compact"
+    msgs = adapters.event_messages(spark, SF_SMALL)
+    cut = msgs.agg(F.percentile_approx("event_id", 0.5)).first()[0]
+    parts = [msgs.where(F.col("event_id") <= cut), msgs.where(F.col("event_id") > cut)]
+    new = lambda: StreamingRecommender(spark, state, f"{base}/sims", threshold=THRESHOLD, compact_every=1)
+    new().process_batch(parts[0], 0)
+    new().process_batch(parts[0], 0)
+    rec = new()
+    rec.process_batch(parts[1], 1)
+    new().process_batch(parts[1], 1)
+    assert rec.base_version(spark) == 1
+    assert rec.history(spark).count() == msgs.count()
+    assert _rounded(rows(topk.unnest(rec.current_recs(), "userId", outer=True))) == _rounded(expected)
+
+
+def test_batch_of_bad_messages(spark, setup):
+    base, expected = setup
+    rec = StreamingRecommender(spark, f"{base}/state-bad", f"{base}/sims", threshold=THRESHOLD, compact_every=1)
+    bad = spark.createDataFrame([(1, "x|y"), (2, None), (3, "")], "event_id long, value string")
+    rec.process_batch(bad, 0)
+    assert rec.current_recs().count() == 0
+    rec.process_batch(bad, 0)
+    rec.process_batch(adapters.event_messages(spark, SF_SMALL), 1)
+    rec.process_batch(bad, 2)
+    assert _rounded(rows(topk.unnest(rec.current_recs(), "userId", outer=True))) == _rounded(expected)
+    assert spark.read.parquet(f"{rec.rejected_dir}/batch_id=0").count() == 3
+
+
+def test_sims_are_read_by_bucket(spark, setup):
+    base, _ = setup
+    rec = StreamingRecommender(spark, f"{base}/state-plan", f"{base}/sims")
+    keys = spark.createDataFrame([(3,)], "productId int")
+    sliced = rec._slice(rec._sims(spark), keys)
+    plan = sliced._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [pb" in plan or "PartitionFilters: [isnotnull(pb" in plan
+    assert rows(sliced.where("productId = 3")) == rows(rec._sims(spark).where("productId = 3").drop("pb"))
+
+
+def test_kafka_records_are_ordered_across_partitions(spark):
+    data = [(0, 7, 1000, "a"), (1, 3, 2000, "b"), (0, 8, 2000, "c"), (0, 9, 2000, "d")]
+    records = spark.createDataFrame(data, "partition int, offset long, ms long, value string").select(
+        "partition", "offset", F.timestamp_millis("ms").alias("timestamp"), F.encode("value", "utf-8").alias("value")
+    )
+    got = [r.value for r in kafka_messages(records).orderBy("event_id").collect()]
+    assert got[0] == "a" and got.index("c") < got.index("d") and sorted(got) == list("abcd")
+    assert kafka_messages(records).select("event_id").distinct().count() == 4
+    options = kafka_options("ratings", {"kafka.bootstrap.servers": "h:1", "startingOffsets": "earliest"})
+    assert options == {"subscribe": "ratings", "kafka.bootstrap.servers": "h:1", "startingOffsets": "earliest"}
 
 
 def test_stream_from_log_lines(spark, setup):
