@@ -16,21 +16,15 @@ from shelfrank.llm.common import table
 from shelfrank.llm.queries import tokenizer_path
 from shelfrank.session import scratch_path
 
-#: A text whose shortest code is this long, in bits per byte, is no text of any
-#: learned language: plain bytes would be as short.
-NO_LANGUAGE_BITS = 8.0
-
-
 def _columns(rows: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages. Null texts, texts without a
-    letter and texts that no language compresses go."""
-    rows, (lang, _, rate) = langid.identify(docs, langid.train(docs))
-    kept = (F.col(lang) != langid.UNDETERMINED) & (F.col(rate) < NO_LANGUAGE_BITS)
-    return _columns(rows.where(kept), docs)
+    """Documents in one of the learned languages; null texts and texts without a
+    letter go."""
+    rows, (lang, _, _) = langid.identify(docs, langid.train(docs))
+    return _columns(rows.where(F.col(lang) != langid.UNDETERMINED), docs)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
