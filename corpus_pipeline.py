@@ -16,6 +16,7 @@ from shelfrank.llm.common import table
 from shelfrank.llm.queries import tokenizer_path
 from shelfrank.session import scratch_path
 
+
 def _columns(rows: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.select(*(F.col(f"`{c}`") for c in docs.columns))
 
