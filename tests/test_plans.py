@@ -1,12 +1,16 @@
 """Physical-plan properties the design relies on."""
 
+import re
+
 import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
 
-QUERIES = E.queries()
-NO_PLAN = {"stream_recs", "table_roundtrip", "als_grid", "als_predict", "als_user_recs", "als_item_similarity"}
+# The training-data operators have plan tests of their own. Spark's ALS plans a
+# blocked CartesianProduct of user and item blocks inside recommendForAllUsers.
+QUERIES = {k: v for k, v in E.queries().items() if not re.match(r"op\d+_|pipeline$|als_", k)}
+NO_PLAN = {"stream_recs", "table_roundtrip"}
 
 
 def plan_of(spark, name):
