@@ -55,7 +55,7 @@ ship(__name__)
 
 SHINGLE = 5
 PERCENT = 75
-BUCKET_SHINGLES = 4_000_000
+BUCKET_SHINGLES = 8_000_000
 #: A shingle is frequent if at least one document in FREQUENT_SHARE has it, and
 #: no fewer than FREQUENT_LEAST documents do.
 FREQUENT_SHARE = 1000
@@ -69,6 +69,7 @@ _ODD = [
     for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)
 ]
 _FP_BITS = 39
+_NODE_BITS = 24
 _FREQUENT_BYTE = 255  # the high byte of a fingerprint is below 128
 _FREQUENT_ID = 1 << 62
 _FREQUENT_DF = (1 << 32) - 1
@@ -261,22 +262,26 @@ def _meet(n_parts: int):
 
     def run(packed: pa.Table) -> pa.Table:
         bucket = packed.column("bucket")[0].as_py()
-        fp = _joined(packed.column("low"), np.uint32).astype(np.int64)
-        high = _joined(packed.column("high"), np.uint8)
-        fp |= high.astype(np.int64) << 32
         keys = _joined(packed.column("nodes"), np.uint64).reshape(-1, 2)
         size = _joined(packed.column("size"), np.uint32)
         first, node = _numbered(keys)
         keys, size = keys[first], size[first]
-        node = np.repeat(node, _joined(packed.column("held"), np.uint32))
-        order = np.lexsort((node, fp))
-        fp, node, often = fp[order], node[order], (high == _FREQUENT_BYTE)[order]
-        starts = np.append(True, fp[1:] != fp[:-1])
-        keep = starts | np.append(True, node[1:] != node[:-1])  # one of each (fingerprint, node)
-        group = np.cumsum(starts) - 1
-        df = np.bincount(group[keep])[group]
-        keep &= often | (df > 1)
-        fp, node, often, df = fp[keep], node[keep], often[keep], df[keep]
+        # One number per place, fingerprint above node: sorting it in place needs
+        # no positions, and a bucket has fewer than 2^24 nodes.
+        place = _joined(packed.column("high"), np.uint8).astype(np.uint64) << np.uint64(32)
+        place |= _joined(packed.column("low"), np.uint32)
+        place <<= np.uint64(_NODE_BITS)
+        place |= np.repeat(node.astype(np.uint64), _joined(packed.column("held"), np.uint32))
+        place.sort()
+        place = place[np.append(True, place[1:] != place[:-1])]  # one of each (fingerprint, node)
+        fp = (place >> np.uint64(_NODE_BITS)).astype(np.int64)
+        starts = np.flatnonzero(np.append(True, fp[1:] != fp[:-1]))
+        times = np.diff(np.append(starts, len(fp)))
+        df = np.repeat(times, times)
+        keep = (df > 1) | (fp >> 32 == _FREQUENT_BYTE)
+        fp, df = fp[keep], df[keep]
+        node = (place[keep] & np.uint64((1 << _NODE_BITS) - 1)).astype(np.int64)
+        often = fp >> 32 == _FREQUENT_BYTE
         ids = np.where(often, _FREQUENT_ID | (fp & 0xFFFFFFFF), (np.int64(bucket) << _FP_BITS) | fp)
         df = np.where(often, _FREQUENT_DF, np.minimum(df, _FREQUENT_DF - 1)).astype(np.uint32)
         # By part, then by node.
