@@ -70,6 +70,7 @@ _ODD = [
 ]
 _FP_BITS = 39
 _NODE_BITS = 24
+_LANES = 4
 _FREQUENT_BYTE = 255  # the high byte of a fingerprint is below 128
 _FREQUENT_ID = 1 << 62
 _FREQUENT_DF = (1 << 32) - 1
@@ -256,6 +257,28 @@ def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[new], number
 
 
+def _held_by_two(low: np.ndarray, high: np.ndarray, node: np.ndarray, lane: int) -> tuple[np.ndarray, ...]:
+    """(fingerprint, node, number of its nodes) of the fingerprints of one lane
+    that are frequent or that two nodes have. Lanes bound the memory of a sort."""
+    at = np.flatnonzero((low & np.uint32(_LANES - 1)) == lane)
+    # One number per place, fingerprint above node: sorting it in place needs no
+    # positions, and a bucket has fewer than 2^24 nodes.
+    place = high[at].astype(np.uint64)
+    place <<= np.uint64(32)
+    place |= low[at]
+    place <<= np.uint64(_NODE_BITS)
+    place |= node[at]
+    place.sort()
+    if len(place):
+        place = place[np.append(True, place[1:] != place[:-1])]  # one of each (fingerprint, node)
+    fp = (place >> np.uint64(_NODE_BITS)).astype(np.int64)
+    starts = np.flatnonzero(np.diff(fp, prepend=-1))
+    times = np.diff(np.append(starts, len(fp)))
+    df = np.repeat(times, times)
+    keep = (df > 1) | (fp >> 32 == _FREQUENT_BYTE)
+    return fp[keep], (place[keep] & np.uint64((1 << _NODE_BITS) - 1)).astype(np.int64), df[keep]
+
+
 def _meet(n_parts: int):
     """The fingerprints of one bucket that two nodes have, a binary row per part
     of the nodes."""
@@ -266,21 +289,11 @@ def _meet(n_parts: int):
         size = _joined(packed.column("size"), np.uint32)
         first, node = _numbered(keys)
         keys, size = keys[first], size[first]
-        # One number per place, fingerprint above node: sorting it in place needs
-        # no positions, and a bucket has fewer than 2^24 nodes.
-        place = _joined(packed.column("high"), np.uint8).astype(np.uint64) << np.uint64(32)
-        place |= _joined(packed.column("low"), np.uint32)
-        place <<= np.uint64(_NODE_BITS)
-        place |= np.repeat(node.astype(np.uint64), _joined(packed.column("held"), np.uint32))
-        place.sort()
-        place = place[np.append(True, place[1:] != place[:-1])]  # one of each (fingerprint, node)
-        fp = (place >> np.uint64(_NODE_BITS)).astype(np.int64)
-        starts = np.flatnonzero(np.append(True, fp[1:] != fp[:-1]))
-        times = np.diff(np.append(starts, len(fp)))
-        df = np.repeat(times, times)
-        keep = (df > 1) | (fp >> 32 == _FREQUENT_BYTE)
-        fp, df = fp[keep], df[keep]
-        node = (place[keep] & np.uint64((1 << _NODE_BITS) - 1)).astype(np.int64)
+        node = np.repeat(node.astype(np.uint32), _joined(packed.column("held"), np.uint32))
+        low = _joined(packed.column("low"), np.uint32)
+        high = _joined(packed.column("high"), np.uint8)
+        found = [_held_by_two(low, high, node, lane) for lane in range(_LANES)]
+        fp, node, df = (np.concatenate(x) for x in zip(*found))
         often = fp >> 32 == _FREQUENT_BYTE
         ids = np.where(often, _FREQUENT_ID | (fp & 0xFFFFFFFF), (np.int64(bucket) << _FP_BITS) | fp)
         df = np.where(often, _FREQUENT_DF, np.minimum(df, _FREQUENT_DF - 1)).astype(np.uint32)
