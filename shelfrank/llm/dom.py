@@ -4,6 +4,11 @@
 skipped whole, unclosed paragraphs and list items close where HTML closes them,
 unknown tags are inline. Inline elements join their block; text directly in a
 container that also holds blocks becomes a node of its own (tag "#text").
+
+Hidden and skipped elements stand on the stack like others, so the same rules
+end them: their end tag, that of an element around them, or a start tag that
+closes them. A head holds nothing but raw-text and void elements, so its tags
+need no rule: whatever else follows is the body, as in HTML.
 """
 
 from __future__ import annotations
@@ -32,21 +37,37 @@ BLOCKS = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table tbody td tfoot "
     "th thead tr ul caption legend option button search".split()
 )
-SKIPPED = frozenset("script style noscript template svg math iframe object head title textarea select audio video canvas".split())
-_RAW = frozenset("script style noscript template iframe title textarea".split())
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+SKIPPED = frozenset(
+    "script style noscript noframes template svg math iframe object title textarea select audio video canvas".split()
+)
+_RAW = frozenset("script style noscript noframes template iframe title textarea".split())
+VOID = frozenset("area base basefont bgsound br col embed hr img input link meta param source track wbr".split())
 _SPACES = frozenset("br hr wbr img input".split())
 #: A start tag of the first kind closes an open element of the second.
 _CLOSES = {
     "li": {"li"},
     "dt": {"dt", "dd"},
     "dd": {"dt", "dd"},
-    "tr": {"tr", "td", "th"},
+    "tr": {"tr", "td", "th", "caption", "colgroup"},
     "td": {"td", "th"},
     "th": {"td", "th"},
     "option": {"option"},
-}
-_SCOPES = frozenset("html body ul ol dl table td th div section article main aside nav form header footer".split())
+    "rt": {"rt", "rp"},
+    "rp": {"rt", "rp"},
+} | dict.fromkeys(("tbody", "thead", "tfoot"), {"tbody", "thead", "tfoot", "tr", "td", "th", "caption", "colgroup"})
+_SCOPES = SKIPPED | frozenset(
+    "html body ul ol dl table td th div section article main aside nav form header footer foreignobject".split()
+)
+#: Elements skipped for what stands in for them; without an end tag they hold nothing.
+_STANDINS = frozenset("object audio video canvas".split())
+#: Elements of svg and math that hold HTML again, and start tags that end svg and math elsewhere.
+_INTEGRATION = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+_BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta "
+    "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+_TABLE = frozenset("table tbody thead tfoot tr td th caption".split())
+_MARKERS = _INTEGRATION | {"table", "td", "th", "caption"}
 
 #: Words of class, id and role values, by what they tell.
 LEXICON = {
@@ -134,14 +155,25 @@ def _marks(attributes: str) -> tuple[frozenset[int], bool]:
     return frozenset(kinds), hidden
 
 
+def _bars(name: str, tag: str) -> bool:
+    """Whether an open element keeps the end tag from the elements around it."""
+    if tag not in BLOCKS:
+        return name in BLOCKS and tag not in SKIPPED
+    if tag in _TABLE:
+        return name == "table"
+    return name in _MARKERS or tag == "li" and name in ("ul", "ol")
+
+
 def parse(source: str) -> Page:
     """The page's block nodes and texts."""
     page = Page()
     none: frozenset[int] = frozenset()
-    stack: list[tuple[str, int]] = [("#root", page.add("body", -1, none))]  # (tag, its block node)
+    # (tag, its block node, whether it is svg or math)
+    stack: list[tuple[str, int, bool]] = [("#root", page.add("body", -1, none), False)]
     held: list[str] = []
-    links = skipping = 0
-    skip_tag = ""
+    links = 0
+    skipping = 0  # place in the stack of the outermost element that is not shown
+    last_ends: dict[str, int] = {}
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(held)).split())
@@ -157,11 +189,21 @@ def parse(source: str) -> Page:
 
     def close(index: int) -> None:
         """Close the open elements from stack[index] up."""
-        nonlocal links
-        if any(tag in BLOCKS for tag, _ in stack[index:]):
+        nonlocal links, skipping
+        shown = [tag for tag, _, _ in stack[index : skipping or None]]
+        if any(tag in BLOCKS for tag in shown):
             flush()
-        links -= sum(tag == "a" for tag, _ in stack[index:])
+        links -= sum(tag == "a" for tag in shown)
         del stack[index:]
+        if len(stack) <= skipping:
+            skipping = 0
+
+    def ends(tag: str) -> bool:
+        """Whether an end tag of this name follows."""
+        if tag not in last_ends:
+            found = re.finditer(rf"</{re.escape(tag)}[\s/>]", source, re.I)
+            last_ends[tag] = max((m.start() for m in found), default=-1)
+        return last_ends[tag] >= at
 
     at, end = 0, len(source)
     while at < end:
@@ -176,60 +218,76 @@ def parse(source: str) -> Page:
         if tag is None:
             continue
         tag = tag.lower()
-        if skipping:
-            if tag == skip_tag:
-                skipping += -1 if closing else 1
-            continue
         if closing:
+            within, barred = skipping, False
             for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
+                name = stack[i][0]
+                if barred and i < within:
+                    break
+                if name == tag:
                     close(i)
                     break
-                if stack[i][0] in ("td", "th", "table") and tag not in BLOCKS:
+                if within and i >= within:
+                    barred = barred or _bars(name, tag)
+                elif name in ("td", "th", "table") and tag not in BLOCKS:
                     break
-            if tag in BLOCKS:
+            if tag in BLOCKS and not within:
                 flush()
             continue
-        if tag in ("html", "body"):
+        if stack[-1][2] and tag in _BREAKOUT:
+            i = len(stack) - 1
+            while stack[i - 1][2]:
+                i -= 1
+            close(i)
+        if tag in ("html", "head", "body"):
             if tag == "body":
                 page.attrs[0] |= _marks(attributes)[0]
             continue
-        marks, hidden = _marks(attributes) if attributes else (none, False)
         if tag in VOID:
-            if tag in _SPACES:
-                held.append(" ")
-            if tag == "hr":
-                flush()
+            if not skipping:
+                if tag in _SPACES:
+                    held.append(" ")
+                if tag == "hr":
+                    flush()
             continue
-        if tag in SKIPPED or hidden:
-            if attributes.endswith("/"):
-                continue
-            if tag in _RAW:
-                found = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(source, at)
-                if found is None:
-                    break
+        marks, hidden = _marks(attributes) if attributes else (none, False)
+        foreign = stack[-1][2]
+        skipped = hidden or tag in SKIPPED
+        if attributes.endswith("/") and (foreign or skipped):
+            continue
+        if tag in _RAW and (not foreign or tag in ("script", "style")):
+            found = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(source, at)
+            if found is not None:
                 at = source.find(">", found.start()) + 1 or end
-            else:
-                skipping, skip_tag = 1, tag
-            held.append(" ")
+                held.append(" ")
+                continue
+            if not foreign:
+                break
+        if tag in _STANDINS and not ends(tag):
             continue
-        if tag in BLOCKS:
-            closed = _CLOSES.get(tag, set()) | {"p"}
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in closed:
-                    close(i)
-                    if stack[-1][0] not in closed:
-                        break
-                elif stack[i][0] in _SCOPES:
+        closed = _CLOSES.get(tag, set()) | ({"p"} if tag in BLOCKS else set())
+        for i in range(len(stack) - 1, 0, -1) if closed else ():
+            if stack[i][0] in closed:
+                close(i)
+                if stack[-1][0] not in closed:
                     break
+            elif stack[i][0] in _SCOPES:
+                break
+        if skipping or skipped:
+            if not skipping:
+                skipping = len(stack)
+                held.append(" ")
+            inside = tag in ("svg", "math") or foreign and tag not in _INTEGRATION
+            stack.append((tag, stack[-1][1], inside))
+        elif tag in BLOCKS:
             flush()
-            stack.append((tag, page.add(tag, stack[-1][1], marks)))
+            stack.append((tag, page.add(tag, stack[-1][1], marks), False))
         else:
             node = stack[-1][1]
             page.inline[node] = page.inline.get(node, 0) + 1
             links += tag == "a"
             if not attributes.endswith("/"):
-                stack.append((tag, node))
+                stack.append((tag, node, False))
     flush()
     _separate(page)
     return page

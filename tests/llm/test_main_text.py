@@ -70,6 +70,35 @@ def test_broken_markup():
     assert runs("<p hidden>no</p><div style='display: none'><p>no</p></div><p>yes") == ["yes"]
 
 
+def test_skips_end_where_html_ends_them():
+    runs = lambda s: [t for _, t in dom.parse(s).runs]
+    article = "<article><h1>T</h1><p>it's x</article>"
+    assert runs(f"<html><head><title>x</title><body>{article}") == ["T", "it's x"]
+    assert runs(f"<head><meta charset=utf-8><title>x</title>{article}") == ["T", "it's x"]
+    assert runs(f"<head><script>var s = '<head>'</script></head><body>{article}") == ["T", "it's x"]
+    assert runs(f"<head><script>if (i<n && a == 'x) y</script></head><body>{article}") == ["T", "it's x"]
+    assert runs("<p hidden>a<p>b<p>c") == ["b", "c"]
+    assert runs("<ul><li hidden>a<li>b</ul>c") == ["b", "c"]
+    assert runs("<table><tr><td hidden>a<td>b<tr><td>c</table>d") == ["b", "c", "d"]
+    assert runs("<table><tbody hidden><tr><td>a<tbody><tr><td>b</table>") == ["b"]
+    assert runs("<div><p hidden>a</div>b") == ["b"]
+    assert runs("<div><svg><g><path d=x></div>b") == ["b"]
+    assert runs("<svg><path d=x><p>b") == ["b"]
+    assert runs("<video src=x><p>b") == ["b"]
+    assert runs("<div hidden><script>'</div>'</script>a</div>b") == ["b"]
+
+
+def test_skips_go_on_over_what_they_hold():
+    runs = lambda s: [t for _, t in dom.parse(s).runs]
+    assert runs("<p>a<video><p>no</p></video>b") == ["a b"]
+    assert runs("<p>a<object><div>no</div></object>b") == ["a b"]
+    assert runs("<li>a<ul hidden><li>no</li></li>no</ul>b") == ["a b"]
+    assert runs("<b><div hidden>no</b>no</div>b") == ["b"]
+    assert runs("a<div style='display:none'><div>no</div><p>no</div>b") == ["a b"]
+    assert runs("<svg><title>no</title><style>a>b{}</style><g><text>no</text></g></svg>b") == ["b"]
+    assert runs("<svg><foreignObject><div>no</div></div>no</foreignObject></svg>b") == ["b"]
+
+
 def test_edge_rows(spark, trees):
     deep = "<div>" * 3000 + "deep text in many boxes" + "</div>" * 3000
     rows = [(1, None), (2, ""), (2, ""), (3, "<html></html>"), (None, deep), (4, "<p>" + "word " * 100_000)]
