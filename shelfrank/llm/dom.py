@@ -68,6 +68,8 @@ _BREAKOUT = frozenset(
 )
 _TABLE = frozenset("table tbody thead tfoot tr td th caption".split())
 _MARKERS = _INTEGRATION | {"table", "td", "th", "caption"}
+#: A slash at the end of an unquoted attribute value.
+_VALUE_SLASH = re.compile(r"=\s*[^\s\"'>]*/\Z")
 
 #: Words of class, id and role values, by what they tell.
 LEXICON = {
@@ -198,6 +200,11 @@ def parse(source: str) -> Page:
         if len(stack) <= skipping:
             skipping = 0
 
+    def wraps(tag: str) -> bool:
+        """Whether the next tag of this name is an end tag."""
+        found = re.compile(rf"<(/?){re.escape(tag)}[\s/>]", re.I).search(source, at)
+        return found is not None and bool(found[1])
+
     def ends(tag: str) -> bool:
         """Whether an end tag of this name follows."""
         if tag not in last_ends:
@@ -253,7 +260,12 @@ def parse(source: str) -> Page:
         marks, hidden = _marks(attributes) if attributes else (none, False)
         foreign = stack[-1][2]
         skipped = hidden or tag in SKIPPED
-        if attributes.endswith("/") and (foreign or skipped):
+        # HTML knows no empty elements but the void ones, yet pages written as XML have them.
+        slash = attributes.endswith("/") and not _VALUE_SLASH.search(attributes)
+        if slash and (foreign or tag not in BLOCKS and not ((tag in SKIPPED or tag == "a") and wraps(tag))):
+            if not skipping and not skipped:
+                node = stack[-1][1]
+                page.inline[node] = page.inline.get(node, 0) + 1
             continue
         if tag in _RAW and (not foreign or tag in ("script", "style")):
             found = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(source, at)
@@ -286,8 +298,7 @@ def parse(source: str) -> Page:
             node = stack[-1][1]
             page.inline[node] = page.inline.get(node, 0) + 1
             links += tag == "a"
-            if not attributes.endswith("/"):
-                stack.append((tag, node, False))
+            stack.append((tag, node, False))
     flush()
     _separate(page)
     return page

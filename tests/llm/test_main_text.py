@@ -99,6 +99,20 @@ def test_skips_go_on_over_what_they_hold():
     assert runs("<svg><foreignObject><div>no</div></div>no</foreignObject></svg>b") == ["b"]
 
 
+def test_slash_at_the_end_of_a_tag():
+    text = lambda s: [t for _, t in dom.parse(s).runs]
+    linked = lambda s: sum(dom.parse(s).linked.values())
+    assert linked("<a href=/de/>Home</a><p>text") == 4
+    assert linked("<a href = /de/ >Home</a><p>text") == 4
+    assert linked("<a name='top'/><p>text<p><a href='/x'>link</a>") == 4
+    assert linked("<a href='/x'/>link</a><p>text") == 4
+    assert text("<script src=/js/>code</script>b") == ["b"]
+    assert text("<script src='/js'/>code</script>b") == ["b"]
+    assert text("<script src='/js'/><p>a<script>code</script>") == ["a"]
+    assert text("<div hidden class=x/>no</div>b") == ["b"]
+    assert text("<svg><path d='x'/><g/></svg>b<i hidden/>c") == ["bc"]
+
+
 def test_edge_rows(spark, trees):
     deep = "<div>" * 3000 + "deep text in many boxes" + "</div>" * 3000
     rows = [(1, None), (2, ""), (2, ""), (3, "<html></html>"), (None, deep), (4, "<p>" + "word " * 100_000)]
