@@ -22,10 +22,13 @@ def _columns(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages; null texts and texts without a
-    letter go."""
-    rows, (lang, _, _) = langid.identify(docs, langid.train(docs))
-    return _columns(rows.where(F.col(lang) != langid.UNDETERMINED), docs)
+    """Documents in one of the learned languages; null texts, texts without a
+    letter and texts far from what held-out documents of their language take
+    (`langid.limits`) go."""
+    model = langid.train(docs)
+    rows, (lang, _, rate) = langid.identify(docs, model)
+    foreign = langid.is_foreign(langid.limits(docs, model), lang, rate)
+    return _columns(rows.where((F.col(lang) != langid.UNDETERMINED) & ~foreign), docs)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

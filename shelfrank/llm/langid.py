@@ -22,12 +22,13 @@ driver receives the `MAX_CONTEXTS` most frequent contexts only.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +41,10 @@ MAX_CONTEXTS = 4096
 SAMPLE_DOCS = 500
 HELD_OUT_MOD = 5
 UNDETERMINED = "und"
+#: A text is foreign if its bits per byte exceed FAR x the worst of at least
+#: LEAST_HELD_OUT held-out documents of its language, half as long or longer.
+FAR = 1.5
+LEAST_HELD_OUT = 20
 #: Bytes that a chunk scores; its first MAX_ORDER steps only find its state.
 CHUNK = 256
 
@@ -252,3 +257,45 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> tuple[
         ]
     )
     return docs.mapInArrow(run, schema), names
+
+
+def _length_class(text: str) -> Column:
+    return F.floor(F.log2(F.greatest(F.octet_length(text), F.lit(1)).cast("double"))).cast("int")
+
+
+def limits(docs: DataFrame, model: Model | None) -> dict[str, list[float]]:
+    """For each language the bits per byte above which a text is in none, by
+    length class (the binary logarithm of its bytes). They follow from the
+    held-out documents of docs (doc_id, text, lang) that the model finds to be
+    what their label says. A short text varies more, so a class counts all
+    documents from the class below it up; where these are fewer than
+    LEAST_HELD_OUT there is no limit."""
+    held = docs.where(held_out() & F.col("lang").isNotNull()).select("text", "lang")
+    rows, (lang, _, rate) = identify(held, model)
+    worst = (
+        rows.where(F.col(lang) == F.col("lang"))
+        .groupBy(F.col("lang"), _length_class("text").alias("size"))
+        .agg(F.count("*").alias("n"), F.max(rate).alias("worst"))
+        .collect()
+    )
+    out = {}
+    for name in {r["lang"] for r in worst}:
+        own = {r["size"]: r for r in worst if r["lang"] == name}
+        out[name] = []
+        for size in range(32):
+            at_least = [own[k] for k in own if k >= min(size - 1, max(own))]
+            enough = sum(r["n"] for r in at_least) >= LEAST_HELD_OUT
+            out[name].append(FAR * max(r["worst"] for r in at_least) if enough else math.inf)
+        for size in range(1, 32):  # longer than enough of them: the last limit that there is
+            if out[name][size] == math.inf:
+                out[name][size] = out[name][size - 1]
+    return out
+
+
+def is_foreign(limit: dict[str, list[float]], lang: str, rate: str, text: str = "text") -> Column:
+    """Whether a row of `identify` is in none of the languages, by `limits`."""
+    if not limit:
+        return F.lit(False)
+    by_lang = F.create_map(*(c for k, v in sorted(limit.items()) for c in (F.lit(k), F.array(*map(F.lit, v)))))
+    at = F.least(_length_class(text), F.lit(31)) + 1
+    return F.coalesce(F.col(rate) > F.try_element_at(by_lang[F.col(lang)], at), F.lit(False))

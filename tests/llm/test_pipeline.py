@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline
 
 import __spark_entry__ as entry
@@ -36,6 +38,18 @@ def test_clashing_columns_and_odd_rows(spark, docs):
         assert out.count() <= docs.count()
 
 
+def test_texts_in_no_language_go(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    dice = random.Random(5)
+    word = lambda letters: "".join(dice.choice(letters) for _ in range(dice.randint(2, 9)))
+    foreign = [" ".join(word(a) for _ in range(200)) for a in ("αβγδεζηθικλμ", "абвгдежзик", "日本語中文字", "qxzjkwvQXZJKWV#@~")]
+    more = [(-1 - i, t, None) for i, t in enumerate(foreign)] + [(-9, "The and of", None)]
+    got = corpus_pipeline.language_id(spark, docs.union(spark.createDataFrame(more, docs.schema)), SF)
+    kept = {r.doc_id for r in got.select("doc_id").collect()}
+    rows, (lang, _, _) = langid.identify(docs, langid.train(docs))
+    assert kept == {r["doc_id"] for r in rows.collect() if r[lang] != "und"} | {-9}
+
+
 def test_every_operator_is_registered():
     names = entry.queries()
     assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
