@@ -39,10 +39,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each class. Rows of one doc_id are one
-    document: they stay or go together. Rows of null id stay."""
-    gone = jaccard.classes(docs).where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    """One row of each class, that of the smallest id (`jaccard.one_of_each`). A
+    row is judged by its own text: rows of one id and several texts may stay,
+    rows of one id and one text stay once, and null ids take part."""
+    return _columns(jaccard.one_of_each(docs), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,11 +43,11 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfrank.llm.common import placed, ship, slices, texts
+from shelfrank.llm.common import fresh, placed, ship, slices, texts
 from shelfrank.llm.ranges import default_parts
 from shelfrank.session import scratch_path
 
@@ -119,7 +119,7 @@ _DESCRIBED = T.StructType(
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document, and a row (common, times) per shingle that several
-    different sets of a slice have."""
+    different sets of a slice have. Columns behind doc_id and text are kept."""
     words = _Words()
     for whole in batches:
         for part in slices(whole, "text"):
@@ -137,18 +137,21 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(keys + [None] * m, pa.binary()),
                     pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(value.view(np.int64))]),
                     pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(times.astype(np.int64))]),
+                    *(pa.concat_arrays([c, pa.nulls(m, c.type)]) for c in part.columns[2:]),
                 ],
-                names=_DESCRIBED.fieldNames(),
+                names=[*_DESCRIBED.fieldNames(), *part.schema.names[2:]],
             )
 
 
-def describe(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_shingles, node) of each row of docs, and (common, times) of
-    shingles met more than once in a slice, added up."""
+def describe(docs: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles, node, more columns of docs) of each row of docs, and
+    (common, times) of shingles met more than once in a slice, added up."""
     path = scratch_path(docs.sparkSession, "sets")
-    docs.select("doc_id", "text").mapInArrow(_describe, _DESCRIBED).write.parquet(path)
-    rows = docs.sparkSession.read.schema(_DESCRIBED).parquet(path)
-    sets = rows.where(F.col("n_shingles").isNotNull()).select("doc_id", "n_shingles", "node")
+    taken = docs.select("doc_id", "text", *more)
+    schema = T.StructType([*_DESCRIBED.fields, *(T.StructField(f.name, f.dataType) for f in taken.schema.fields[2:])])
+    taken.mapInArrow(_describe, schema).write.parquet(path)
+    rows = docs.sparkSession.read.schema(schema).parquet(path)
+    sets = rows.where(F.col("n_shingles").isNotNull()).select("doc_id", "n_shingles", "node", *more)
     common = rows.where(F.col("common").isNotNull()).groupBy("common").agg(F.sum("times").alias("times"))
     return sets, common
 
@@ -506,6 +509,18 @@ def links(nodes: DataFrame) -> DataFrame:
     return label
 
 
+def _least(sets: DataFrame, common: DataFrame, docs: DataFrame, rank: Column) -> DataFrame:
+    """(node, least): the least rank among the rows of the node's class. rank is
+    made of columns of sets."""
+    n_docs, n_shingles = sets.agg(F.count("*"), F.sum("n_shingles")).first()
+    copies = sets.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(rank).alias("first"))
+    label = links(shared(docs, n_shingles or 0, frequent(common, n_docs)))
+    # The smallest among a component's nodes, then of each node.
+    named = copies.join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    least = label.join(copies, "node").groupBy("comp").agg(F.min("first").alias("least"))
+    return named.join(least, "comp", "left").select("node", F.coalesce("least", "first").alias("least"))
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row of docs (doc_id, text).
 
@@ -514,13 +529,31 @@ def classes(docs: DataFrame) -> DataFrame:
     are their own class. Repeated rows repeat in the result. A row of null id
     gets the smallest id of its class, null if there is none."""
     sets, common = describe(docs)
-    n_docs, n_shingles = sets.agg(F.count("*"), F.sum("n_shingles")).first()
-    copies = sets.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("first"))
-    label = links(shared(docs, n_shingles or 0, frequent(common, n_docs)))
-    # The smallest id among a component's nodes, then of each node.
-    named = copies.join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    least = label.join(copies, "node").groupBy("comp").agg(F.min("first").alias("least"))
-    named = named.join(least, "comp", "left").select("node", F.coalesce("least", "first").alias("least"))
+    named = _least(sets, common, docs, F.col("doc_id"))
     return sets.join(named, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id")
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of docs (doc_id, text, ...) of each class: that of the smallest
+    id, null ids last, then of the smallest text key (MD5). Texts of 0 shingles
+    are classes of their own by id and text. Of rows equal in id and text the
+    one whose further columns come first as JSON stays."""
+    key = fresh(docs, "text_key")[0]
+    keyed = docs.withColumn(key, F.md5("text"))
+    sets, common = describe(keyed, key)
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col(key).alias("key"))
+    rows = sets.withColumn("rank", rank).join(_least(sets, common, docs, rank), "node", "left")
+    rows = rows.select("doc_id", key, (F.col("node").isNull() | (F.col("rank") == F.col("least"))).alias("stays"))
+    rows = rows.groupBy("doc_id", key).agg(F.every("stays").alias("stays"), F.count("*").alias("n")).checkpoint()
+    gone = rows.where(~F.col("stays") | (F.col("n") > 1))
+    again = rows.where(F.col("stays") & (F.col("n") > 1))
+    same = lambda other: keyed["doc_id"].eqNullSafe(other["doc_id"]) & keyed[key].eqNullSafe(other[key])
+    out = keyed.join(gone, same(gone), "left_anti")
+    if not again.isEmpty():
+        order = Window.partitionBy("doc_id", key).orderBy(F.to_json(F.struct(*(F.col(f"`{c}`") for c in docs.columns))))
+        number = fresh(keyed, "number")[0]
+        copies = keyed.join(again, same(again), "left_semi").withColumn(number, F.row_number().over(order))
+        out = out.unionByName(copies.where(F.col(number) == 1).drop(number))
+    return out.drop(key)

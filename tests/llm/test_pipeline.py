@@ -5,6 +5,8 @@ import corpus_pipeline
 import __spark_entry__ as entry
 from shelfrank.llm import jaccard, langid, quality
 
+from .conftest import prose
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -50,6 +52,31 @@ def test_texts_in_no_language_go(spark):
     assert kept == {r["doc_id"] for r in rows.collect() if r[lang] != "und"} | {-9}
 
 
+def test_one_row_of_each_class_stays(spark):
+    clean, other, third = (prose(seed, 200) for seed in (21, 22, 23))
+    near = clean.replace("water", "fire", 1)
+    rows = [
+        (1, clean, "b", {"x": 1}),
+        (1, clean, "a", {"x": 1}),
+        (2, near, "a", None),  # goes, while the other text of its id stays
+        (2, other, "a", None),
+        (None, near, "a", None),
+        (None, third, "a", None),
+        (None, third, "a", None),
+        (None, "...", "a", None),
+        (None, "...", "a", None),
+        (4, "", "a", None),
+        (5, "", "a", None),
+        (5, None, "a", None),
+        (5, None, "a", None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, text_KEY string, number map<string,int>").repartition(3)
+    got = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert got.columns == docs.columns
+    want = [(1, clean, "a"), (2, other, "a"), (None, third, "a"), (None, "...", "a"), (4, "", "a"), (5, "", "a"), (5, None, "a")]
+    assert sorted((tuple(r)[:3] for r in got.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_every_operator_is_registered():
     names = entry.queries()
     assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
