@@ -87,19 +87,39 @@ def levels(calls: DataFrame, edges: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, solved)
 
 
+def _unknown(needs: DataFrame, targets: DataFrame, key: list[str]) -> DataFrame:
+    """(key, unknown): what needs (key, conv_id, needs) names and targets lack."""
+    missing = needs.join(targets, ["conv_id", "needs"], "left_anti")
+    return missing.groupBy(*key).agg(F.array_sort(F.collect_set(F.concat(F.lit("no call "), "needs"))).alias("unknown"))
+
+
+def _further(rows: DataFrame, one: DataFrame, chosen: str, count: str) -> DataFrame:
+    """The rows besides the chosen one of each id, with a count of 1."""
+    same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"{chosen}.{c}")) for c in rows.columns if c not in _KEY))
+    several = rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+    several = several.join(one.where(F.col(count) > 1).select(*_KEY, chosen), _KEY)
+    left = several.withColumn("n", F.col("n") - F.when(same, 1).otherwise(0)).where("n > 0")
+    left = left.withColumn(count, F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+    return left.select(*rows.columns, F.lit(1).cast("long").alias(count))
+
+
 def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
-    """One row per (conv_id, call_id) of calls or results, and one per call or
-    result without an id.
+    """One row per (conv_id, call_id) of calls or results, one per further call
+    or result with the same id, and one per call or result without an id.
 
     calls: (conv_id, turn, call_id, name, arguments as JSON text); results:
     (conv_id, turn, call_id, content). Other columns are ignored. Columns out:
     conv_id, call_id, turn, name, status (`linked`, `no_result`, `no_call`,
-    `no_id`), level (null for results without call and for calls in or behind a
-    cycle), valid, problems (array), n_calls and n_results (rows with this id: of
-    several the one of the least turn, then in order of its other columns,
-    counts), and record: canonical JSON of the call and its result. Order by
+    `no_id`, `duplicate`), level (null for results without call, for calls in or
+    behind a cycle, and for duplicates), valid, problems (array), n_calls and
+    n_results (rows with this id), and record: canonical JSON of the call and its result. Order by
     (level, turn, call_id) within a conversation. Null contents and empty texts
-    stay as they are; empty tables give no rows."""
+    stay as they are; empty tables give no rows.
+
+    Of several calls or results with one id the one of the least turn, then in
+    order of its other columns, is linked. Each other one is a row of its own of
+    status `duplicate`, which counts itself alone; references to its id mean the
+    linked call."""
     empty_args = F.try_parse_json(F.lit(None).cast("string"))
     no_id = F.col("conv_id").isNull() | F.col("call_id").isNull()
     calls = calls.select("conv_id", "turn", "call_id", "name", "arguments")
@@ -122,21 +142,25 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
     needs = known.select(*_KEY, F.explode(references(F.col("name"), args, schemas)).alias("needs")).checkpoint()
     targets = known.select("conv_id", F.col("call_id").alias("needs"))
     level = levels(known, needs.join(targets, ["conv_id", "needs"], "left_semi"))
-    unknown = (
-        needs.join(targets, ["conv_id", "needs"], "left_anti")
-        .groupBy(*_KEY)
-        .agg(F.array_sort(F.collect_set(F.concat(F.lit("no call "), "needs"))).alias("unknown"))
-    )
-    rows = rows.join(level, _KEY, "left").join(unknown, _KEY, "left")
+    rows = rows.join(level, _KEY, "left").join(_unknown(needs, targets, _KEY), _KEY, "left")
+
+    more_calls = _further(calls.where(~no_id), one_call, "call", "n_calls").checkpoint()
+    more_calls = more_calls.withColumn("row", F.monotonically_increasing_id())
+    needs = more_calls.select("row", "conv_id", F.explode(references(F.col("name"), args, schemas)).alias("needs"))
+    more_calls = more_calls.join(_unknown(needs, targets, ["row"]), "row", "left").drop("row")
+    more_results = results.where(~no_id).withColumnRenamed("turn", "result_turn")
+    more = more_calls.unionByName(_further(more_results, one_result, "result", "n_results"), allowMissingColumns=True)
+    rows = more.withColumn("further", F.lit(True)).unionByName(rows, allowMissingColumns=True)
 
     is_call = F.col("n_calls").isNotNull()
     status = (
         F.when(no_id, "no_id")
+        .when(F.col("further"), "duplicate")
         .when(F.col("n_calls").isNull(), "no_call")
         .when(F.col("n_results").isNull(), "no_result")
         .otherwise("linked")
     )
-    cycle = F.when(~no_id & F.col("level").isNull(), F.array(F.lit("refers to itself")))
+    cycle = F.when(~no_id & F.col("further").isNull() & F.col("level").isNull(), F.array(F.lit("refers to itself")))
     none = F.array().cast("array<string>")
     wrong = F.when(
         is_call,

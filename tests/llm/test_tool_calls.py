@@ -49,6 +49,36 @@ def test_links_levels_and_problems(spark):
         assert r.record == json.dumps(json.loads(r.record), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
+def test_further_calls_and_results_are_rows(spark):
+    calls = [
+        (1, 1, "a", "note", '{"text":"first"}'),
+        (1, 1, "a", "note", '{"text":"first"}'),
+        (1, 2, "a", None, None),
+        (1, 3, "a", "open", '{"page":1,"after":"zz"}'),
+        (1, 4, "a", "open", '{"page":1,"after":"b"}'),
+        (1, 5, "b", "open", '{"page":1,"after":"a"}'),
+    ]
+    results = [(1, 2, "a", "part 1"), (1, 3, "a", "part 2"), (1, 3, "a", "part 2"), (1, 4, "a", None), (2, 1, "q", "x"), (2, 2, "q", "y")]
+    rows = tool_calls.link(
+        spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, RESULTS), tool_calls.TOOLS
+    ).collect()
+    main = {(r.conv_id, r.call_id): r for r in rows if r.status != "duplicate"}
+    more = [r for r in rows if r.status == "duplicate"]
+    assert len(main) == 3 and len(rows) == 3 + 4 + 4
+    assert (main[1, "a"].n_calls, main[1, "a"].n_results, main[1, "a"].status, main[1, "a"].level) == (5, 4, "linked", 0)
+    assert (main[1, "b"].level, main[1, "b"].problems, main[2, "q"].status) == (1, [], "no_call")
+    parts = [json.loads(r.record).get("result") for r in more if r.n_results]
+    assert sorted(map(str, parts)) == ["None", "part 2", "part 2", "y"]
+    found = {r.turn: r for r in more if r.n_calls}
+    assert sorted(found) == [1, 2, 3, 4] and all(r.level is None and r.n_calls == 1 for r in found.values())
+    assert json.loads(found[1].record)["arguments"] == {"text": "first"} and found[1].valid
+    assert found[2].problems == ["arguments are not JSON"]
+    assert found[3].problems == ["no call zz"]
+    assert found[4].valid
+    for r in rows:
+        assert r.record == json.dumps(json.loads(r.record), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+
 def test_null_ids_link_nothing(spark):
     rows = tool_calls.link(
         spark.createDataFrame([(1, 1, None, "note", '{"text":"x"}')] * 2 + [(None, 1, "a", "note", "{}")], CALLS),
