@@ -17,7 +17,8 @@ over chunks is the code length of the whole text.
 
 Training reads a bounded sample: at most `SAMPLE_DOCS` documents per language,
 those with the smallest hash of their id. Counting is a Spark aggregation; the
-driver receives the `MAX_CONTEXTS` most frequent contexts only.
+driver receives `MAX_CONTEXTS` contexts only: as many of the most frequent ones
+of each language, however much text it has, as their union has room for.
 """
 
 from __future__ import annotations
@@ -154,8 +155,10 @@ def build_model(rows: list[tuple[str, int, int, int, int]]) -> Model | None:
 
 def train(docs: DataFrame, per_lang: int = SAMPLE_DOCS, contexts: int = MAX_CONTEXTS) -> Model | None:
     """Fit on the training sample of docs (doc_id, text, lang); None when no
-    document is labelled. The most frequent contexts form a closed tree: a
-    shorter context occurs at least as often, and ties keep shorter ones first."""
+    document is labelled. Contexts are ranked within each language and taken by
+    their best rank, so all languages have the same share. They form a closed
+    tree: a shorter context occurs at least as often in each language, and ties
+    keep shorter ones first, so its rank is better."""
     counts = (
         training_sample(docs, per_lang)
         .mapInArrow(_count_contexts, _COUNTS)
@@ -163,10 +166,15 @@ def train(docs: DataFrame, per_lang: int = SAMPLE_DOCS, contexts: int = MAX_CONT
         .agg(F.sum("n").alias("n"))
         .checkpoint()
     )
+    order = Window.partitionBy("lang").orderBy(F.desc("_total"), "ctx_order", "ctx")
     kept = (
-        counts.groupBy("ctx_order", "ctx")
+        counts.groupBy("lang", "ctx_order", "ctx")
         .agg(F.sum("n").alias("_total"))
-        .orderBy(F.desc("_total"), "ctx_order", "ctx")
+        .withColumn("_rank", F.row_number().over(order))
+        .where(F.col("_rank") <= contexts)
+        .groupBy("ctx_order", "ctx")
+        .agg(F.min("_rank").alias("_rank"))
+        .orderBy("_rank", "ctx_order", "ctx")
         .limit(contexts)
         .select("ctx_order", "ctx")
     )

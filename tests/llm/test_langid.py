@@ -1,4 +1,5 @@
 import math
+import random
 from collections import defaultdict
 
 import numpy as np
@@ -88,3 +89,19 @@ def test_inputs_are_text_alone(spark, model):
     b = spark.createDataFrame([(i + 100, t, "y") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
     read = lambda d: sorted(tuple(r)[1:2] + tuple(r)[3:] for r in langid.identify(d, model)[0].collect())
     assert read(a) == read(b)
+
+
+def test_rare_languages_have_contexts_of_their_own(spark):
+    """Two languages at 2 % of the documents each, alike in letters but not in
+    their order, beside one that has contexts enough to fill the tree."""
+    dice = random.Random(3)
+    many, few = (["".join(dice.choice(a) for _ in range(5)) for _ in range(n)] for a, n in (("abcdefgh", 600), ("mnopqrst", 20)))
+    words = {"main": many, "left": few, "right": [w[::-1] for w in few]}
+    text = lambda lang, n: " ".join(dice.choice(words[lang]) for _ in range(n))
+    langs = [{0: "left", 25: "right"}.get(i % 50, "main") for i in range(600)]
+    docs = spark.createDataFrame([(i, text(k, 60), k) for i, k in enumerate(langs)], "doc_id long, text string, lang string")
+    model = langid.train(docs, contexts=60)
+    assert len(model.step) == 60 * 256
+    for lang in words:
+        got = langid.decide(model, [text(lang, 3).encode() for _ in range(200)])[0]
+        assert got.count(lang) >= 0.97 * len(got), (lang, got.count(lang))
