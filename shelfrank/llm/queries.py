@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfrank.llm import (
+    chat_repair,
     fingerprints,
     jaccard,
     langid,
     main_text,
+    merkle,
+    near_vectors,
     packing,
     piece_sampling,
     quality,
@@ -96,6 +99,21 @@ def op9_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *names)
 
 
+def op11_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector under cosine >= 0.93 within its label."""
+    return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and the root after tampering."""
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, and its cheapest repair."""
+    return chat_repair.repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_packing": op2_packing,
@@ -107,6 +125,9 @@ QUERIES = {
     "op8_main_text": op8_main_text,
     "op9_piece_sampling": op9_piece_sampling,
     "op10_language_id": op10_language_id,
+    "op11_near_vectors": op11_near_vectors,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 SQL: dict[str, str] = {}
