@@ -274,7 +274,7 @@ def q_stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranked = similarity.rank_similar(_item_sims(spark, sf_dir))
     tables.write_buckets(ranked, sims_path, "productId", SIM_BUCKETS)
     rec = StreamingRecommender(
-        spark, f"{base}/state", sims_path, threshold=ITEM_SIM_THRESHOLD, compact_every=2, sim_buckets=SIM_BUCKETS
+        spark, f"{base}/state", sims_path, threshold=ITEM_SIM_THRESHOLD, sim_buckets=SIM_BUCKETS
     )
     rec.run_available(src, max_files_per_trigger=1)
     return rounded(topk.unnest(rec.current_recs(), "userId", outer=True), "score")

@@ -1,28 +1,22 @@
 """Streaming recommender: rating messages -> per-user recommendation lists.
 
     readStream (messages 'userId|productId|score|timestamp' + an ordering id)
-      -> parse (bad messages dropped from scoring, kept in a side table)
-      -> foreachBatch:
-           1. append the batch to the rating history (directory
-              batch_id=<id>/ub=<user bucket>)
-           2. users touched by the batch: their full history, read from the
-              touched user buckets only (partition pruning), left semi join
-           3. score their latest events against the similarity table, of which
+      -> parse (bad messages go to a side table, by a query of their own)
+      -> transformWithState by user: the newest ratings (ListState, the queue of
+         the server) and the products rated (MapState), in RocksDB
+      -> foreachBatch, for the users that the batch touched:
+           1. their queue and rated products come out of the state; no history
+              is kept or read
+           2. score their latest events against the similarity table, of which
               only the buckets of the products in question are read
-           4. append their new lists to the recs log (directory batch_id=<id>)
-           5. every `compact_every` batches fold history and recs into a base
-
-The recs log is append-only; a user's current list is the one from the latest
-batch that touched them (`current_recs`). Each batch overwrites only its own
-batch_id directories. Compaction builds version N from the version recorded
-before it and the log after that, and is final once the manifest records N: a
-batch that is replayed (after a failure, before the checkpoint commit) finds N
-recorded and leaves it alone, and its own directories, at or below N, are no
-longer read. So no step reads what it overwrites, and a replay at any point
-gives the same state. All state is read with fixed schemas, so a batch without
-valid messages, or a log without files, is an empty table. Scoring each touched
-user at their latest event over the whole history makes the final table
-independent of how events are cut into batches.
+           3. replace their lists in the recs table, rewriting the user buckets
+              that the batch touched (`PartitionedTable`)
+
+State and offsets are versions of one checkpoint: a batch that is replayed after
+a failure meets the state that it met before and gives the same lists, and the
+table applies it once. The queue is ordered by (timestamp, event id) and the
+rated set only grows, so the final table does not depend on how events are cut
+into batches.
 
 The similarity table is re-read in every batch, so a refreshed table is seen
 without restarting the query.
@@ -30,50 +24,59 @@ without restarting the query.
 
 from __future__ import annotations
 
+import heapq
 import os
+import sys
+from collections.abc import Iterator
 
-from functools import reduce
-
-from pyspark.errors import AnalysisException
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from shelfrank.operators import scoring
-from shelfrank.operators.state import RECENT_RATINGS, recent_n
-from shelfrank.schemas import RANKED_SIMS, RATING_EVENT, USER_RECS
+from shelfrank.operators import scoring, state
+from shelfrank.operators.state import QUEUE_CAPACITY, RECENT_RATINGS
+from shelfrank.schemas import RANKED_SIMS, USER_RECS
+from shelfrank.sources.partitioned import PartitionedTable
 from shelfrank.sources.tables import bucket
 from shelfrank.sources.text import log_lines_to_messages, parse_event_messages
 
+# The state processor runs in Python workers without this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed value: the reference's micro-batch interval.
 BATCH_INTERVAL = "5 seconds"
 
-# History directories per batch are split by user bucket, so a batch reads
-# only the buckets of the users it touched (partition pruning). Size it to the
-# user base: with U users and batches touching T of them, about
-# n * (1 - (1 - 1/n) ** T) buckets are read; every bucket costs one file per
-# batch. The default suits small deployments and tests.
+# Folders of the recs table. A batch rewrites those of the users it touched: with
+# U users, n folders and T users touched, min(T, n) folders of U / n lists. Size
+# it to the user base; the default suits small deployments and tests.
 USER_BUCKETS = 8
 # Folders of the similarity table (`tables.write_buckets` on productId).
 SIM_BUCKETS = 32
-# Batches between compactions, and so the most log folders a batch lists.
-COMPACT_EVERY = 16
 
 MESSAGE_SCHEMA = T.StructType(
     [T.StructField("event_id", T.LongType()), T.StructField("value", T.StringType())]
 )
-_HISTORY = T.StructType([*RATING_EVENT.fields, T.StructField("ub", T.IntegerType())])
-_MANIFEST = T.StructType([T.StructField("base", T.IntegerType())])
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_ENTRY = "timestamp long, event_id long, productId int, score double"
+#: What the state gives for a touched user: queue rows (rank from 1, newest
+#: first), then a row of rank 0 for each product rated.
+_TOUCHED = "userId int, rank int, productId int, score double"
+#: Rated products handed over at a time.
+_PAGE = 10_000
 
 
 def kafka_messages(records: DataFrame) -> DataFrame:
-    """(event_id, value) of Kafka records. An offset orders one partition only,
-    so the ordering id is the record's time in ms with a number from its
-    partition and offset below it: ids of equal times differ and keep the order
-    within a partition."""
-    tie = F.pmod(F.col("offset") * 1024 + F.pmod("partition", F.lit(1024)), F.lit(1 << 20))
-    stamp = F.unix_millis(F.col("timestamp"))
-    return records.select((stamp * (1 << 20) + tie).alias("event_id"), F.col("value").cast("string").alias("value"))
+    """(event_id, value) of Kafka records. A partition's order is its offsets;
+    record times need not rise. So the ordering id is the offset with the
+    partition above it: ids rise within a partition and no two are equal, for
+    fewer than 2^44 records a partition and 2^19 partitions."""
+    number = F.col("partition").cast("long") * F.lit(1 << 44) + F.col("offset")
+    return records.select(number.alias("event_id"), F.col("value").cast("string").alias("value"))
 
 
 def kafka_options(topic: str, options: dict | None = None) -> dict:
@@ -81,6 +84,48 @@ def kafka_options(topic: str, options: dict | None = None) -> dict:
     return {"startingOffsets": "latest", **(options or {}), "subscribe": topic}
 
 
+class RatingState(StatefulProcessor):
+    """A user's queue of newest ratings and the products they rated."""
+
+    def __init__(self, capacity: int, n_recent: int):
+        self.capacity, self.n_recent = capacity, n_recent
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.queue = handle.getListState("queue", _ENTRY)
+        self.rated = handle.getMapState("rated", "productId int", "known boolean")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        """Push the user's new ratings; give the queue and the rated products.
+        However many ratings come, `capacity` of them are held here."""
+        newest = [tuple(e) for e in self.queue.get()]
+        for frame in rows:
+            entries = zip(*(frame[c].tolist() for c in ("timestamp", "event_id", "productId", "score")))
+            # The order of state.newest_first.
+            newest = heapq.nlargest(self.capacity, [*newest, *entries], key=lambda e: e[:2])
+            for product in frame["productId"].unique().tolist():
+                if not self.rated.containsKey((product,)):
+                    self.rated.updateValue((product,), (True,))
+        self.queue.put(newest)
+        user = key[0]
+        recent = newest[: max(1, self.n_recent)]
+        yield self._frame(user, range(1, len(recent) + 1), [e[2] for e in recent], [e[3] for e in recent])
+        page = []
+        for (product,) in self.rated.keys():
+            page.append(product)
+            if len(page) == _PAGE:
+                yield self._frame(user, [0] * len(page), page, [0.0] * len(page))
+                page = []
+        if page:
+            yield self._frame(user, [0] * len(page), page, [0.0] * len(page))
+
+    @staticmethod
+    def _frame(user, ranks, products, scores) -> pd.DataFrame:
+        return pd.DataFrame({"userId": [user] * len(products), "rank": list(ranks), "productId": products, "score": scores})
+
+    def close(self) -> None:
+        pass
+
+
 class StreamingRecommender:
     def __init__(
         self,
@@ -91,67 +136,40 @@ class StreamingRecommender:
         n_recent: int = RECENT_RATINGS,
         threshold: float = scoring.SCORE_THRESHOLD,
         user_buckets: int = USER_BUCKETS,
-        compact_every: int | None = COMPACT_EVERY,
         sim_buckets: int = SIM_BUCKETS,
+        capacity: int = QUEUE_CAPACITY,
     ):
+        if n_recent > capacity:
+            raise ValueError(f"the queue holds {capacity} ratings, {n_recent} are asked for")
         self.spark = spark
-        self.user_buckets = user_buckets
-        self.compact_every = compact_every
         self.sim_buckets = sim_buckets
         self.state_dir = state_dir
         self.sims_path = sims_path
-        self.k, self.n_recent, self.threshold = k, n_recent, threshold
-        self.history_dir = os.path.join(state_dir, "history")
-        self.recs_dir = os.path.join(state_dir, "recs")
+        self.k, self.n_recent, self.threshold, self.capacity = k, n_recent, threshold, capacity
         self.rejected_dir = os.path.join(state_dir, "rejected")
         self.checkpoint_dir = os.path.join(state_dir, "checkpoint")
-        self.manifest_dir = os.path.join(state_dir, "manifest")
-        self.history_base_dir = os.path.join(state_dir, "history_base")
-        self.recs_base_dir = os.path.join(state_dir, "recs_base")
+        self.recs = PartitionedTable(
+            spark, os.path.join(state_dir, "recs"), USER_RECS, "ub", T.IntegerType(), bucket("userId", user_buckets)
+        )
 
     # ------------------------------------------------------------- batch step
 
-    def process_batch(self, batch: DataFrame, batch_id: int) -> None:
-        # The batch feeds two writes (history, rejected): read and parse it once.
-        batch = batch.persist()
+    def process_batch(self, touched: DataFrame, batch_id: int) -> None:
+        """Score the users of one batch of state rows and replace their lists."""
+        touched = touched.persist()
         try:
-            good, bad = parse_event_messages(batch)
-            batch_history = os.path.join(self.history_dir, f"batch_id={batch_id}")
-            good.withColumn("ub", bucket("userId", self.user_buckets)).write.mode("overwrite").partitionBy(
-                "ub"
-            ).parquet(batch_history)
-            bad.write.mode("overwrite").parquet(os.path.join(self.rejected_dir, f"batch_id={batch_id}"))
+            latest = touched.where("rank = 1").select("userId", "productId")
+            recent = touched.where("rank > 0")
+            rated = touched.where("rank = 0").select("userId", "productId")
+            sims = self._sims(touched.sparkSession)
+            cands = scoring.candidates(latest, self._slice(sims, latest), rated, self.k).persist()
+            try:
+                scored = scoring.score_candidates(cands, recent, self._slice(sims, cands), self.threshold)
+                self.recs.update(scoring.lists(latest, scored), state.replace_by_key, f"batch-{batch_id}")
+            finally:
+                cands.unpersist()
         finally:
-            batch.unpersist()
-        spark = batch.sparkSession
-        this_batch = spark.read.schema(_HISTORY).parquet(batch_history)
-        # At most `user_buckets` values: read only those history directories.
-        buckets = [r["ub"] for r in this_batch.select("ub").distinct().collect()]
-        if buckets:
-            self._score(spark, this_batch.select("userId").distinct(), buckets, batch_id)
-        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
-            self.compact(spark, batch_id)
-
-    def _score(self, spark: SparkSession, touched: DataFrame, buckets: list, batch_id: int) -> None:
-        """Write the new lists of the users touched."""
-        history = self.history(spark, buckets, batch_id)
-        # Three branches (latest event, rated set, recent ratings) read the
-        # touched users' history: read and join it once per batch.
-        user_history = history.join(touched, "userId", "left_semi").persist()
-        sims = self._sims(spark)
-        latest = scoring.latest_events(user_history)
-        cands = scoring.candidates(latest, self._slice(sims, latest), user_history, self.k).persist()
-        try:
-            recent = recent_n(user_history, self.n_recent)
-            scored = scoring.score_candidates(cands, recent, self._slice(sims, cands), self.threshold)
-            scoring.lists(latest, scored).write.mode("overwrite").parquet(
-                os.path.join(self.recs_dir, f"batch_id={batch_id}")
-            )
-        finally:
-            cands.unpersist()
-            user_history.unpersist()
-
-    # ------------------------------------------------------------- state
+            touched.unpersist()
 
     def _sims(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(RANKED_SIMS).parquet(self.sims_path)
@@ -162,61 +180,6 @@ class StreamingRecommender:
         found = keys.select(bucket("productId", self.sim_buckets).alias("pb")).distinct().collect()
         return sims.where(F.col("pb").isin([r["pb"] for r in found])).drop("pb")
 
-    def base_version(self, spark: SparkSession) -> int | None:
-        """The newest completed compaction, or None."""
-        try:
-            return spark.read.schema(_MANIFEST).parquet(self.manifest_dir).agg(F.max("base")).first()[0]
-        except AnalysisException:
-            return None
-
-    def _log(self, spark: SparkSession, folder: str, schema: T.StructType, base: int | None, upto: int | None) -> DataFrame:
-        """The log after `base`. With the current batch number known, its folders
-        are named one by one and older ones are not even listed."""
-        schema = T.StructType([*schema.fields, T.StructField("batch_id", T.IntegerType())])
-        first = 0 if base is None else base + 1
-        reader = spark.read.schema(schema).option("basePath", folder)
-        empty = spark.createDataFrame([], schema)
-        if upto is not None and self.compact_every and upto - first <= 2 * self.compact_every:
-            found = []
-            for i in range(first, upto + 1):
-                try:
-                    found.append(reader.parquet(os.path.join(folder, f"batch_id={i}")))
-                except AnalysisException:  # a batch that wrote nothing here
-                    continue
-            return reduce(DataFrame.unionByName, found, empty) if found else empty
-        try:
-            return reader.parquet(folder).where(F.col("batch_id") >= first)
-        except AnalysisException:
-            return empty
-
-    def history(self, spark: SparkSession, buckets: list | None = None, upto: int | None = None) -> DataFrame:
-        """Rating history: the compacted base plus the batches after it, up to
-        batch `upto` if given, restricted to the given user buckets (partition
-        pruning)."""
-        base = self.base_version(spark)
-        out = self._log(spark, self.history_dir, _HISTORY, base, upto).drop("batch_id")
-        if base is not None:
-            out = out.unionByName(spark.read.schema(_HISTORY).parquet(os.path.join(self.history_base_dir, f"v={base}")))
-        if buckets is not None:
-            out = out.where(F.col("ub").isin(buckets))
-        return out.drop("ub")
-
-    def compact(self, spark: SparkSession, batch_id: int) -> None:
-        """Fold the history and the recs log up to `batch_id` into version
-        `batch_id`, then record it in the manifest. A version that is recorded is
-        never written again; one that is not is read by nobody."""
-        base = self.base_version(spark)
-        if base is not None and base >= batch_id:
-            return
-        hist = self.history(spark, upto=batch_id).withColumn("ub", bucket("userId", self.user_buckets))
-        hist.write.mode("overwrite").partitionBy("ub").parquet(
-            os.path.join(self.history_base_dir, f"v={batch_id}")
-        )
-        self.current_recs(batch_id).write.mode("overwrite").parquet(os.path.join(self.recs_base_dir, f"v={batch_id}"))
-        spark.createDataFrame([(batch_id,)], _MANIFEST).write.mode("overwrite").parquet(
-            os.path.join(self.manifest_dir, f"v={batch_id}")
-        )
-
     # ------------------------------------------------------------------ query
 
     def messages(
@@ -232,9 +195,9 @@ class StreamingRecommender:
         File formats (parquet, json, orc) read (event_id, value) records from
         the folder `source`. With source_format="kafka", `source` is the topic
         and `options` carry the Kafka settings (kafka.bootstrap.servers, ...);
-        see `kafka_messages` for the ordering id. It needs the Kafka connector
-        on the classpath. log_lines=True takes server log lines and strips the
-        rating prefix.
+        see `kafka_messages` for the order. It needs the Kafka connector on the
+        classpath. log_lines=True takes server log lines and strips the rating
+        prefix.
         """
         opts = dict(options or {})
         if source_format == "kafka":
@@ -246,6 +209,13 @@ class StreamingRecommender:
             msgs = reader.format(source_format).load(source)
         return log_lines_to_messages(msgs) if log_lines else msgs
 
+    def touched_users(self, messages: DataFrame) -> DataFrame:
+        """Queue and rated products of the users that messages touch, by state."""
+        good, _ = parse_event_messages(messages)
+        events = good.select("userId", "productId", "score", "timestamp", "event_id")
+        processor = RatingState(self.capacity, self.n_recent)
+        return events.groupBy("userId").transformWithStateInPandas(processor, _TOUCHED, "Update", "None")
+
     def start(
         self,
         source: str,
@@ -254,28 +224,39 @@ class StreamingRecommender:
         source_format: str = "parquet",
         options: dict | None = None,
         log_lines: bool = False,
-    ):
+    ) -> tuple[StreamingQuery, StreamingQuery]:
+        """Start scoring, and the side table of rejected messages: two queries."""
         messages = self.messages(source, source_format, options, max_files_per_trigger, log_lines)
-        writer = messages.writeStream.foreachBatch(self.process_batch).option(
-            "checkpointLocation", self.checkpoint_dir
-        )
-        writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
-            processingTime=BATCH_INTERVAL
+        when = {"availableNow": True} if available_now else {"processingTime": BATCH_INTERVAL}
+        _, bad = parse_event_messages(messages)
+        conf, before = self.spark.conf, self.spark.conf.get(_PROVIDER)
+        conf.set(_PROVIDER, _ROCKSDB)  # a query keeps the settings that it starts with
+        try:
+            scored = (
+                self.touched_users(messages)
+                .writeStream.outputMode("update")
+                .foreachBatch(self.process_batch)
+                .option("checkpointLocation", self.checkpoint_dir)
+                .trigger(**when)
+                .start()
+            )
+        finally:
+            conf.set(_PROVIDER, before)
+        rejected = (
+            bad.writeStream.format("parquet")
+            .option("checkpointLocation", f"{self.checkpoint_dir}-rejected")
+            .trigger(**when)
+            .start(self.rejected_dir)
         )
-        return writer.start()
+        return scored, rejected
 
     def run_available(self, source: str, max_files_per_trigger: int | None = None, **kwargs) -> None:
         """Process everything available now in micro-batches, then stop."""
-        q = self.start(source, available_now=True, max_files_per_trigger=max_files_per_trigger, **kwargs)
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
+        for query in self.start(source, available_now=True, max_files_per_trigger=max_files_per_trigger, **kwargs):
+            query.awaitTermination()
+            if query.exception() is not None:
+                raise RuntimeError(str(query.exception()))
 
-    def current_recs(self, upto: int | None = None) -> DataFrame:
+    def current_recs(self) -> DataFrame:
         """Each user's list from the latest batch that touched them."""
-        base = self.base_version(self.spark)
-        log = self._log(self.spark, self.recs_dir, USER_RECS, base, upto)
-        if base is not None:
-            path = os.path.join(self.recs_base_dir, f"v={base}")
-            log = log.unionByName(self.spark.read.schema(USER_RECS).parquet(path).withColumn("batch_id", F.lit(base)))
-        return log.groupBy("userId").agg(F.max_by("recs", "batch_id").alias("recs"))
+        return self.recs.read()
