@@ -8,11 +8,13 @@ before writing; readers sort (top_n) at read time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfrank.functions import year_month
 from shelfrank.operators.topk import top_n
+from shelfrank.sources.partitioned import PartitionedTable
 
 
 def rate_more(ratings: DataFrame) -> DataFrame:
@@ -73,3 +75,40 @@ def rate_more_from_rollup(rollup: DataFrame) -> DataFrame:
 
 def average_from_rollup(rollup: DataFrame) -> DataFrame:
     return rollup.groupBy("productId").agg((F.sum("score_sum") / F.sum("count")).alias("avg"))
+
+
+_ROLLUP = T.StructType(
+    [
+        T.StructField("productId", T.IntegerType()),
+        T.StructField("count", T.LongType()),
+        T.StructField("score_sum", T.DoubleType()),
+    ]
+)
+
+
+class RollupTable:
+    """The monthly roll-up at rest, in a folder per month, kept up to date.
+
+    New ratings are counted on their own, and their (count, score sum) are added
+    to those of the months that they fall in: these months alone are read and
+    written, old ones too if a rating comes late. The history is not scanned
+    again. What readers need are sums over the table."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        # The month is a column of the roll-up and the folder it lies in.
+        schema = T.StructType([*_ROLLUP.fields, T.StructField("month", T.StringType())])
+        self.table = PartitionedTable(spark, path, schema, "yearmonth", T.StringType(), F.col("month"))
+
+    def add(self, ratings: DataFrame, token: str) -> None:
+        """Count new ratings in; those of one token are counted once."""
+        new = monthly_rollup(ratings).withColumnRenamed("yearmonth", "month")
+        self.table.update(new.select(*self.table.schema.fieldNames()), self._added, token)
+
+    @staticmethod
+    def _added(old: DataFrame, new: DataFrame) -> DataFrame:
+        both = old.unionByName(new).groupBy("productId", "month")
+        return both.agg(F.sum("count").alias("count"), F.sum("score_sum").alias("score_sum"))
+
+    def read(self, months: list[str] | None = None) -> DataFrame:
+        """(productId, yearmonth, count, score_sum), as `monthly_rollup` gives it."""
+        return self.table.read(months).withColumnRenamed("month", "yearmonth")

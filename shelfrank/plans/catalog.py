@@ -34,6 +34,8 @@ ITEMCF_MIN_SUPPORT = 1
 STREAM_FILES = 4
 SIM_BUCKETS = 8
 SERVE_N = 6
+USER_BUCKETS = 16
+UPDATES = 3
 # ALS in the registered queries: a small rank keeps them quick; the operator
 # defaults are the production settings (rank 500, 10 iterations, 0.001).
 ALS_RANK = 10
@@ -149,6 +151,27 @@ def q_rating_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.upsert_ratings(adapters.ratings(spark, sf_dir), adapters.rating_events(spark, sf_dir))
 
 
+def q_rating_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rating table at rest, loaded from the history and updated by the
+    events in UPDATES batches, cut without regard to time."""
+    table = state.RatingTable(spark, scratch_path(spark, "ratings"), USER_BUCKETS)
+    table.load(adapters.ratings(spark, sf_dir))
+    events = adapters.rating_events(spark, sf_dir)
+    for i in range(UPDATES):
+        table.update(events.where(F.pmod(F.xxhash64("event_id"), F.lit(UPDATES)) == i), f"update-{i}")
+    return table.read()
+
+
+def q_monthly_rollup_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly roll-up at rest, from the ratings in UPDATES batches of which
+    each falls in many months."""
+    table = stats.RollupTable(spark, scratch_path(spark, "rollup"))
+    r = adapters.ratings(spark, sf_dir)
+    for i in range(UPDATES):
+        table.add(r.where(F.pmod(F.xxhash64("userId"), F.lit(UPDATES)) == i), f"add-{i}")
+    return rounded(table.read(), "score_sum")
+
+
 def q_log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     good, _bad = text.parse_log_lines(adapters.log_lines(spark, sf_dir))
     return good
@@ -449,6 +472,8 @@ QUERIES: dict[str, Query] = {
     "recent_n": q_recent_n,
     "recent_queue": q_recent_queue,
     "rating_upsert": q_rating_upsert,
+    "rating_upsert_table": q_rating_upsert_table,
+    "monthly_rollup_table": q_monthly_rollup_table,
     "log_events": q_log_events,
     "stream_parse": q_stream_parse,
     "rating_json": q_rating_json,

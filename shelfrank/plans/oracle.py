@@ -131,6 +131,14 @@ SQL["rating_upsert"] = _with(
                             ORDER BY "timestamp" DESC, src DESC, seq DESC, score DESC) AS rn
   FROM w) WHERE rn = 1"""
 
+SQL["rating_upsert_table"] = SQL["rating_upsert"]
+
+SQL["monthly_rollup_table"] = (
+    _with(RATINGS)
+    + f"""SELECT productId, {MONTH} AS yearmonth, count(productId) AS "count", round(sum(score), 6) AS score_sum
+FROM ratings GROUP BY ALL"""
+)
+
 SQL["log_events"] = _with(EVENTS) + "SELECT * FROM ev"
 SQL["stream_parse"] = _with(EVENTS) + "SELECT * FROM ev"
 SQL["rating_json"] = _with(EVENTS) + "SELECT * FROM ev"
