@@ -123,9 +123,17 @@ def sparse_product(left, right, n_left: int, n_right: int) -> np.ndarray:
     return out
 
 
+def row_dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Dot product of each row of a with that of b, terms added in order, so that
+    it depends on the two rows alone."""
+    out = np.zeros(len(a))
+    for i in range(a.shape[1]):
+        out += a[:, i] * b[:, i]
+    return out
+
+
 def unit_rows(m: np.ndarray) -> np.ndarray:
-    norms = np.sqrt((m * m).sum(axis=1))
-    return m / norms[:, None]
+    return m / np.sqrt(row_dots(m, m))[:, None]
 
 
 # Rows of the left block multiplied at a time: the score matrix held in a task
@@ -133,8 +141,14 @@ def unit_rows(m: np.ndarray) -> np.ndarray:
 CHUNK_ROWS = 1024
 
 
+# A product of blocks may differ in its last digits with the blocks' shapes:
+# pairs this near to a threshold are settled by `row_dots`.
+PRODUCT_MARGIN = 1e-9
+
+
 def threshold_pairs(ids_a, ua, ids_b, ub, threshold: float, same: bool, chunk: int = CHUNK_ROWS):
     """Pairs (a, b, cos) with cos > threshold among unit rows; both directions.
+    The result does not depend on how rows are cut into blocks and chunks.
 
     same=True: a and b index the same block; only i < j is computed once and
     mirrored, and the diagonal is skipped.
@@ -143,16 +157,20 @@ def threshold_pairs(ids_a, ua, ids_b, ub, threshold: float, same: bool, chunk: i
     out_a, out_b, out_s = [ids_a[:0]], [ids_b[:0]], [np.zeros(0)]
     for start in range(0, len(ids_a), chunk):
         s = ua[start : start + chunk] @ ub.T
-        mask = s > threshold
+        mask = s > threshold - PRODUCT_MARGIN
         if same:
             rows = np.arange(start, start + s.shape[0])[:, None]
             mask &= np.arange(s.shape[1])[None, :] > rows
         ia, ib = np.nonzero(mask)
-        vals = s[ia, ib]
-        a, b = ids_a[start + ia], ids_b[ib]
-        out_a += [a, b]
-        out_b += [b, a]
-        out_s += [vals, vals]
+        ia += start
+        for at in range(0, len(ia), 1 << 18):
+            i, j = ia[at : at + (1 << 18)], ib[at : at + (1 << 18)]
+            vals = row_dots(ua[i], ub[j])
+            keep = vals > threshold
+            a, b, vals = ids_a[i[keep]], ids_b[j[keep]], vals[keep]
+            out_a += [a, b]
+            out_b += [b, a]
+            out_s += [vals, vals]
     return np.concatenate(out_a), np.concatenate(out_b), np.concatenate(out_s)
 
 
@@ -217,38 +235,6 @@ def row_top_k(
 # ------------------------------------------------------------- operators
 
 
-def self_similarity(
-    df: DataFrame,
-    id_col: str,
-    threshold: float,
-    vector_col: str,
-    id_type: str = "int",
-    block_rows: int = DEFAULT_BLOCK_ROWS,
-    n_blocks: int | None = None,
-) -> DataFrame:
-    """All ordered pairs (a, b), a != b, with cosine(a, b) > threshold, of dense
-    vectors (numeric arrays). Rows with a zero norm must be removed by the caller
-    (their cosine is undefined). Output: (a, b, sim).
-    """
-    data = df.select(id_col, vector_col)
-    nb = n_blocks or plan_blocks(data, block_rows)
-
-    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = int(pdf["_lo"].iloc[0]), int(pdf["_hi"].iloc[0])
-        mat = unit_rows(dense_matrix(pdf[vector_col]))
-        ids = pdf[id_col].values
-        blk = pdf["_b"].values
-        if lo == hi:
-            a, b, s = threshold_pairs(ids, mat, ids, mat, threshold, same=True)
-        else:
-            ma, mb = blk == lo, blk == hi
-            a, b, s = threshold_pairs(ids[ma], mat[ma], ids[mb], mat[mb], threshold, same=False)
-        return pd.DataFrame({"a": a, "b": b, "sim": np.asarray(s, dtype=np.float64)})
-
-    schema = f"a {id_type}, b {id_type}, sim double"
-    return replicate_self(data, id_col, nb).groupBy("_lo", "_hi").applyInPandas(kernel, schema=schema)
-
-
 def _sides(pdf: pd.DataFrame) -> list[tuple[pd.DataFrame, pd.DataFrame]]:
     """The (rows, columns) a block pair answers for: each of two blocks against
     the other, or a block against itself."""

@@ -6,8 +6,8 @@
 * `cooccurrence_similarity`: item-CF, n_ab / sqrt(n_a n_b) over users.
 * `content_similarity`: TF-IDF over product tags, cosine, top-k per product.
 
-All-pairs work goes through `blocked` (bounded block-pair tasks), never a
-cross join.
+All-pairs work goes through bounded block-pair tasks (`blocked`), pruned by
+`pivots`, never a cross join.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfrank.functions import l2norm, rank_key
-from shelfrank.operators import blocked
+from shelfrank.operators import blocked, pivots
 from shelfrank.operators.topk import rank_all, top_k_per_group
 from shelfrank.session import ensure_checkpoint_dir
 
@@ -40,7 +40,7 @@ def cosine_similarity(
     v = factors.select(F.col(id_col).cast("int").alias("id"), F.col(vector_col).alias("v")).where(
         l2norm("v") > 0
     )
-    pairs = blocked.self_similarity(v, "id", threshold, vector_col="v", block_rows=block_rows)
+    pairs = pivots.cosine_join(v, "id", "v", threshold, block_rows=block_rows)
     return pairs.select(F.col("a").alias("productId"), F.col("b").alias("simId"), "sim")
 
 

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from conftest import SF_SMALL, rows
 
-from shelfrank.operators import blocked, similarity
+from shelfrank.operators import blocked, pivots, similarity
 from shelfrank.sources import adapters
 
 
@@ -30,7 +30,7 @@ def test_blocked_matches_brute_force(spark):
     f = factor_df(spark, vecs)
     v = f.withColumnRenamed("features", "v")
     # 40-row blocks: several block pairs, both same-block and cross-block tasks.
-    got = blocked.self_similarity(v, "id", 0.3, vector_col="v", block_rows=40)
+    got = pivots.cosine_join(v, "id", "v", 0.3, block_rows=40)
     got = {(a, b): s for a, b, s in rows(got)}
     exp = {}
     for i, a in vecs.items():
@@ -160,3 +160,51 @@ def test_rank_all_computes_its_input_once(spark):
     df = spark.range(1000).repartition(4).mapInArrow(count, "id long")
     out = rank_all(df.withColumn("g", F.col("id") % 3), "g", [F.col("id").asc()])
     assert out.count() == 1000 and calls.value == 1000
+
+
+def _clustered(clusters, each, dim=16, seed=3):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(clusters, dim))
+    return {c * each + i: centres[c] + 0.25 * rng.normal(size=dim) for c in range(clusters) for i in range(each)}
+
+
+def _cosine_pairs(vecs, threshold):
+    ids = np.array(list(vecs))
+    unit = np.array([v / np.linalg.norm(v) for v in vecs.values()])
+    a, b = np.nonzero(unit @ unit.T > threshold)
+    return {(int(ids[i]), int(ids[j])) for i, j in zip(a, b) if i != j}
+
+
+def test_pivots_lose_no_pair(spark):
+    for threshold in (0.6, 0.95, -0.2):
+        vecs = _clustered(12, 25)
+        got = pivots.cosine_join(factor_df(spark, vecs), "id", "features", threshold, block_rows=15)
+        got = [(a, b) for a, b, _ in rows(got)]
+        assert len(got) == len(set(got)) and set(got) == _cosine_pairs(vecs, threshold)
+
+
+def test_pivots_prune_clustered_blocks(spark):
+    """With the number of clusters the blocks multiplied grow far slower than their pairs."""
+    shares = []
+    for clusters in (8, 32):
+        made = pivots.plan(factor_df(spark, _clustered(clusters, 50)), "id", "features", 0.9, 50)
+        kept, whole = made.block_pairs()
+        assert made.blocks >= clusters
+        shares.append(kept / whole)
+    assert shares[0] < 0.6 and shares[1] < 0.4 * shares[0] + 0.1
+
+
+def test_pivots_copy_rows_to_blocks_in_reach(spark):
+    vecs = _clustered(16, 40)
+    made = pivots.plan(factor_df(spark, vecs), "id", "features", 0.9, 40)
+    unit = np.array([v / np.linalg.norm(v) for v in vecs.values()])
+    block, partners = made.deal(np.arange(len(unit)), unit)
+    assert all(b in p for b, p in zip(block, partners))
+    assert np.mean([len(p) for p in partners]) < made.blocks / 2
+
+
+def test_pivots_on_equal_vectors(spark):
+    vecs = {i: np.array([1.0, 2.0, 3.0]) for i in range(100)}
+    got = similarity.cosine_similarity(factor_df(spark, vecs), 0.6, block_rows=10)
+    assert got.count() == 100 * 99
+    assert similarity.cosine_similarity(factor_df(spark, vecs).limit(0)).count() == 0
