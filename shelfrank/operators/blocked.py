@@ -228,7 +228,7 @@ def row_top_k(
         r, c = matrix_top_k(s, ids_cols, k)
         out_r.append(ids_rows[start + r])
         out_c.append(ids_cols[c])
-        out_s.append(s[r, c])
+        out_s.append(row_dots(left[start + r], right[c]))
     return np.concatenate(out_r), np.concatenate(out_c), np.concatenate(out_s)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfrank.functions import l2norm, rank_key
-from shelfrank.operators import blocked, pivots
+from shelfrank.operators import blocked, pivots, waves
 from shelfrank.operators.topk import rank_all, top_k_per_group
 from shelfrank.session import ensure_checkpoint_dir
 
@@ -65,15 +65,12 @@ def factor_top_k(
     """(userId, rank, productId, score): each user's k best items by u . i,
     only scores > 0 when positive_only; ties by productId.
 
-    With far more users than items, give users larger blocks
-    (`user_block_rows`): each user row is copied once per item block and each
-    item row once per user block.
+    Items are met in waves of falling norm, and a user stops when no item to come
+    can enter their list (`waves.top_k_by_norm`). With far more users than items,
+    give users larger blocks (`user_block_rows`): within a wave each user row is
+    copied once per item block and each item row once per user block.
     """
-    cands = blocked.cross_top_k(
-        user_factors, item_factors, "id", "id", "features", k, positive_only, block_rows, user_block_rows
-    ).select(F.col("a").alias("userId"), F.col("b").alias("productId"), "score")
-    ranked = top_k_per_group(cands, "userId", k, score="score", tie_breakers=["productId"])
-    return ranked.select("userId", "rank", "productId", "score")
+    return waves.top_k_by_norm(user_factors, item_factors, k, positive_only, block_rows, user_block_rows)[0]
 
 
 # Users with more distinct items than this are counted pair by pair of product

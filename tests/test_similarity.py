@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from conftest import SF_SMALL, rows
 
-from shelfrank.operators import blocked, pivots, similarity
+from shelfrank.operators import blocked, pivots, similarity, waves
 from shelfrank.sources import adapters
 
 
@@ -208,3 +208,40 @@ def test_pivots_on_equal_vectors(spark):
     got = similarity.cosine_similarity(factor_df(spark, vecs), 0.6, block_rows=10)
     assert got.count() == 100 * 99
     assert similarity.cosine_similarity(factor_df(spark, vecs).limit(0)).count() == 0
+
+
+def _best(users, items, k, positive):
+    out = {}
+    for u, uv in users.items():
+        scores = sorted((-round(float(uv @ iv), 9), i) for i, iv in items.items() if not positive or uv @ iv > 0)
+        out[u] = [i for _, i in scores[:k]]
+    return {u: v for u, v in out.items() if v}
+
+
+def test_waves_stop_early_and_lose_nothing(spark):
+    """Norms that fall off: most users are done after the first waves."""
+    rng = np.random.default_rng(8)
+    users = {i: rng.normal(size=6) for i in range(80)}
+    users[99] = np.zeros(6)
+    items = {i: rng.normal(size=6) / (1 + i / 20) ** 2 for i in range(1000)}
+    for positive in (True, False):
+        out, report = waves.top_k_by_norm(factor_df(spark, users), factor_df(spark, items), 5, positive, block_rows=40)
+        got = defaultdict(list)
+        for r in out.orderBy("userId", "rank").collect():
+            got[r["userId"]].append(r["productId"])
+        want = _best(users, items, 5, positive)
+        if not positive:  # all scores of the zero user are equal: the lowest ids
+            assert got[99] == [0, 1, 2, 3, 4]
+        assert dict(got) == want
+    met = [w.users for w in report]
+    assert met[0] == 81 and met == sorted(met, reverse=True) and met[-1] <= 8
+    assert sum(w.copies for w in report) < 81 * 25 + 1000 * 3
+
+
+def test_waves_with_equal_norms_and_few_items(spark):
+    users = {1: np.array([1.0, 0.0]), 2: np.array([-1.0, 0.0])}
+    items = {i: np.array([1.0, 0.0]) for i in range(30)}
+    out = similarity.factor_top_k(factor_df(spark, users), factor_df(spark, items), 4, block_rows=5)
+    assert [(r.userId, r.productId) for r in out.orderBy("userId", "rank").collect()] == [(1, i) for i in range(4)]
+    none = similarity.factor_top_k(factor_df(spark, users), factor_df(spark, items).limit(0), 4)
+    assert none.count() == 0
