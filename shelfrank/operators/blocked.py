@@ -245,45 +245,6 @@ def _sides(pdf: pd.DataFrame) -> list[tuple[pd.DataFrame, pd.DataFrame]]:
     return [(a, b), (b, a)]
 
 
-def sparse_neighbours(
-    df: DataFrame,
-    id_col: str,
-    terms_col: str,
-    weights_col: str,
-    order_col: str,
-    k: int,
-    id_type: str = "string",
-    block_rows: int = 1024,
-    n_blocks: int | None = None,
-) -> DataFrame:
-    """(a, b, sim), b != a: a superset of each row's k rows of highest positive
-    cosine, ties by order_col, over sparse vectors (term and weight arrays).
-
-    Each block pair cuts to k inside its task, so about k rows leave it per row,
-    and rows x blocks x k in all, not all pairs.
-    """
-    data = df.select(id_col, terms_col, weights_col, order_col)
-    nb = n_blocks or plan_blocks(data, block_rows)
-
-    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b, sim = [], [], []
-        for rows, cols in _sides(pdf):
-            left, right = (sparse_rows(x[terms_col].values, x[weights_col].values) for x in (rows, cols))
-            norm = [np.sqrt(np.bincount(t[0], t[2] ** 2, minlength=len(x))) for t, x in ((left, rows), (right, cols))]
-            s = sparse_product(left, right, len(rows), len(cols)) / norm[0][:, None] / norm[1][None, :]
-            s[s <= 0] = -np.inf
-            ids, others = rows[id_col].values, cols[id_col].values
-            s[ids[:, None] == others[None, :]] = -np.inf
-            r, c = matrix_top_k(s, cols[order_col].values, k)
-            a.append(ids[r])
-            b.append(others[c])
-            sim.append(s[r, c])
-        return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b), "sim": np.concatenate(sim)})
-
-    schema = f"a {id_type}, b {id_type}, sim double"
-    return replicate_self(data, id_col, nb).groupBy("_lo", "_hi").applyInPandas(kernel, schema=schema)
-
-
 def set_overlaps(
     df: DataFrame, id_col: str, members_col: str, block_rows: int = 1024, n_blocks: int | None = None
 ) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfrank.functions import l2norm, rank_key
-from shelfrank.operators import blocked, pivots, waves
+from shelfrank.operators import blocked, impact, pivots, waves
 from shelfrank.operators.topk import rank_all, top_k_per_group
 from shelfrank.session import ensure_checkpoint_dir
 
@@ -145,28 +145,23 @@ def tag_weights(products: DataFrame, tags_col: str = "tags") -> DataFrame:
     return tf.join(idf, "tag").select("productId", "tag", (F.col("tf") * F.col("idf")).alias("w"))
 
 
-def content_similarity(
-    products: DataFrame,
-    k: int = MAX_RECS,
-    block_rows: int = 1024,
-) -> DataFrame:
+def content_similarity(products: DataFrame, k: int = MAX_RECS) -> DataFrame:
     """Content neighbours: cosine of TF-IDF tag vectors, top k per product.
 
     Products with the same tag multiset have the same vector, so similarity is
-    computed between distinct tag profiles (blocked, exact), then expanded to
-    products. Expansion is exact and bounded: for a product in profile p only
-    the first k+1 profiles q by (sim desc, smallest product id of q) and, in
-    each q, its k+1 smallest product ids can reach the top k (k other
-    products already precede anything later); of those, p keeps its best k+1,
-    and each product of p drops itself and keeps k. Every product meets at
-    most k+1 candidate rows, however many products share its profile.
-    Output (productId, rank, simId, sim).
+    computed between distinct tag profiles, from an inverted index by tag
+    (`impact.top_k_sparse`, exact), then expanded to products. Expansion is exact
+    and bounded: for a product in profile p only the first k+1 profiles q by (sim
+    desc, smallest product id of q) and, in each q, its k+1 smallest product ids
+    can reach the top k (k other products already precede anything later); of
+    those, p keeps its best k+1, and each product of p drops itself and keeps k.
+    Every product meets at most k+1 candidate rows, however many products share
+    its profile. Output (productId, rank, simId, sim).
     """
     ensure_checkpoint_dir(products.sparkSession)
     w = tag_weights(products)
-    # The per-product profile table feeds the block sizing count and four
-    # branches below: a reliable checkpoint (in spark.checkpoint.dir) computes
-    # it once and cuts the lineage.
+    # The per-product profile table feeds four branches below: a reliable
+    # checkpoint (in spark.checkpoint.dir) computes it once and cuts the lineage.
     prof_of = (
         w.groupBy("productId")
         .agg(F.array_sort(F.collect_list(F.struct("tag", "w"))).alias("vec"))
@@ -180,17 +175,17 @@ def content_similarity(
             F.min("productId").alias("min_id"),
         )
         .where(F.aggregate(F.col("vec"), F.lit(0.0), lambda acc, e: acc + e["w"] * e["w"]) > 0)
-        .select(
-            "profile",
-            "min_id",
-            F.transform("vec", lambda e: e["tag"]).alias("terms"),
-            F.transform("vec", lambda e: e["w"]).alias("weights"),
-        )
+        .checkpoint()
     )
-    # Cut to k + 1 inside each block pair's task: pairs never leave it whole.
-    pairs = blocked.sparse_neighbours(
-        profiles, "profile", "terms", "weights", "min_id", k + 1, block_rows=block_rows
+    # A profile's smallest product id is its own and orders ties.
+    vectors = profiles.select(
+        F.col("min_id").alias("id"),
+        F.transform("vec", lambda e: e["tag"]).alias("terms"),
+        F.transform("vec", lambda e: e["w"]).alias("weights"),
     )
+    name = lambda c: profiles.select(F.col("min_id").alias(f"{c}_id"), F.col("profile").alias(c))
+    pairs = impact.top_k_sparse(vectors, k + 1).withColumnsRenamed({"a": "a_id", "b": "b_id"})
+    pairs = pairs.join(name("a"), "a_id").join(name("b"), "b_id").select("a", "b", "sim")
     selfs = profiles.select(F.col("profile").alias("a"), F.col("profile").alias("b"), F.lit(1.0).alias("sim"))
     # Candidate profiles q of p: the first k+1 by (sim desc, min_id asc).
     qmin = profiles.select(F.col("profile").alias("b"), F.col("min_id").alias("b_min"))

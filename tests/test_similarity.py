@@ -2,9 +2,11 @@ import math
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 from conftest import SF_SMALL, rows
+from pyspark.sql import functions as F
 
-from shelfrank.operators import blocked, pivots, similarity, waves
+from shelfrank.operators import blocked, impact, pivots, similarity, waves
 from shelfrank.sources import adapters
 
 
@@ -81,7 +83,7 @@ def test_content_top_k_matches_brute_force(spark):
         "productId int, tags string",
     )
     k = 3
-    out = similarity.content_similarity(prods, k=k, block_rows=2)
+    out = similarity.content_similarity(prods, k=k)
     got = defaultdict(list)
     for r in out.orderBy("productId", "rank").collect():
         got[r["productId"]].append((r["simId"], round(r["sim"], 9)))
@@ -132,17 +134,49 @@ def test_equal_vectors_emit_few_candidates():
     assert len(r) == 3000 * 20 and set(c.tolist()) == set(range(20))
 
 
-def test_content_tasks_emit_k_per_row(spark):
-    """Half of the profiles share one tag; what leaves the tasks stays within
-    rows x k x blocks."""
-    from shelfrank.operators import blocked
-
-    data = [(str(i), ["shared", f"t{i}"] if i % 2 else [f"t{i}", f"u{i % 7}"], [1.0, 2.0], i) for i in range(600)]
-    df = spark.createDataFrame(data, "id string, terms array<string>, weights array<double>, ord int")
-    out = blocked.sparse_neighbours(df, "id", "terms", "weights", "ord", 5, n_blocks=3)
-    assert 0 < out.count() <= 600 * 5 * 3
-    near = {r.b for r in out.where("a = '301'").collect()}
-    assert {"1", "3", "5", "7", "9"} <= near
+def _sparse(spark, n, seed=4):
+    """Vectors with a term that all but a few have, terms that a third have, and
+    rare ones; many weights and scores are equal."""
+    rng = np.random.default_rng(seed)
+    data = []
+    for i in range(n):
+        terms = {"hot": 1.0} if i % 10 else {}
+        terms[f"third{i % 3}"] = float(rng.choice([1, 2]))
+        if rng.random() < 0.6:
+            terms[f"rare{rng.integers(n // 4)}"] = float(rng.choice([1, 3, 5]))
+        if rng.random() < 0.2:
+            terms[f"own{i}"] = 2.0
+        data.append((i, sorted(terms), [terms[t] for t in sorted(terms)]))
+    return data, spark.createDataFrame(data, "id int, terms array<string>, weights array<double>")
+
+
+@pytest.mark.parametrize("first_page", [2, 16, 4096])
+def test_sparse_top_k_matches_brute_force(spark, monkeypatch, first_page):
+    monkeypatch.setattr(impact, "PAGE", first_page)
+    data, df = _sparse(spark, 120)
+    unit = {i: {t: x / math.sqrt(sum(y * y for y in w)) for t, x in zip(ts, w)} for i, ts, w in data}
+    want = {}
+    for a, va in unit.items():
+        scored = [(-round(sum(x * vb.get(t, 0.0) for t, x in sorted(va.items())), 9), b) for b, vb in unit.items() if b != a]
+        want[a] = [b for s, b in sorted(scored)[:5] if s < 0]
+    got = defaultdict(list)
+    order = ["a", F.round("sim", 9).desc(), "b"]
+    for r in impact.top_k_sparse(df, 5).orderBy(*order).collect():
+        got[r.a].append(r.b)
+    assert dict(got) == want
+
+
+def test_hot_terms_are_read_by_pages(spark, monkeypatch):
+    """A term that nine tenths of all vectors have: a vector meets few of them."""
+    monkeypatch.setattr(impact, "PAGE", 8)
+    _, df = _sparse(spark, 2000)
+    postings, pages = impact.inverted_index(df)
+    assert postings.where("term = 'hot'").count() == 1800
+    assert pages.where("term = 'hot'").count() == 8 and pages.where("term = 'hot' and ended").count() == 1
+    met, dot = [], impact._dot
+    monkeypatch.setattr(impact, "_dot", lambda: met.append(1) or dot())
+    assert impact.top_k_sparse(df, 5).count() == 2000 * 5
+    assert len(met) <= 7  # rounds; all vectors reading all pages would take 8
 
 
 def test_rank_all_computes_its_input_once(spark):
