@@ -91,38 +91,6 @@ def dense_matrix(vectors: pd.Series) -> np.ndarray:
     return np.vstack([np.asarray(v, dtype=np.float64) for v in vectors.values])
 
 
-# Terms multiplied at a time in sparse products: a task holds two dense slabs of
-# block rows x TERM_CHUNK besides the score matrix, whatever the vocabulary.
-TERM_CHUNK = 2048
-
-
-def sparse_rows(terms, weights=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, term, weight) triples of rows given as lists; weight 1 if not given."""
-    size = np.array([len(t) for t in terms], dtype=np.int64)
-    row = np.repeat(np.arange(len(size)), size)
-    flat = np.concatenate([np.asarray(t) for t in terms]) if size.sum() else np.zeros(0, dtype=np.int64)
-    w = np.ones(len(flat))
-    if weights is not None and len(flat):
-        w = np.concatenate([np.asarray(x, float) for x in weights])
-    return row, flat, w
-
-
-def sparse_product(left, right, n_left: int, n_right: int) -> np.ndarray:
-    """Dense left @ right.T of two triple lists over the same terms."""
-    out = np.zeros((n_left, n_right))
-    shared = np.intersect1d(left[1], right[1])
-    (lr, lt, lw), (rr, rt, rw) = (tuple(x[np.isin(t[1], shared)] for x in t) for t in (left, right))
-    lt, rt = np.searchsorted(shared, lt), np.searchsorted(shared, rt)
-    for start in range(0, len(shared), TERM_CHUNK):
-        width = min(TERM_CHUNK, len(shared) - start)
-        a, b = np.zeros((n_left, width)), np.zeros((n_right, width))
-        for slab, (r, t, w) in ((a, (lr, lt, lw)), (b, (rr, rt, rw))):
-            here = (t >= start) & (t < start + width)
-            np.add.at(slab, (r[here], t[here] - start), w[here])
-        out += a @ b.T
-    return out
-
-
 def row_dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Dot product of each row of a with that of b, terms added in order, so that
     it depends on the two rows alone."""
@@ -235,38 +203,6 @@ def row_top_k(
 # ------------------------------------------------------------- operators
 
 
-def _sides(pdf: pd.DataFrame) -> list[tuple[pd.DataFrame, pd.DataFrame]]:
-    """The (rows, columns) a block pair answers for: each of two blocks against
-    the other, or a block against itself."""
-    lo, hi = int(pdf["_lo"].iloc[0]), int(pdf["_hi"].iloc[0])
-    if lo == hi:
-        return [(pdf, pdf)]
-    a, b = pdf[pdf["_b"] == lo], pdf[pdf["_b"] == hi]
-    return [(a, b), (b, a)]
-
-
-def set_overlaps(
-    df: DataFrame, id_col: str, members_col: str, block_rows: int = 1024, n_blocks: int | None = None
-) -> DataFrame:
-    """(a, b, n), a < b: the number of members that two rows' arrays share, where
-    it is not 0. One row per pair leaves a task, however many members they share."""
-    data = df.select(F.col(id_col).cast("int").alias(id_col), members_col)
-    nb = n_blocks or plan_blocks(data, block_rows)
-
-    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows, cols = _sides(pdf)[0]
-        left, right = (sparse_rows(x[members_col].values) for x in (rows, cols))
-        n = sparse_product(left, right, len(rows), len(cols))
-        ids, others = rows[id_col].values, cols[id_col].values
-        if rows is cols:
-            n[ids[:, None] >= others[None, :]] = 0
-        r, c = np.nonzero(n)
-        a, b = ids[r], others[c]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "n": n[r, c].astype(np.int64)})
-
-    return replicate_self(data, id_col, nb).groupBy("_lo", "_hi").applyInPandas(kernel, schema="a int, b int, n long")
-
-
 def cross_top_k(
     left: DataFrame,
     right: DataFrame,

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfrank.functions import l2norm, rank_key
-from shelfrank.operators import blocked, impact, pivots, waves
+from shelfrank.operators import blocked, cooccur, impact, pivots, waves
 from shelfrank.operators.topk import rank_all, top_k_per_group
 from shelfrank.session import ensure_checkpoint_dir
 
@@ -73,61 +73,18 @@ def factor_top_k(
     return waves.top_k_by_norm(user_factors, item_factors, k, positive_only, block_rows, user_block_rows)[0]
 
 
-# Users with more distinct items than this are counted pair by pair of product
-# blocks instead of pair by pair of their items. The results do not depend on it.
-HEAVY_ITEMS = 1000
-
-
 def cooccurrence_similarity(
     ratings: DataFrame,
     min_support: int = 1,
     k: int | None = MAX_RECS,
-    heavy_items: int = HEAVY_ITEMS,
-    block_rows: int = 1024,
+    heavy_items: int = cooccur.HEAVY_ITEMS,
 ) -> DataFrame:
     """Item-CF: sim(a, b) = n_ab / sqrt(n_a * n_b), n = distinct users; pairs
     need n_ab >= min_support. Output (productId, simId, sim, rank), rank <= k.
-
-    n_ab = L_ab + H_ab, split between light and heavy users. A light user makes
-    at most heavy_items^2 / 2 pairs in a self-join (a < b), which a partial
-    aggregate on (a, b) follows in the same stage. Heavy users, however many,
-    make no pairs of their own: each product carries the list of its heavy
-    users, and product blocks meet in bounded tasks that count the lists'
-    overlaps, one row per pair of products. Exact: no pair and no rating is
-    dropped.
-    """
+    Counted by `cooccur.pair_counts`."""
     up = ratings.select("userId", "productId").distinct()
     n_item = up.groupBy("productId").agg(F.count("*").alias("n"))
-    heavy = up.groupBy("userId").agg(F.count("*").alias("m")).where(F.col("m") > heavy_items).select("userId")
-    light = up.join(heavy, "userId", "left_anti")
-    a = light.select("userId", F.col("productId").alias("a"))
-    b = light.select("userId", F.col("productId").alias("b"))
-    light_pairs = (
-        a.join(b, "userId").where(F.col("a") < F.col("b")).groupBy("a", "b").agg(F.count("*").alias("n"))
-    )
-    ensure_checkpoint_dir(ratings.sparkSession)
-    lists = (
-        up.join(heavy, "userId", "left_semi")
-        .groupBy("productId")
-        .agg(F.collect_list("userId").alias("users"))
-        .checkpoint()
-    )
-    pairs = light_pairs
-    if not lists.isEmpty():
-        heavy_pairs = blocked.set_overlaps(lists, "productId", "users", block_rows)
-        pairs = light_pairs.unionByName(heavy_pairs).groupBy("a", "b").agg(F.sum("n").alias("n"))
-    pairs = pairs.select("a", "b", F.col("n").alias("n_ab")).where(F.col("n_ab") >= min_support)
-    na = n_item.select(F.col("productId").alias("a"), F.col("n").alias("n_a"))
-    nb = n_item.select(F.col("productId").alias("b"), F.col("n").alias("n_b"))
-    scored = pairs.join(na, "a").join(nb, "b").select(
-        "a", "b", (F.col("n_ab") / F.sqrt(F.col("n_a").cast("double") * F.col("n_b"))).alias("sim")
-    )
-    ends = F.array(
-        F.struct(F.col("a").alias("productId"), F.col("b").alias("simId")),
-        F.struct(F.col("b").alias("productId"), F.col("a").alias("simId")),
-    )
-    both = scored.select(F.inline(ends), "sim")
-    return rank_similar(both, k)
+    return rank_similar(cooccur.scored(cooccur.pair_counts(up, heavy_items), n_item, min_support), k)
 
 
 def tag_weights(products: DataFrame, tags_col: str = "tags") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfrank.functions import cosine
-from shelfrank.operators import als, lookup, scoring, similarity, state, stats, topk
+from shelfrank.operators import als, cooccur, lookup, scoring, similarity, state, stats, topk
 from shelfrank.schemas import RATING_EVENT
 from shelfrank.plans import serving
 from shelfrank.session import scratch_path
@@ -244,6 +244,19 @@ def q_itemcf_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_itemcf(spark, sf_dir).select("productId", "rank", "simId", "sim"), "sim")
 
 
+def q_itemcf_upkeep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item-CF from counts at rest: loaded from a part of the ratings, the others
+    added in UPDATES batches that meet users and pairs anew and again."""
+    table = cooccur.CooccurrenceTable(spark, scratch_path(spark, "itemcf"), USER_BUCKETS)
+    r = adapters.ratings(spark, sf_dir)
+    part = F.pmod(F.xxhash64("userId", "productId"), F.lit(UPDATES + 1))
+    table.load(r.where(part == 0))
+    for i in range(1, UPDATES + 1):
+        table.add(r.where((part == i) | (part == 0) & (F.col("userId") % 7 == i)), f"add-{i}")
+    ranked = similarity.rank_similar(table.similarity(ITEMCF_MIN_SUPPORT), similarity.MAX_RECS)
+    return rounded(ranked.select("productId", "rank", "simId", "sim"), "sim")
+
+
 def q_content_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(similarity.content_similarity(adapters.products(spark, sf_dir)), "sim")
 
@@ -483,6 +496,7 @@ QUERIES: dict[str, Query] = {
     "sim_map": q_sim_map,
     "factor_topk": q_factor_topk,
     "itemcf_recs": q_itemcf_recs,
+    "itemcf_upkeep": q_itemcf_upkeep,
     "content_recs": q_content_recs,
     "similar_products": q_similar_products,
     "content_neighbors": q_content_neighbors,

@@ -215,6 +215,8 @@ CONTENT = [
   AS rank FROM s)""",
 ]
 
+SQL["itemcf_upkeep"] = SQL["itemcf_recs"]
+
 SQL["content_recs"] = _with(*CONTENT) + "SELECT productId, rank, simId, round(sim, 6) AS sim FROM r WHERE rank <= 20"
 
 _NEIGHBOURS = """SELECT r.productId AS sourceId, r.rank, round(r.sim, 6) AS recScore, s.*

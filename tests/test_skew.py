@@ -7,7 +7,8 @@ from collections import Counter, defaultdict
 import pytest
 from conftest import rows
 
-from shelfrank.operators import similarity, state
+from shelfrank.operators import cooccur, similarity, state
+from shelfrank.session import scratch_path
 
 EV = "event_id long, userId int, productId int, score double, timestamp long"
 
@@ -97,3 +98,62 @@ def test_rank_all_with_adaptive_partitions(spark):
     got = rank_all(df, "productId", order)
     exp = df.withColumn("rank", F.row_number().over(Window.partitionBy("productId").orderBy(*order)))
     assert rows(got.select("productId", "simId", "sim", "rank")) == rows(exp)
+
+
+def test_heavy_pairs_by_chunk_and_block(spark, skew_conf):
+    """A product that every user has, users and products cut into many parts."""
+    data = [(u, 0) for u in range(90)] + [(u, p) for u in range(90) for p in range(1, 60) if (u * p) % 7 < 3]
+    df = spark.createDataFrame(data, "userId int, productId int")
+    users = defaultdict(set)
+    for u, p in data:
+        users[u].add(p)
+    want = Counter((a, b) for s in users.values() for a in s for b in s if a < b)
+    for chunk, block in ((1000, 1000), (11, 13), (4, 60)):
+        got = cooccur.heavy_pairs(df, chunk, block).collect()
+        assert {(r.a, r.b): r.n for r in got} == want and len(got) == len(want)
+
+
+def test_upkeep_equals_full_count(spark):
+    """Batches with new users, new products of known users, repeated and known
+    ratings, each added twice; a hot user is in every batch."""
+    df, data = skewed_events(spark)
+    table = cooccur.CooccurrenceTable(spark, scratch_path(spark, "itemcf"), 4)
+    cut = lambda i: spark.createDataFrame([d for j, d in enumerate(data) if j % 4 == i or (i and j % 13 == i)], EV)
+    table.load(cut(0))
+    for i in (1, 2, 3):
+        table.add(cut(i), f"add-{i}")
+        table.add(cut(i), f"add-{i}")
+    up = df.select("userId", "productId").distinct()
+    assert rows(table.pairs.read()) == rows(cooccur.pair_counts(up))
+    assert rows(table.items.read()) == rows(up)
+    assert rows(table.similarity(2)) == rows(similarity.cooccurrence_similarity(df, 2, None).drop("rank"))
+
+
+def test_upkeep_that_broke_off_is_repeated(spark, monkeypatch):
+    _, data = skewed_events(spark)
+    first, more = spark.createDataFrame(data[:400], EV), spark.createDataFrame(data[400:], EV)
+    table = cooccur.CooccurrenceTable(spark, scratch_path(spark, "itemcf"), 4)
+    table.load(first)
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    for broken in (table.pairs, table.counts, table.items):
+        with monkeypatch.context() as m:
+            m.setattr(broken, "update", lost)
+            with pytest.raises(RuntimeError):
+                table.add(more, "more")
+    table.add(more, "more")
+    up = first.unionByName(more).select("userId", "productId").distinct()
+    assert rows(table.pairs.read()) == rows(cooccur.pair_counts(up))
+
+
+def test_upkeep_rewrites_touched_buckets(spark):
+    df, _ = skewed_events(spark)
+    table = cooccur.CooccurrenceTable(spark, scratch_path(spark, "itemcf"), 16)
+    table.load(df)
+    files = lambda t: set(spark.read.parquet(t.path).inputFiles())
+    before = files(table.pairs), files(table.items)
+    table.add(spark.createDataFrame([(1, 9001, 7001, 1.0, 1), (2, 9001, 7002, 1.0, 1)], EV), "new")
+    assert len(before[0] - files(table.pairs)) <= 1 and len(before[1] - files(table.items)) <= 1
+    assert rows(table.pairs.read().where("a >= 7000")) == [(7001, 7002, 1)]
