@@ -4,8 +4,8 @@ A document's set holds its distinct 5-word shingles. Two sets link when
 intersection / union >= 0.75. Then they share at least ceil(0.75 n) shingles of
 either, so under any global order of the shingles they share one among the first
 n - ceil(0.75 n) + 1 of each (their prefixes). A candidate pair must pass this
-filter under three orders at once (rarest first, with different orders among
-equally rare shingles and among rarity classes) before it is verified.
+filter under three orders at once (rarest first; by hash class; by hash) before
+it is verified.
 
 Steps, all of them Spark jobs:
 
@@ -24,9 +24,9 @@ Steps, all of them Spark jobs:
    each prefix shingle, all its nodes are first compared with one leader; nodes
    that join one component need no comparison with each other. After STAR_ROUNDS
    such rounds the rest is compared exhaustively: every pair of nodes that share
-   a prefix shingle, lie in different components and could still link by what
-   their prefixes share. So no link between components is lost, and no group is
-   cut.
+   a prefix shingle, lie in different components and could still link by where
+   the shingle stands in both. So no link between components is lost, and no
+   group is cut.
 4. `components` labels connected nodes by iterated minimum labels with pointer
    jumping; lineage is cut with checkpoint().
 
@@ -61,6 +61,8 @@ BUCKET_SHINGLES = 8_000_000
 FREQUENT_SHARE = 1000
 FREQUENT_LEAST = 64
 STAR_ROUNDS = 2
+#: Hash classes of the second order.
+CLASSES = 4
 #: Words whose hashes a task keeps.
 VOCABULARY = 500_000
 
@@ -349,12 +351,20 @@ def _gather(met: pa.Table) -> pa.Table:
     )
 
 
-def _prefix(order: int, rarity) -> Column:
+def _prefix(order: int) -> Column:
     """The node's prefix under an order, less the shingles that it alone has:
-    those come first in every order and meet nothing."""
+    those come first in every order and meet nothing. Order 1: rarest first, few
+    places a shingle. Order 2: by hash class, within a class the most frequent
+    first. Order 3: by hash alone. So 2 and 3 owe nothing to 1."""
+    mixed = lambda x: F.xxhash64(F.lit(order), x["ids"])
+    keys = {
+        1: lambda x: [x["dfs"]],
+        2: lambda x: [F.pmod(mixed(x), F.lit(CLASSES)), -x["dfs"]],
+        3: lambda x: [],
+    }[order]
     keyed = F.transform(
         F.arrays_zip("ids", "dfs"),
-        lambda x: F.struct(rarity(x["dfs"]), F.xxhash64(F.lit(order), x["ids"]), x["ids"].alias("id")),
+        lambda x: F.struct(*(c.alias(f"k{i}") for i, c in enumerate(keys(x))), mixed(x).alias("h"), x["ids"].alias("id")),
     )
     length = F.size("ids") - F.ceil(F.col("n") * PERCENT / 100).cast("int") + 1
     return F.transform(F.slice(F.array_sort(keyed), F.lit(1), length), lambda x: x["id"])
@@ -373,16 +383,12 @@ def shared(docs: DataFrame, n_shingles: int, often: np.ndarray) -> DataFrame:
         .groupBy("part")
         .applyInArrow(_gather, _SHARED)
     )
-    exact = lambda df: df
-    magnitude = lambda df: F.floor(F.log2(df.cast("double")))
     out = found.select(
         "node",
         "n",
         F.size("ids").cast("long").alias("s"),
         "ids",
-        _prefix(1, exact).alias("p1"),
-        _prefix(2, exact).alias("p2"),
-        _prefix(3, magnitude).alias("p3"),
+        *(_prefix(order).alias(f"p{order}") for order in (1, 2, 3)),
     )
     # Placed by node once: the joins on nodes below shuffle only their other side.
     return placed(out, default_parts(docs), "node")
@@ -397,14 +403,12 @@ def _can_link() -> Column:
     return 100 * most >= PERCENT * (F.col("n") + F.col("other_n") - most)
 
 
-def _prefixes_allow() -> Column:
-    """True at the least shingle that two prefixes share, if the overlap can
-    suffice: beyond what the prefixes share, it lies behind the prefix of the
-    node whose prefix ends first."""
-    both = F.array_intersect("p1", "other_p1")
-    behind = F.greatest(F.col("s") - F.size("p1"), F.col("other_s") - F.size("other_p1"))
-    most = F.size(both) + behind
-    return (100 * most >= PERCENT * (F.col("n") + F.col("other_n") - most)) & (F.array_min(both) == F.col("shingle"))
+def _places_allow() -> Column:
+    """Bound on the overlap from where a shared shingle stands in both nodes. At
+    the first one that they share, in order 1, all others stand behind it; a pair
+    that links passes there at the latest."""
+    most = F.least(F.col("s") - F.col("pos"), F.col("other_s") - F.col("other_pos"))
+    return 100 * most >= PERCENT * (F.col("n") + F.col("other_n") - most)
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -415,17 +419,25 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Links among candidate pairs: the other orders' prefixes must meet too,
-    then the whole sets are compared."""
+def _filtered(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Candidate pairs (they met in prefixes of order 1) whose prefixes meet under
+    the other orders as well."""
     side = lambda name: nodes.select(
-        F.col("node").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in ("n", "ids", "p2", "p3"))
+        F.col("node").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in ("p2", "p3"))
     )
-    both = (
-        pairs.join(side("a"), "a")
-        .join(side("b"), "b")
-        .where(F.arrays_overlap("a_p2", "b_p2") & F.arrays_overlap("a_p3", "b_p3"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    meet = [F.arrays_overlap(f"a_{p}", f"b_{p}") for p in ("p2", "p3")]
+    return both.select("a", "b", *(m.alias(p) for m, p in zip(meet, ("meet2", "meet3"))))
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links among candidate pairs: the other orders' prefixes must meet too, then
+    whole sets travel, for the pairs that are left, and are compared."""
+    left = _filtered(pairs, nodes).where("meet2 and meet3").select("a", "b")
+    side = lambda name: nodes.select(
+        F.col("node").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in ("n", "ids"))
     )
+    both = left.join(side("b"), "b").join(side("a"), "a")
     common = F.size(F.array_intersect("a_ids", "b_ids"))
     return both.where(100 * common >= PERCENT * (F.col("a_n") + F.col("b_n") - common)).select("a", "b")
 
@@ -455,7 +467,7 @@ def components(links: DataFrame) -> DataFrame:
 def links(nodes: DataFrame) -> DataFrame:
     """(node, comp) of nodes that link with another node."""
     spark = nodes.sparkSession
-    places = nodes.select(F.explode("p1").alias("shingle"), "node", "n", "s")
+    places = nodes.select(F.posexplode("p1").alias("pos", "shingle"), "node", "n", "s")
     found, tried, label = [], [], None
 
     def compare(pairs: DataFrame) -> None:
@@ -500,11 +512,11 @@ def links(nodes: DataFrame) -> DataFrame:
         )
         compare(at.join(leader, "shingle").where(F.col("comp") != F.col("other_comp")))
     at, main = open_places()
-    at = at.join(main, "shingle").join(nodes.select("node", "p1"), "node").checkpoint()
+    at = at.join(main, "shingle").checkpoint()
     minor = at.where(F.col("comp") != F.col("main")).select(
-        "shingle", *(F.col(c).alias(o) for c, o in (("node", "other"), *((c, f"other_{c}") for c in ("n", "s", "comp", "p1"))))
+        "shingle", *(F.col(c).alias(o) for c, o in (("node", "other"), *((c, f"other_{c}") for c in ("n", "s", "comp", "pos"))))
     )
-    rest = at.join(minor, "shingle").where((F.col("comp") != F.col("other_comp")) & _can_link() & _prefixes_allow())
+    rest = at.join(minor, "shingle").where((F.col("comp") != F.col("other_comp")) & _can_link() & _places_allow())
     compare(rest)
     return label
 

@@ -98,3 +98,42 @@ def test_empty_tables(spark, nothing):
 def test_components_join_long_chains(spark):
     links = spark.createDataFrame([(bytes([i]), bytes([i + 1])) for i in range(0, 40)], "a binary, b binary")
     assert {bytes(r.comp) for r in jaccard.components(links).collect()} == {bytes([0])}
+
+
+def _family(n, shared, own, seed=9):
+    """Texts that share a passage too short for a link, but for a few pairs."""
+    dice = random.Random(seed)
+    passage = [f"p{i}" for i in range(shared)]
+    texts = []
+    for i in range(n):
+        tail = [f"o{dice.randrange(40)}" for _ in range(own)]
+        texts.append(passage + tail)
+        if i % 20 == 0:
+            texts.append(passage + tail[:-1])
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+def test_large_family_that_mostly_does_not_link(spark):
+    rows = _family(240, 30, 14)
+    got = run(spark, rows)
+    assert got == brute(rows)
+    assert len(rows) == 252 and len({c for _, _, c in got}) == 240
+
+
+def test_the_other_orders_remove_candidates(spark):
+    """Of pairs that meet in prefixes of order 1, no pair that links is removed,
+    and both other orders remove some on their own."""
+    from pyspark.sql import functions as F
+
+    rows = _family(150, 30, 16)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets, common = jaccard.describe(docs)
+    nodes = jaccard.shared(docs, 10_000, jaccard.frequent(common, 10**6)).checkpoint()
+    at = nodes.select(F.explode("p1").alias("t"), "node")
+    pairs = at.alias("x").join(at.alias("y"), "t").where("x.node < y.node").selectExpr("x.node a", "y.node b").distinct()
+    found = jaccard._filtered(pairs, nodes).checkpoint()
+    sides = found.join(nodes.selectExpr("node a", "n an", "ids ai"), "a").join(nodes.selectExpr("node b", "n bn", "ids bi"), "b")
+    common = F.size(F.array_intersect("ai", "bi"))
+    linked = sides.where(100 * common >= 75 * (F.col("an") + F.col("bn") - common))
+    assert linked.count() and linked.where("not (meet2 and meet3)").isEmpty()
+    assert found.where("not meet2 and meet3").count() and found.where("meet2 and not meet3").count()
