@@ -354,12 +354,12 @@ def _gather(met: pa.Table) -> pa.Table:
 def _prefix(order: int) -> Column:
     """The node's prefix under an order, less the shingles that it alone has:
     those come first in every order and meet nothing. Order 1: rarest first, few
-    places a shingle. Order 2: by hash class, within a class the most frequent
-    first. Order 3: by hash alone. So 2 and 3 owe nothing to 1."""
+    places a shingle. Order 2: by hash class, within a class rarest first. Order
+    3: by hash alone, so it owes nothing to rarity."""
     mixed = lambda x: F.xxhash64(F.lit(order), x["ids"])
     keys = {
         1: lambda x: [x["dfs"]],
-        2: lambda x: [F.pmod(mixed(x), F.lit(CLASSES)), -x["dfs"]],
+        2: lambda x: [F.pmod(mixed(x), F.lit(CLASSES)), x["dfs"]],
         3: lambda x: [],
     }[order]
     keyed = F.transform(

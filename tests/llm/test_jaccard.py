@@ -125,7 +125,10 @@ def test_the_other_orders_remove_candidates(spark):
     and both other orders remove some on their own."""
     from pyspark.sql import functions as F
 
-    rows = _family(150, 30, 16)
+    dice = random.Random(12)
+    passages = [" ".join(f"p{i}w{j}" for j in range(20)) for i in range(40)]
+    rows = [(i, " ".join(dice.sample(passages, 5))) for i in range(150)]
+    rows += [(1000 + i, t + " end") for i, t in rows[:5]]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     sets, common = jaccard.describe(docs)
     nodes = jaccard.shared(docs, 10_000, jaccard.frequent(common, 10**6)).checkpoint()
