@@ -6,7 +6,7 @@ goes into the digest, before it the length on a logarithmic scale and the ratios
 of the quartiles. Two digests differ by the sum of quartile distances, where
 opposite quartiles weigh double, plus the distance of the lengths; their likeness
 is 1 - difference / BOUND, not below 0. BOUND is the mean difference of two
-independent digests.
+independent digests; that of two short texts is smaller (`likeness`).
 
 `with_next` pairs each document with the next one by descending doc_id without
 a global sort in one task: documents go to partitions by id ranges, and the first
@@ -34,6 +34,7 @@ BUCKETS = 256
 OPPOSITE = 6
 LENGTH_STEP = 1.2
 MAX_LENGTH_DIFF = 32
+SHORT = 8
 #: Mean difference of independent quartiles: 6/16 x 1 + 4/16 x 2 + 2/16 x OPPOSITE.
 BOUND = BUCKETS * (6 + 4 * 2 + 2 * OPPOSITE) / 16
 
@@ -43,8 +44,16 @@ _DISTANCE[_DISTANCE == 3] = OPPOSITE
 
 
 def _counts(raw: bytes) -> np.ndarray:
-    """Hashed triplets (i, i+1, i+2) and (i, i+1, i+3) by bucket."""
+    """Hashed triplets (i, i+1, i+2) and (i, i+1, i+3) by bucket; of a text of
+    less than SHORT bytes its pairs and bytes as well, as triplets with blanks."""
     b = np.frombuffer(raw, np.uint8).astype(np.uint32)
+    out = _counts_of(b)
+    if 0 < len(b) < SHORT:
+        out += _counts_of(np.pad(b, (0, 1), constant_values=256)) + _counts_of(np.pad(b, (0, 2), constant_values=256))
+    return out
+
+
+def _counts_of(b: np.ndarray) -> np.ndarray:
     out = np.zeros(BUCKETS, np.int64)
     with np.errstate(over="ignore"):
         for salt, last in enumerate((2, 3)):
@@ -83,9 +92,20 @@ def difference(a: str, b: str) -> int:
     return total
 
 
+def _content(digest: str) -> int:
+    """Quartile distance of a digest from one without content."""
+    x = np.frombuffer(bytes.fromhex(digest), np.uint8)[2:]
+    return sum(int(_DISTANCE[(x >> shift) & 3, 0].sum()) for shift in (6, 4, 2, 0))
+
+
 def likeness(a: str, b: str) -> float:
-    """1 for equal digests, 0 for a difference of BOUND or more."""
-    return 1.0 if a == b else max(0.0, 1.0 - difference(a, b) / BOUND)
+    """1 for equal digests, 0 for a difference of BOUND or more, or of what two
+    digests without a common bucket differ by, where that is less: most buckets of
+    short texts are empty, and empty in both says nothing."""
+    if a == b:
+        return 1.0
+    bound = max(1.0, min(BOUND, _content(a) + _content(b)))
+    return max(0.0, 1.0 - difference(a, b) / bound)
 
 
 def edited(text: str, following: str) -> str:
