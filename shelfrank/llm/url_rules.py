@@ -2,9 +2,11 @@
 
 Fixed rules fit a host, its subdomains and the paths under a prefix; the longest
 wins. URLs that none fits are judged by association rules: FP-growth mines
-combinations of URL tokens (host labels and their words, path segments, query
+combinations of URL tokens (host labels, words of the host, path segments, query
 names) that go with bad labels; rules of enough support and confidence stay,
-less those that a part of them already implies. A rule blocks the URLs that have
+less those that a part of them already implies. Tokens that are rules alone, and
+all but one of tokens that always come together, are taken out before mining, so
+that the sets mined do not double with every token of a URL. A rule blocks the URLs that have
 all its tokens; they are found by an inverted index from each rule's rarest token.
 
 Everything is DataFrame code. Tokens keep no numbers, so that many URLs share a
@@ -13,6 +15,8 @@ token set; matching works on distinct token sets.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +37,6 @@ RULES = (
 MIN_SUPPORT = 0.001
 LEAST = 5
 MIN_CONFIDENCE = 0.7
-BAD = "!bad"
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -74,7 +77,7 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
 
     plain = lambda c: F.regexp_replace(c, "[0-9]+", "N")
     labels = F.split(plain(host), r"\.")
-    words = F.filter(F.split(plain(host), r"[.\-_]"), lambda w: ~F.array_contains(labels, w))
+    words = F.split(plain(host), r"[.\-_]")
     rest = F.coalesce(_rest(url), F.lit(""))
     query = F.regexp_extract(rest, r"^[^?#]*\?([^#]*)", 1)
     names = F.transform(F.split(query, "&"), lambda q: F.substring_index(q, "=", 1))
@@ -94,7 +97,9 @@ def mine(
     least: int = LEAST,
     min_confidence: float = MIN_CONFIDENCE,
 ) -> DataFrame:
-    """(anchor, antecedent, confidence) of the rules that block.
+    """(anchor, antecedent, confidence) of the rules that block: every token that
+    is a rule alone, and the minimal rules of several tokens, in which the first of
+    tokens that always come together stands for them.
 
     pages: (page_id, url); labels: (doc_id, quality, toxic), whose doc_id is the
     page's id. A page is bad if any of its labels has quality 0 or toxic 1. Null
@@ -111,42 +116,64 @@ def mine(
         )
     )
     url = F.col("url")
-    found = tokens(url, host(url), path(url))
-    baskets = pages.join(marks, "page_id").select(
-        F.when(F.col("bad"), F.concat(found, F.array(F.lit(BAD)))).otherwise(found).alias("items"), "bad"
-    )
-    baskets = baskets.where(F.size("items") > 0).checkpoint()
-    n, n_bad = baskets.agg(F.count("*"), F.count(F.when(F.col("bad"), 1))).first()
+    baskets = pages.join(marks, "page_id").select(tokens(url, host(url), path(url)).alias("items"), "bad")
+    baskets = baskets.where(F.size("items") > 0).withColumn("row", F.monotonically_increasing_id()).checkpoint()
+    n, n_bad = baskets.agg(F.count("*"), F.count_if("bad")).first()
     empty = spark.createDataFrame([], "anchor string, antecedent array<string>, confidence double")
     if not n_bad:
         return empty
-    support = max(min_support, least / n)
-    if support > 1:
-        return empty
-    # Only tokens that are frequent among bad pages can be in a rule, and those
-    # of nearly every page tell nothing apart.
+    support = max(math.ceil(min_support * n), least)
+    # Token by token: how often, how often on bad pages, and a mark of its rows.
+    marked = [F.bit_xor(F.xxhash64(F.lit(i), "row")).alias(f"rows{i}") for i in (0, 1)]
     counts = (
-        baskets.select(F.explode("items").alias("token"), "bad")
+        baskets.select(F.explode("items").alias("token"), "bad", "row")
         .groupBy("token")
-        .agg(F.count("*").alias("m"), F.count(F.when(F.col("bad"), 1)).alias("m_bad"))
+        .agg(F.count("*").alias("m"), F.count_if("bad").alias("m_bad"), *marked)
         .checkpoint()
     )
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)
-    rules = (
-        model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD)))
-        .select(F.array_sort("antecedent").alias("antecedent"), "confidence")
-        .checkpoint()
+    frequent = counts.where(F.col("m_bad") >= support)
+    confident = F.col("m_bad") >= min_confidence * F.col("m")
+    single = frequent.where(confident).select(
+        F.col("token").alias("anchor"), F.array("token").alias("antecedent"), (F.col("m_bad") / F.col("m")).alias("confidence")
     )
-    # The index: each rule under its rarest token.
+    # Longer rules are minimal only without these tokens; a token of every page
+    # adds nothing, and of tokens that always come together one will do.
+    rest = (
+        frequent.where(~confident & (F.col("m") < n)).groupBy("m", "m_bad", "rows0", "rows1").agg(F.min("token").alias("token"))
+    )
+    kept = baskets.select("row", "bad", F.explode("items").alias("token")).join(rest.select("token"), "token")
+    kept = kept.groupBy("row", "bad").agg(F.array_sort(F.collect_list("token")).alias("items")).checkpoint()
+    longer = _longer(kept, rest, support, n_bad, min_confidence)
+    return single.unionByName(longer).checkpoint()
+
+
+def _longer(baskets: DataFrame, counts: DataFrame, support: int, n_bad: int, min_confidence: float) -> DataFrame:
+    """Minimal rules of two tokens or more. FP-growth over the bad pages gives the
+    token sets of enough support; they are counted over all pages through the
+    index by rarest token."""
+    bad = baskets.where("bad").select("items")
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, (support - 0.5) / n_bad)).fit(bad)
+    sets = model.freqItemsets.where(F.size("items") > 1).select(F.array_sort("items").alias("antecedent"), F.col("freq").alias("m_bad"))
     anchors = (
-        rules.select("antecedent", F.explode("antecedent").alias("token"))
-        .join(counts, "token")
-        .groupBy("antecedent")
+        sets.select("antecedent", "m_bad", F.explode("antecedent").alias("token"))
+        .join(counts.select("token", "m"), "token")
+        .groupBy("antecedent", "m_bad")
         .agg(F.min_by("token", F.struct("m", "token")).alias("anchor"))
+        .checkpoint()
+    )
+    shapes = baskets.groupBy("items").agg(F.count("*").alias("times"))
+    met = shapes.select("items", "times", F.explode("items").alias("anchor")).join(anchors, "anchor")
+    rules = (
+        met.where(F.size(F.array_except("antecedent", "items")) == 0)
+        .groupBy("anchor", "antecedent", "m_bad")
+        .agg(F.sum("times").alias("m"))
+        .withColumn("confidence", F.col("m_bad") / F.col("m"))
+        .where(F.col("confidence") >= min_confidence)
+        .select("anchor", "antecedent", "confidence")
+        .checkpoint()
     )
-    indexed = rules.join(anchors, "antecedent")
     # A rule that contains another rule's tokens blocks nothing more.
-    shorter = indexed.select("anchor", F.col("antecedent").alias("part"))
+    shorter = rules.select("anchor", F.col("antecedent").alias("part"))
     implied = (
         rules.select("antecedent", F.explode("antecedent").alias("anchor"))
         .join(shorter, "anchor")
@@ -154,7 +181,7 @@ def mine(
         .select("antecedent")
         .distinct()
     )
-    return indexed.join(implied, "antecedent", "left_anti").select("anchor", "antecedent", "confidence").checkpoint()
+    return rules.join(implied, "antecedent", "left_anti").select("anchor", "antecedent", "confidence")
 
 
 def matches(sets: DataFrame, mined: DataFrame) -> DataFrame:

@@ -1,6 +1,10 @@
+import itertools
+import random
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfrank.llm import url_rules
 
@@ -84,3 +88,61 @@ def test_main_path_is_native(spark):
     p = spark.createDataFrame([(1, "http://a/b")], "page_id long, url string")
     plan = url_rules.judge(p, no_rules(spark))[0]._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def plain_rules(urls, bad, tokens, support, confidence):
+    """Minimal rules by trying every token set of every bad page."""
+    n = len(urls)
+    rows = {}
+    for i, ts in enumerate(tokens):
+        for t in ts:
+            rows.setdefault(t, set()).add(i)
+    good = lambda s: len(s & bad) >= support and len(s & bad) >= confidence * len(s)
+    rules = {frozenset([t]) for t, at in rows.items() if good(at)}
+    kinds = {}
+    for t in sorted(rows):
+        if frozenset([t]) not in rules and len(rows[t]) < n:
+            kinds.setdefault(frozenset(rows[t]), t)
+    one = set(kinds.values())
+    tried = set()
+    for i in bad:
+        have = sorted(one & set(tokens[i]))
+        for size in range(2, len(have) + 1):
+            tried |= {frozenset(c) for c in itertools.combinations(have, size)}
+    found = {s for s in tried if good(set.intersection(*(rows[t] for t in s)))}
+    return rules | {s for s in found if not any(o < s for o in found)}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_mined_rules_equal_brute_force(spark, seed):
+    dice = random.Random(seed)
+    pages, labels = [], []
+    for i in range(160):
+        parts = [dice.choice("abcd") for _ in range(dice.randint(1, 4))]
+        host = f"{dice.choice(['x', 'y', 'x-y', 'z'])}.{dice.choice(['com', 'org'])}"
+        wrong = ("a" in parts and "b" in parts) or (host.startswith("x-y") and "c" in parts) or dice.random() < 0.1
+        pages.append((i, f"http://{host}/{'/'.join(parts)}?{dice.choice('pq')}=1"))
+        labels.append((i, 0 if wrong else 1, 0))
+    df = spark.createDataFrame(pages, "page_id long, url string")
+    url = F.col("url")
+    tokens = [r.t for r in df.orderBy("page_id").select(url_rules.tokens(url, url_rules.host(url), url_rules.path(url)).alias("t")).collect()]
+    bad = {i for i, q, _ in labels if q == 0}
+    want = plain_rules(pages, bad, tokens, 5, 0.7)
+    mined = url_rules.mine(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    assert {frozenset(r.antecedent) for r in mined} == want and len(mined) == len(want)
+    for r in mined:
+        at = [i for i, t in enumerate(tokens) if set(r.antecedent) <= set(t)]
+        assert r.anchor in r.antecedent and abs(r.confidence - len(bad.intersection(at)) / len(at)) < 1e-12
+
+
+def test_many_path_segments(spark):
+    """Equal long urls: sets of tokens do not double with each segment."""
+    deep = "/".join(f"s{chr(97 + i)}" for i in range(14))
+    pages = [(i, f"http://bad.example.com/{deep}") for i in range(100)] + [(100 + i, f"http://good{chr(97 + i % 20)}.example.com/") for i in range(300)]
+    labels = [(i, 0 if i < 100 else 1, 0) for i in range(400)]
+    start = time.time()
+    mined = url_rules.mine(
+        spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    ).collect()
+    assert time.time() - start < 30
+    assert {tuple(r.antecedent) for r in mined} >= {("path:sa",), ("word:bad",), ("host:bad",)} and all(len(r.antecedent) == 1 for r in mined)
