@@ -16,9 +16,11 @@ bytes before them, and numpy advances all chunks of a slice in lockstep. The sum
 over chunks is the code length of the whole text.
 
 Training reads a bounded sample: at most `SAMPLE_DOCS` documents per language,
-those with the smallest hash of their id. Counting is a Spark aggregation; the
-driver receives `MAX_CONTEXTS` contexts only: as many of the most frequent ones
-of each language, however much text it has, as their union has room for.
+those with the smallest hash of their id. Counting is a Spark aggregation. A
+language keeps the contexts that pay: that shorten the code of its own sample by a
+fixed share (`SAVED_SHARE`) or more. So a language has as many contexts as its sample is
+worth, whatever other languages there are, and its costs do not depend on theirs:
+where another language alone has a context, it goes on from its own shorter one.
 """
 
 from __future__ import annotations
@@ -38,7 +40,11 @@ from shelfrank.llm.common import fresh, ship, slices, texts
 ship(__name__)
 
 MAX_ORDER = 4
-MAX_CONTEXTS = 4096
+#: A context of a language stays if its counts shorten the code of the language's
+#: sample, against the next shorter context, by this share of the sample's code
+#: without contexts, and by LEAST_BITS.
+SAVED_SHARE = 1e-5
+LEAST_BITS = 16.0
 SAMPLE_DOCS = 500
 HELD_OUT_MOD = 5
 UNDETERMINED = "und"
@@ -59,20 +65,25 @@ def held_out(doc_id: str = "doc_id"):
 
 def training_sample(docs: DataFrame, per_lang: int = SAMPLE_DOCS) -> DataFrame:
     """(lang, text) of at most per_lang training documents per language. Ids are
-    chosen first, without texts; the ids chosen, at most per_lang for each
-    language, are broadcast and fetch their texts where they lie."""
+    chosen first, without texts. A cut of the hash that about per_lang ids of a
+    language pass, and six deviations more, leaves few to rank."""
     usable = docs.where(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()
     )
+    share = F.lit(per_lang + 6 * per_lang**0.5 + 36) / F.count("*")
+    cuts = usable.groupBy("lang").agg(F.when(share < 1, share * 2.0**32).otherwise(2.0**32).alias("_cut"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    high = F.shiftright(F.xxhash64("doc_id"), 32) + F.lit(1 << 31)  # orders like the hash
     chosen = (
         usable.select("doc_id", "lang")
+        .join(cuts, "lang")
+        .where(high <= F.col("_cut"))
         .withColumn("_rank", F.row_number().over(order))
         .where(F.col("_rank") <= per_lang)
         .select("doc_id", "lang")
         .distinct()
     )
-    return usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").drop("doc_id")
+    return usable.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi").drop("doc_id")
 
 
 _COUNTS = T.StructType(
@@ -153,12 +164,35 @@ def build_model(rows: list[tuple[str, int, int, int, int]]) -> Model | None:
     return Model(langs, step.reshape(-1), cost.astype(np.float32))
 
 
-def train(docs: DataFrame, per_lang: int = SAMPLE_DOCS, contexts: int = MAX_CONTEXTS) -> Model | None:
+def _paying(counts: DataFrame, share: float) -> DataFrame:
+    """(lang, ctx_order, ctx) of the contexts that pay, and of all shorter ones
+    that come from dropping their first or last bytes, so that they are a tree.
+    counts: the rows of `_count_contexts`, added up."""
+    sizes = counts.groupBy("lang", "ctx_order", "ctx").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+    known = counts.join(sizes, ["lang", "ctx_order", "ctx"]).withColumn("bits", -F.log2(F.col("n") / (F.col("total") + F.col("kinds"))))
+    # The same bytes' cost in the next shorter context, which has seen them all.
+    shorter = known.select(
+        "lang", (F.col("ctx_order") + 1).alias("ctx_order"), F.col("ctx").alias("_low"), "sym", F.col("bits").alias("_bits")
+    )
+    low = F.expr("ctx & (shiftleft(1L, 8 * (ctx_order - 1)) - 1)")
+    worth = known.where("ctx_order > 0").withColumn("_low", low).join(shorter, ["lang", "ctx_order", "_low", "sym"])
+    worth = worth.groupBy("lang", "ctx_order", "ctx").agg(F.sum(F.col("n") * (F.col("_bits") - F.col("bits"))).alias("saved"))
+    plain = known.where("ctx_order = 0").groupBy("lang").agg(F.greatest(F.lit(LEAST_BITS), share * F.sum(F.col("n") * F.col("bits"))).alias("least"))
+    kept = worth.join(plain, "lang").where(F.col("saved") >= F.col("least")).select("lang", "ctx_order", "ctx").checkpoint()
+    # Prefixes and suffixes of a context of k bytes: k rounds at most.
+    closed = kept
+    for _ in range(MAX_ORDER):
+        longer = kept.where("ctx_order > 0")
+        first = F.shiftright("ctx", 8)
+        kept = longer.select("lang", F.explode(F.array(first, low)).alias("ctx"), (F.col("ctx_order") - 1).alias("ctx_order")).distinct()
+        closed = closed.unionByName(kept)
+    roots = counts.select("lang").distinct().select("lang", F.lit(0).alias("ctx_order"), F.lit(0).cast("long").alias("ctx"))
+    return closed.unionByName(roots).distinct()
+
+
+def train(docs: DataFrame, per_lang: int = SAMPLE_DOCS, share: float = SAVED_SHARE) -> Model | None:
     """Fit on the training sample of docs (doc_id, text, lang); None when no
-    document is labelled. Contexts are ranked within each language and taken by
-    their best rank, so all languages have the same share. They form a closed
-    tree: a shorter context occurs at least as often in each language, and ties
-    keep shorter ones first, so its rank is better."""
+    document is labelled."""
     counts = (
         training_sample(docs, per_lang)
         .mapInArrow(_count_contexts, _COUNTS)
@@ -166,19 +200,7 @@ def train(docs: DataFrame, per_lang: int = SAMPLE_DOCS, contexts: int = MAX_CONT
         .agg(F.sum("n").alias("n"))
         .checkpoint()
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("_total"), "ctx_order", "ctx")
-    kept = (
-        counts.groupBy("lang", "ctx_order", "ctx")
-        .agg(F.sum("n").alias("_total"))
-        .withColumn("_rank", F.row_number().over(order))
-        .where(F.col("_rank") <= contexts)
-        .groupBy("ctx_order", "ctx")
-        .agg(F.min("_rank").alias("_rank"))
-        .orderBy("_rank", "ctx_order", "ctx")
-        .limit(contexts)
-        .select("ctx_order", "ctx")
-    )
-    rows = counts.join(kept, ["ctx_order", "ctx"]).select(*_COUNTS.fieldNames()).collect()
+    rows = counts.join(_paying(counts, share), ["lang", "ctx_order", "ctx"]).select(*_COUNTS.fieldNames()).collect()
     return build_model([tuple(r) for r in rows])
 
 

@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="module")
 def model(spark):
-    return langid.train(spark.read.parquet(f"{SF}/documents.parquet"), per_lang=60, contexts=600)
+    return langid.train(spark.read.parquet(f"{SF}/documents.parquet"), per_lang=60)
 
 
 def brute_bits(rows, lang, raw):
@@ -100,8 +100,40 @@ def test_rare_languages_have_contexts_of_their_own(spark):
     text = lambda lang, n: " ".join(dice.choice(words[lang]) for _ in range(n))
     langs = [{0: "left", 25: "right"}.get(i % 50, "main") for i in range(600)]
     docs = spark.createDataFrame([(i, text(k, 60), k) for i, k in enumerate(langs)], "doc_id long, text string, lang string")
-    model = langid.train(docs, contexts=60)
-    assert len(model.step) == 60 * 256
+    model = langid.train(docs)
     for lang in words:
         got = langid.decide(model, [text(lang, 3).encode() for _ in range(200)])[0]
         assert got.count(lang) >= 0.97 * len(got), (lang, got.count(lang))
+
+
+def test_contexts_pay(spark):
+    """Kept contexts are a tree, hold what saves the most, and none besides."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("length(text) < 600")
+    counts = langid.training_sample(docs, 20).mapInArrow(langid._count_contexts, langid._COUNTS)
+    counts = counts.groupBy("lang", "ctx_order", "ctx", "sym").sum("n").withColumnRenamed("sum(n)", "n").checkpoint()
+    n = defaultdict(dict)
+    for r in counts.collect():
+        n[r.lang, r.ctx_order, r.ctx][r.sym] = r.n
+    short = lambda k, c: (k - 1, c & ((1 << 8 * (k - 1)) - 1))
+    bits = lambda seen, sym: -math.log2(seen[sym] / (sum(seen.values()) + len(seen)))
+    pays, share = set(), 1e-3
+    least = {lang: max(16, share * sum(m * bits(seen, s) for s, m in seen.items())) for (lang, k, _), seen in n.items() if not k}
+    for (lang, k, c), seen in n.items():
+        if k and sum(m * (bits(n[lang, *short(k, c)], s) - bits(seen, s)) for s, m in seen.items()) >= least[lang]:
+            pays.add((lang, k, c))
+    tree = {(lang, 0, 0) for lang, _, _ in n}
+    while pays:
+        tree |= pays
+        pays = {(lang, *x) for lang, k, c in pays if k for x in (short(k, c), (k - 1, c >> 8))}
+    assert {tuple(r) for r in langid._paying(counts, share).collect()} == tree and len(tree) > 50
+
+
+def test_other_languages_change_nothing(spark):
+    """Code lengths of a language are the same with and without the others."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    one = docs.select("lang").where("lang is not null").agg({"lang": "min"}).first()[0]
+    raw = [r.text.encode() for r in docs.where("length(text) between 50 and 300").limit(40).collect()]
+    alone = langid.train(docs.where(docs.lang == one), 40)
+    among = langid.train(docs, 40)
+    a, b = langid.code_lengths(alone, raw), langid.code_lengths(among, raw)
+    assert len(among.langs) > 1 and np.allclose(a[:, 0], b[:, among.langs.index(one)], rtol=1e-5)
