@@ -394,4 +394,6 @@ def manifest(docs: DataFrame) -> DataFrame:
     over = _paths(_climb(placed.drop("lang"))).withColumnRenamed("path", "over").withColumnRenamed("end", "root")
     over = over.drop("by").join(placed.select(F.col("lang").alias("_lang"), "pos"), "pos").drop("pos")
     both = chunks.join(over, F.col("by").eqNullSafe(F.col("_lang")))
+    # Chunks are few and each takes seconds to fold: dealt out again, evenly.
+    both = both.repartition(default_parts(docs), "by", "chunk")
     return both.select("ids", "changed", "digests", "states", "above", "end", "over", "root").mapInArrow(_fold_chunks, _ROWS)
