@@ -62,7 +62,7 @@ FREQUENT_SHARE = 1000
 FREQUENT_LEAST = 64
 STAR_ROUNDS = 2
 #: Hash classes of the second order.
-CLASSES = 4
+CLASSES = 16
 #: Words whose hashes a task keeps.
 VOCABULARY = 500_000
 

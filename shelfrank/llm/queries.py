@@ -95,7 +95,7 @@ def op9_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows, names = piece_sampling.segment(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+    rows, names = piece_sampling.segment(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return rows.select("doc_id", *names)
 
 

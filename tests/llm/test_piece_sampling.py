@@ -1,4 +1,6 @@
 import math
+import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -70,3 +72,39 @@ def test_rows(docs, nothing, model):
     assert sorted(map(key, found), key=repr) == sorted(map(key, again), key=repr)
     assert all(r[names[1]] == 0 for r in found if not r["text"])
     assert ps.segment(nothing, model)[0].collect() == []
+
+
+@pytest.mark.parametrize("block", [40, 333, 5000])
+def test_long_units_in_blocks_equal_lattices(vocabulary, block):
+    dice = random.Random(3)
+    for alphabet in ("ab", "theinorst", "日本語のé\U0001d11e\udc81 x"):
+        unit = "▁" + "".join(dice.choice(alphabet) for _ in range(3000)).replace(" ", "")
+        for key in (1, 2**63 + 5):
+            got = ps.long_path(vocabulary, unit, key, block)
+            want, _ = ps.Lattices(vocabulary, [unit]).sample(np.zeros(1, np.int64), np.array([key], np.uint64))
+            assert got.tolist() == want.tolist()
+
+
+def test_held_lattices_change_nothing(vocabulary, monkeypatch):
+    dice = random.Random(4)
+    words = ["".join(dice.choice("abcdehinorst") for _ in range(dice.randint(1, 9))) for _ in range(300)]
+    texts = [" ".join(dice.choice(words) for _ in range(200)).encode() for _ in range(12)] + [b"x" * 500]
+    alone = [ps.encode(vocabulary, [t], [i])[0].tolist() for i, t in enumerate(texts)]
+    for room in (0, 500, 10**6):
+        monkeypatch.setattr(ps, "HELD_CHARS", room)
+        monkeypatch.setattr(ps, "LONG_UNIT", 100)
+        encoder, got = ps.Encoder(vocabulary), []
+        for i in range(0, len(texts), 3):
+            ids, offsets = encoder.encode(texts[i : i + 3], list(range(i, i + len(texts[i : i + 3]))))
+            got += [x.tolist() for x in np.split(ids, offsets[1:-1])]
+        assert got == alone
+        assert (len(encoder.held) > 0) == (room > 0)
+
+
+def test_text_without_spaces(vocabulary):
+    """5 MB in one unit: seconds, not hours."""
+    raw = b"abcdefghij" * 500_000
+    start = time.time()
+    (ids,) = ps.encode(vocabulary, [raw], [1])
+    assert time.time() - start < 90
+    assert vocabulary.decode(ids.tolist()) == raw
