@@ -1,4 +1,7 @@
 import json
+import random
+
+import pytest
 
 from shelfrank.llm import tool_calls
 
@@ -121,3 +124,36 @@ def test_main_path_is_native(spark):
     df = tool_calls.link(tool_calls.conversation_calls(turns), tool_calls.conversation_results(turns), tool_calls.TOOLS)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def _graph(spark, needs):
+    """levels() of {call: calls it refers to} in one conversation."""
+    calls = spark.createDataFrame([(1, c) for c in needs], "conv_id long, call_id string")
+    edges = [(1, c, n) for c, ns in needs.items() for n in ns if n in needs]
+    edges = spark.createDataFrame(edges, "conv_id long, call_id string, needs string")
+    rows = tool_calls.levels(calls, edges).collect()
+    assert len(rows) == len({r.call_id for r in rows})
+    return {r.call_id: r.level for r in rows}
+
+
+@pytest.mark.parametrize("back", [(1,), (1, 2, 3)])
+def test_long_chains_take_few_rounds(spark, monkeypatch, back):
+    """1000 calls, each referring to the one before, or to the last three."""
+    needs = {f"c{i}": [f"c{i - k}" for k in back if i >= k] for i in range(1000)}
+    done = []
+    checkpoint = type(spark.range(1)).checkpoint
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", lambda df, *a: done.append(1) or checkpoint(df, *a))
+    assert _graph(spark, needs) == {f"c{i}": i for i in range(1000)}
+    assert len(done) <= 24
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_levels_equal_brute_force(spark, seed):
+    """Random references, cycles and calls behind them."""
+    dice = random.Random(seed)
+    needs = {f"n{i}": [f"n{dice.randrange(max(1, i))}" for _ in range(dice.randrange(4))] for i in range(60)}
+    for i in (20, 40):  # cycles of one and of several calls
+        needs[f"n{i}"] = [f"n{i}"] if seed == 1 else [f"n{i + 5}", f"n{i - 3}"]
+        needs[f"n{i + 5}"] = [f"n{i + 2}", f"n{i}"]
+        needs[f"n{i + 2}"] = [f"n{i}", f"n{i + 5}"]
+    assert _graph(spark, needs) == brute_levels(needs)
