@@ -16,6 +16,8 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left
+from collections import Counter, defaultdict
 
 import numpy as np
 
@@ -67,6 +69,7 @@ _BREAKOUT = frozenset(
     "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
 )
 _TABLE = frozenset("table tbody thead tfoot tr td th caption".split())
+_CELLS = ("td", "th", "table")
 _MARKERS = _INTEGRATION | {"table", "td", "th", "caption"}
 #: A slash at the end of an unquoted attribute value.
 _VALUE_SLASH = re.compile(r"=\s*[^\s\"'>]*/\Z")
@@ -176,6 +179,10 @@ def parse(source: str) -> Page:
     links = 0
     skipping = 0  # place in the stack of the outermost element that is not shown
     last_ends: dict[str, int] = {}
+    # Places in the stack of the open elements of each name, and how many there are
+    # of each within the element that is not shown: no tag walks the stack.
+    places: dict[str, list[int]] = defaultdict(list)
+    unseen: Counter[str] = Counter()
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(held)).split())
@@ -196,9 +203,37 @@ def parse(source: str) -> Page:
         if any(tag in BLOCKS for tag in shown):
             flush()
         links -= sum(tag == "a" for tag in shown)
+        for tag, _, _ in stack[index:]:
+            places[tag].pop()
+        if skipping:
+            unseen.subtract(tag for tag, _, _ in stack[max(index, skipping) :])
         del stack[index:]
         if len(stack) <= skipping:
             skipping = 0
+            unseen.clear()
+
+    def push(tag: str, node: int, inside: bool) -> None:
+        places[tag].append(len(stack))
+        if skipping:
+            unseen[tag] += 1
+        stack.append((tag, node, inside))
+
+    def topmost(names, below: int | None = None) -> int:
+        """Highest place of an open element of these names, 0 if there is none."""
+        found = (places[n] for n in names if places.get(n))
+        if below is None:
+            return max((p[-1] for p in found), default=0)
+        return max((p[i - 1] for p in found if (i := bisect_left(p, below))), default=0)
+
+    def closable(tag: str) -> int:
+        """Place of the element that an end tag closes, 0 if it closes none."""
+        at = topmost((tag,))
+        if not at or skipping and at >= skipping:
+            return at
+        if skipping and any(n and _bars(name, tag) for name, n in unseen.items()):
+            return 0
+        # Cells keep end tags of inline elements from what is around them.
+        return at if tag in BLOCKS or topmost(_CELLS, skipping or None) <= at else 0
 
     def wraps(tag: str) -> bool:
         """Whether the next tag of this name is an end tag."""
@@ -226,18 +261,9 @@ def parse(source: str) -> Page:
             continue
         tag = tag.lower()
         if closing:
-            within, barred = skipping, False
-            for i in range(len(stack) - 1, 0, -1):
-                name = stack[i][0]
-                if barred and i < within:
-                    break
-                if name == tag:
-                    close(i)
-                    break
-                if within and i >= within:
-                    barred = barred or _bars(name, tag)
-                elif name in ("td", "th", "table") and tag not in BLOCKS:
-                    break
+            within, found = skipping, closable(tag)
+            if found:
+                close(found)
             if tag in BLOCKS and not within:
                 flush()
             continue
@@ -268,7 +294,7 @@ def parse(source: str) -> Page:
                 page.inline[node] = page.inline.get(node, 0) + 1
             continue
         if tag in _RAW and (not foreign or tag in ("script", "style")):
-            found = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(source, at)
+            found = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(source, at) if ends(tag) else None
             if found is not None:
                 at = source.find(">", found.start()) + 1 or end
                 held.append(" ")
@@ -278,27 +304,24 @@ def parse(source: str) -> Page:
         if tag in _STANDINS and not ends(tag):
             continue
         closed = _CLOSES.get(tag, set()) | ({"p"} if tag in BLOCKS else set())
-        for i in range(len(stack) - 1, 0, -1) if closed else ():
-            if stack[i][0] in closed:
-                close(i)
-                if stack[-1][0] not in closed:
-                    break
-            elif stack[i][0] in _SCOPES:
+        while closed and (found := topmost(closed)) and found >= topmost(_SCOPES):
+            close(found)
+            if stack[-1][0] not in closed:
                 break
         if skipping or skipped:
             if not skipping:
                 skipping = len(stack)
                 held.append(" ")
             inside = tag in ("svg", "math") or foreign and tag not in _INTEGRATION
-            stack.append((tag, stack[-1][1], inside))
+            push(tag, stack[-1][1], inside)
         elif tag in BLOCKS:
             flush()
-            stack.append((tag, page.add(tag, stack[-1][1], marks), False))
+            push(tag, page.add(tag, stack[-1][1], marks), False)
         else:
             node = stack[-1][1]
             page.inline[node] = page.inline.get(node, 0) + 1
             links += tag == "a"
-            stack.append((tag, node, False))
+            push(tag, node, False)
     flush()
     _separate(page)
     return page

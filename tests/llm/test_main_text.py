@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import numpy as np
 import pytest
@@ -123,3 +124,19 @@ def test_edge_rows(spark, trees):
     assert main_text.train(none) is None
     assert main_text.extract(none, None)[0].collect() == []
     assert main_text.main_texts(["<p>x"], None) == [""]
+
+
+@pytest.mark.parametrize(
+    "source",
+    [
+        "<div>" * 40_000 + "</i>" * 40_000,
+        "<b><table><td>" + "<div>" * 30_000 + "</b>" * 30_000 + "<p>" * 20_000,
+        "<b><div hidden>" + "<div>" * 30_000 + "</b>" * 30_000 + "<svg><title>" * 20_000,
+        "<li>" * 100_000 + "</td>" * 50_000,
+    ],
+)
+def test_broken_pages_take_linear_time(source):
+    start = time.time()
+    page = dom.parse(source)
+    dom.features(page)
+    assert time.time() - start < 20
