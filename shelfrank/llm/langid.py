@@ -46,6 +46,8 @@ MAX_ORDER = 4
 SAVED_SHARE = 1e-5
 LEAST_BITS = 16.0
 SAMPLE_DOCS = 500
+#: Rows of ids and languages that are broadcast at most.
+BROADCAST_ROWS = 200_000
 HELD_OUT_MOD = 5
 UNDETERMINED = "und"
 #: A text is foreign if its bits per byte exceed FAR x the worst of at least
@@ -63,27 +65,36 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % HELD_OUT_MOD == 0
 
 
+def _small(rows: DataFrame, n: int) -> DataFrame:
+    """rows, n of them at most, to be broadcast unless that is too many."""
+    return F.broadcast(rows) if n <= BROADCAST_ROWS else rows
+
+
 def training_sample(docs: DataFrame, per_lang: int = SAMPLE_DOCS) -> DataFrame:
     """(lang, text) of at most per_lang training documents per language. Ids are
-    chosen first, without texts. A cut of the hash that about per_lang ids of a
-    language pass, and six deviations more, leaves few to rank."""
+    chosen first, without texts; where they are few enough they are broadcast and
+    fetch their texts where they lie. A cut of the hash that about per_lang ids of
+    a language pass, and six deviations more, leaves few to rank."""
     usable = docs.where(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()
     )
     share = F.lit(per_lang + 6 * per_lang**0.5 + 36) / F.count("*")
-    cuts = usable.groupBy("lang").agg(F.when(share < 1, share * 2.0**32).otherwise(2.0**32).alias("_cut"))
+    cuts = usable.groupBy("lang").agg(F.when(share < 1, share * 2.0**32).otherwise(2.0**32).alias("_cut")).checkpoint()
+    n_langs = cuts.count()
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     high = F.shiftright(F.xxhash64("doc_id"), 32) + F.lit(1 << 31)  # orders like the hash
     chosen = (
         usable.select("doc_id", "lang")
-        .join(cuts, "lang")
+        .join(_small(cuts, n_langs), "lang")
         .where(high <= F.col("_cut"))
         .withColumn("_rank", F.row_number().over(order))
         .where(F.col("_rank") <= per_lang)
         .select("doc_id", "lang")
         .distinct()
     )
-    return usable.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi").drop("doc_id")
+    return usable.select("doc_id", "lang", "text").join(
+        _small(chosen, n_langs * per_lang), ["doc_id", "lang"], "left_semi"
+    ).drop("doc_id")
 
 
 _COUNTS = T.StructType(
