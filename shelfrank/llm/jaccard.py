@@ -55,7 +55,7 @@ ship(__name__)
 
 SHINGLE = 5
 PERCENT = 75
-BUCKET_SHINGLES = 8_000_000
+BUCKET_SHINGLES = 5_000_000
 #: A shingle is frequent if at least one document in FREQUENT_SHARE has it, and
 #: no fewer than FREQUENT_LEAST documents do.
 FREQUENT_SHARE = 1000
