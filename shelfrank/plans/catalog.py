@@ -147,6 +147,11 @@ def q_recent_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.recent_n(adapters.rating_events(spark, sf_dir), state.QUEUE_CAPACITY)
 
 
+def q_queue_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The queues' packed entries, read back."""
+    return state.queue_entries(q_recent_queue(spark, sf_dir).select("userId", "rank", "entry"))
+
+
 def q_rating_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.upsert_ratings(adapters.ratings(spark, sf_dir), adapters.rating_events(spark, sf_dir))
 
@@ -484,6 +489,7 @@ QUERIES: dict[str, Query] = {
     "product_search": q_product_search,
     "recent_n": q_recent_n,
     "recent_queue": q_recent_queue,
+    "queue_entries": q_queue_entries,
     "rating_upsert": q_rating_upsert,
     "rating_upsert_table": q_rating_upsert_table,
     "monthly_rollup_table": q_monthly_rollup_table,

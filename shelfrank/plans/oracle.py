@@ -118,6 +118,8 @@ FROM (SELECT *, CAST(row_number() OVER (PARTITION BY userId
         ORDER BY "timestamp" DESC, event_id DESC) AS INTEGER) AS rank FROM ev)
 WHERE rank <= 40"""
 
+SQL["queue_entries"] = f"SELECT userId, rank, productId, score FROM ({SQL['recent_queue']})"
+
 SQL["rating_upsert"] = _with(
     RATINGS,
     EVENTS,

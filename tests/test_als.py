@@ -41,3 +41,11 @@ def test_grid_marks_one_best(spark):
     assert len(out) == 2 and sum(r["best"] for r in out) == 1
     best = [r for r in out if r["best"]][0]
     assert best["rmse"] == min(r["rmse"] for r in out)
+
+
+def test_grid_is_the_same_in_parallel(spark):
+    lab = als.hash_split(adapters.ratings(spark, SF_SMALL))
+    sides = lab.where("split = 'train'"), lab.where("split = 'test'")
+    one, four = (als.grid_search(*sides, (2, 3), (0.1, 1.0), max_iter=2, parallelism=n).collect() for n in (1, 4))
+    assert [(r.rank, r.regParam, r.best) for r in one] == [(r.rank, r.regParam, r.best) for r in four]
+    assert all(abs(a.rmse - b.rmse) < 1e-6 for a, b in zip(one, four))
