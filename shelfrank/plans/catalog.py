@@ -44,6 +44,7 @@ ALS_REG = 0.1
 ALS_GRID_RANKS = (5, 10)
 ALS_GRID_REGS = (0.1, 0.01)
 ALS_GRID_ITER = 5
+LOOKUP_BLOCKS = 16
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -445,7 +446,8 @@ def q_als_predict_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_als_item_similarity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers of similarity rows without their mirror image, not above the
-    threshold, and off the cosine of the factors."""
+    threshold, and off the cosine of the factors; and of pairs lost: those above
+    it among the products divisible by 100 and all others, met one by one."""
     model = als.fit(adapters.ratings(spark, sf_dir), ALS_RANK, ALS_ITER, ALS_REG)
     factors = als.item_factors(model).checkpoint()
     sims = similarity.cosine_similarity(factors).checkpoint()
@@ -453,11 +455,18 @@ def q_als_item_similarity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     side = lambda key, name: factors.select(F.col("id").alias(key), F.col("features").alias(name))
     rows = sims.join(mirror, ["productId", "simId"], "left").join(side("productId", "u"), "productId")
     rows = rows.join(side("simId", "v"), "simId").withColumn("expected", cosine("u", "v"))
-    return rows.agg(
+    flags = rows.agg(
         F.count_if(F.coalesce(F.abs(F.col("back") - F.col("sim")) > 1e-9, F.lit(True))).alias("asymmetric"),
         F.count_if(F.col("sim") <= similarity.SIM_THRESHOLD).alias("below"),
         F.count_if(~_agrees("sim")).alias("differs"),
     )
+    # The stated products against all, a block of these at a time.
+    asked = side("productId", "u").where("productId % 100 = 0").withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(LOOKUP_BLOCKS - 1))))
+    others = side("simId", "v").withColumn("b", F.pmod(F.xxhash64("simId"), F.lit(LOOKUP_BLOCKS)).cast("int"))
+    above = asked.join(others, "b").where((F.col("productId") != F.col("simId")) & (cosine("u", "v") > similarity.SIM_THRESHOLD + 1e-6))
+    lost = above.join(sims, ["productId", "simId"], "left_anti").agg(F.count("*").alias("lost"))
+    one = lambda df: df.withColumn("_k", F.lit(1))
+    return one(flags).join(one(lost), "_k").drop("_k")
 
 
 def q_als_grid_check(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -300,7 +300,7 @@ SQL["als_predict_check"] = _with(RATINGS, LABELLED) + """SELECT DISTINCT userId,
 WHERE split = 'test' AND userId IN (SELECT userId FROM lab WHERE split = 'train')
   AND productId IN (SELECT productId FROM lab WHERE split = 'train')"""
 
-SQL["als_item_similarity_check"] = "SELECT 0 AS asymmetric, 0 AS below, 0 AS differs"
+SQL["als_item_similarity_check"] = "SELECT 0 AS asymmetric, 0 AS below, 0 AS differs, 0 AS lost"
 
 SQL["als_grid_check"] = f"SELECT {len(C.ALS_GRID_RANKS) * len(C.ALS_GRID_REGS)} AS fits, 1 AS best, 1 AS lowest"
 
