@@ -279,3 +279,21 @@ def test_waves_with_equal_norms_and_few_items(spark):
     assert [(r.userId, r.productId) for r in out.orderBy("userId", "rank").collect()] == [(1, i) for i in range(4)]
     none = similarity.factor_top_k(factor_df(spark, users), factor_df(spark, items).limit(0), 4)
     assert none.count() == 0
+
+
+def test_ranked_pairs_are_planned_with_their_size(spark):
+    """Joins with ranked pairs go by the size of the pairs, not by that of the few
+    vectors they come of, which made the driver broadcast them."""
+    f = factor_df(spark, {i: [1.0, i / 1000] for i in range(400)})
+    ranked = similarity.rank_similar(similarity.cosine_similarity(f, 0.5))
+    size = int(str(ranked._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    assert ranked.count() == 400 * 399 and size > 400 * 399
+
+
+def test_rank_all_leaves_out_null_groups_and_numbers_strings(spark):
+    from shelfrank.operators.topk import rank_all
+
+    df = spark.createDataFrame([("a", 2), (None, 5), ("b", 1), ("a", 1), (None, 4)], "g string, v int")
+    for parts in (1, 3, None):
+        got = rank_all(df, "g", [F.col("v").asc()], partitions=parts)
+        assert got.columns == ["g", "v", "rank"] and rows(got) == [("a", 1, 1), ("a", 2, 2), ("b", 1, 1)]
