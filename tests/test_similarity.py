@@ -297,3 +297,17 @@ def test_rank_all_leaves_out_null_groups_and_numbers_strings(spark):
     for parts in (1, 3, None):
         got = rank_all(df, "g", [F.col("v").asc()], partitions=parts)
         assert got.columns == ["g", "v", "rank"] and rows(got) == [("a", 1, 1), ("a", 2, 2), ("b", 1, 1)]
+
+
+def test_wide_blocks_give_few_candidates():
+    """The bound of groups of columns keeps the top k, and little more."""
+    rng = np.random.default_rng(5)
+    a, b = rng.normal(size=(40, 8)), rng.normal(size=(6000, 8))
+    r, c, s = blocked.row_top_k(np.arange(40), np.arange(6000), a, b, 20, True)
+    exact = a @ b.T
+    for u in range(40):
+        assert set(np.argsort(-exact[u])[:20]) <= set(c[r == u])
+    assert len(r) < 40 * 20 * 1.5
+    few = np.where(np.arange(6000) % 1500 == 0, 1.0, -1.0)[:, None]  # fewer than k above 0
+    r, c, _ = blocked.row_top_k(np.arange(2), np.arange(6000), np.ones((2, 1)), few, 20, True)
+    assert sorted(zip(r.tolist(), c.tolist())) == [(u, i) for u in range(2) for i in range(0, 6000, 1500)]
