@@ -311,3 +311,16 @@ def test_wide_blocks_give_few_candidates():
     few = np.where(np.arange(6000) % 1500 == 0, 1.0, -1.0)[:, None]  # fewer than k above 0
     r, c, _ = blocked.row_top_k(np.arange(2), np.arange(6000), np.ones((2, 1)), few, 20, True)
     assert sorted(zip(r.tolist(), c.tolist())) == [(u, i) for u in range(2) for i in range(0, 6000, 1500)]
+
+
+def test_pairs_touching_some_products(spark):
+    """The pairs of the products asked for, out of several blocks and of one."""
+    rng = np.random.default_rng(13)
+    f = factor_df(spark, {i: rng.normal(size=8) for i in range(150)})
+    asked = spark.createDataFrame([(3,), (3,), (40,), (149,), (999,), (None,)], "productId int")
+    whole = rows(similarity.cosine_similarity(f, 0.3))
+    exp = [r for r in whole if {r[0], r[1]} & {3, 40, 149}]
+    assert 0 < len(exp) < len(whole)
+    for block in (40, 2048):
+        assert rows(similarity.cosine_similarity(f, 0.3, block_rows=block, touching=asked)) == exp
+    assert similarity.cosine_similarity(f, 0.3, touching=asked.limit(0)).count() == 0
