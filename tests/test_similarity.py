@@ -324,3 +324,18 @@ def test_pairs_touching_some_products(spark):
     for block in (40, 2048):
         assert rows(similarity.cosine_similarity(f, 0.3, block_rows=block, touching=asked)) == exp
     assert similarity.cosine_similarity(f, 0.3, touching=asked.limit(0)).count() == 0
+
+
+def test_content_lists_without_a_row_per_candidate_in_sorts(spark):
+    """Products of one large profile: the lists are whole, and no window sorts a
+    row for each product and candidate."""
+    prods = spark.createDataFrame([(i, "a|b") for i in range(300)] + [(1000 + i, "c|d") for i in range(3)], "productId int, tags string")
+    out = similarity.content_similarity(prods, k=4)
+    got = defaultdict(list)
+    for r in out.orderBy("productId", "rank").collect():
+        got[r["productId"]].append((r["rank"], r["simId"]))
+    for i in range(300):
+        assert got[i] == list(enumerate([j for j in range(5) if j != i][:4], 1))
+    assert got[1001] == [(1, 1000), (2, 1002)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" in plan.split("Window")[0]  # nothing is sorted after the lists are spread
