@@ -6,7 +6,7 @@ import pytest
 from conftest import SF_SMALL, rows
 from pyspark.sql import functions as F
 
-from shelfrank.operators import blocked, impact, pivots, similarity, waves
+from shelfrank.operators import blocked, cooccur, impact, pivots, similarity, waves
 from shelfrank.sources import adapters
 
 
@@ -339,3 +339,15 @@ def test_content_lists_without_a_row_per_candidate_in_sorts(spark):
     assert got[1001] == [(1, 1000), (2, 1002)]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" in plan.split("Window")[0]  # nothing is sorted after the lists are spread
+
+
+def test_cooccurrence_joins_counts_before_pairs(spark):
+    """Pairs carry their products' counts, light and heavy users' alike."""
+    data = [(u, p) for u in range(30) for p in range(12) if (u * p) % 5 < 3] + [(99, p) for p in range(40)]
+    up = spark.createDataFrame(data, "userId int, productId int")
+    n_item = up.groupBy("productId").agg(F.count("*").alias("n"))
+    for heavy in (20, 1000):
+        pairs = cooccur.pair_counts(up, heavy, n_item)
+        assert rows(cooccur.scored(pairs, n_item, 1)) == rows(cooccur.scored(cooccur.pair_counts(up, heavy), n_item, 1))
+        joins = pairs._jdf.queryExecution().optimizedPlan().toString().count("Join Inner")
+        assert heavy == 20 or joins <= 3  # users' pairs, and the counts on each side
