@@ -1,8 +1,9 @@
 from collections import defaultdict
 
+import numpy as np
 from conftest import SF_SMALL
 
-from shelfrank.operators import als
+from shelfrank.operators import als, sweep
 from shelfrank.sources import adapters
 
 
@@ -49,3 +50,47 @@ def test_grid_is_the_same_in_parallel(spark):
     one, four = (als.grid_search(*sides, (2, 3), (0.1, 1.0), max_iter=2, parallelism=n).collect() for n in (1, 4))
     assert [(r.rank, r.regParam, r.best) for r in one] == [(r.rank, r.regParam, r.best) for r in four]
     assert all(abs(a.rmse - b.rmse) < 1e-6 for a, b in zip(one, four))
+
+
+def test_user_recs_equal_sparks_lists(spark):
+    model = als.fit(adapters.ratings(spark, SF_SMALL), rank=4, max_iter=3, reg_param=0.1)
+    theirs = {r["userId"]: [(x["productId"], x["rating"]) for x in r["recommendations"]] for r in model.recommendForAllUsers(7).collect()}
+    theirs = {u: [x for x in recs if x[1] > 0] for u, recs in theirs.items()}
+    ours = {r["userId"]: [(x["productId"], x["score"]) for x in r["recs"]] for r in als.user_recs(model, 7).collect()}
+    assert set(ours) == {u for u, recs in theirs.items() if recs}
+    for user, recs in ours.items():
+        assert [p for p, _ in recs] == [p for p, _ in theirs[user]]
+        assert all(abs(a - b) < 1e-5 for (_, a), (_, b) in zip(recs, theirs[user]))
+
+
+def test_user_recs_form_no_product_of_tables(spark):
+    model = als.fit(adapters.ratings(spark, SF_SMALL), rank=2, max_iter=1, reg_param=0.1)
+    assert "Cartesian" not in als.user_recs(model, 5)._jdf.queryExecution().toString()
+
+
+def test_sweep_equals_brute_force_over_blocks(spark):
+    rng = np.random.default_rng(3)
+    users, items = (np.round(rng.normal(size=(n, 3)) * 8).astype(np.float32) / 8 for n in (300, 900))  # exact products
+    items[400:800] = items[:400]  # copies tie; the larger id goes first
+    users[7], items[9] = 0, 0
+    frame = lambda m: spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "id int, features array<float>")
+    for item_rows, user_rows in ((None, None), (100, 70)):
+        got = {r["userId"]: [(x["productId"], x["score"]) for x in r["recs"]] for r in sweep.top_k(frame(users), frame(items), 11, item_rows, user_rows).collect()}
+        s = users @ items.T
+        for u in range(len(users)):
+            order = np.lexsort((-np.arange(len(items)), -s[u]))[:11]
+            want = [(int(i), float(s[u, i])) for i in order if s[u, i] > 0]
+            assert [i for i, _ in got.get(u, [])] == [i for i, _ in want]
+            assert np.allclose([x for _, x in got.get(u, [])], [x for _, x in want], atol=1e-5)
+        assert 7 not in got
+
+
+def test_best_items_beyond_the_first_stretch(monkeypatch):
+    monkeypatch.setattr(sweep, "STRETCH", 16)
+    monkeypatch.setattr(sweep, "USERS", 8)
+    rng = np.random.default_rng(5)
+    users, items = (rng.normal(size=(n, 4)).astype(np.float32) for n in (50, 200))
+    row, found, _ = sweep.best_items(users, np.arange(200, dtype=np.int32), items, 20)
+    s = users.astype(float) @ items.astype(float).T
+    for u in range(50):
+        assert list(found[row == u]) == [i for i in np.argsort(-s[u])[:20] if s[u, i] > 0]
