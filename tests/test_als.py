@@ -2,8 +2,11 @@ from collections import defaultdict
 
 import numpy as np
 from conftest import SF_SMALL
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from shelfrank.operators import als, sweep
+from shelfrank.operators import als, similarity, sweep
+from shelfrank.plans import catalog
 from shelfrank.sources import adapters
 
 
@@ -94,3 +97,43 @@ def test_best_items_beyond_the_first_stretch(monkeypatch):
     s = users.astype(float) @ items.astype(float).T
     for u in range(50):
         assert list(found[row == u]) == [i for i in np.argsort(-s[u])[:20] if s[u, i] > 0]
+
+
+def test_similarity_check_moves_no_pairs(spark, monkeypatch):
+    """Pairs were checkpointed and dealt by key several times."""
+    written = []
+    checkpoint = DataFrame.checkpoint
+    monkeypatch.setattr(DataFrame, "checkpoint", lambda self, *a: (written.append(self.columns), checkpoint(self, *a))[1])
+    out = catalog.q_als_item_similarity_check(spark, SF_SMALL)
+    assert out.first().asDict() == {"asymmetric": 0, "below": 0, "differs": 0, "lost": 0}
+    assert not any("simId" in columns for columns in written)
+
+
+def test_similarity_check_counts_faults(spark, monkeypatch):
+    whole = similarity.cosine_similarity
+
+    def faulty(factors):
+        sims = whole(factors).where("NOT (productId = 100 AND simId < 120)")  # lost, and their mirror images alone
+        off = F.when(F.col("productId") == 7, F.col("sim") - 0.7).when(F.col("simId") == 7, F.col("sim") - 0.7).otherwise(F.col("sim"))
+        return sims.select("productId", "simId", off.alias("sim"))
+
+    model = als.fit(adapters.ratings(spark, SF_SMALL), catalog.ALS_RANK, catalog.ALS_ITER, catalog.ALS_REG)
+    # One fit for both: a fit of its own may differ in the last digits.
+    monkeypatch.setattr(als, "fit", lambda *a: model)
+    pairs = whole(als.item_factors(model)).select("productId", "simId").collect()
+    gone = sum(a == 100 and b < 120 for a, b in pairs)
+    seven = sum(7 in (a, b) and not (a == 100 and b < 120) for a, b in pairs)
+    assert gone and seven
+    monkeypatch.setattr(similarity, "cosine_similarity", faulty)
+    out = catalog.q_als_item_similarity_check(spark, SF_SMALL).first()
+    assert out["lost"] == gone and out["asymmetric"] == gone
+    assert out["differs"] == seven and out["below"] == seven
+
+
+def test_unmirrored_equals_plain_join(spark):
+    rows = [(1, 2, 0.7), (2, 1, 0.7), (1, 3, 0.8), (3, 4, 0.9), (4, 3, 0.9 + 1e-12), (5, 6, 0.9), (6, 5, 0.91)]
+    rows += [(7, 8, 0.7), (7, 8, 0.7), (8, 7, 0.7), (9, 10, 0.7), (9, 10, 0.7)]
+    sims = spark.createDataFrame(rows, "productId int, simId int, sim double")
+    groups = sims.select(*similarity.mirror_sums()).groupBy("group").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    assert similarity.unmirrored(sims, groups).first()["asymmetric"] == 5
+    assert groups.where("up = 0 AND down = 0").count() >= 1
