@@ -64,6 +64,9 @@ def test_user_recs_equal_sparks_lists(spark):
     for user, recs in ours.items():
         assert [p for p, _ in recs] == [p for p, _ in theirs[user]]
         assert all(abs(a - b) < 1e-5 for (_, a), (_, b) in zip(recs, theirs[user]))
+    # Floats added in order, so that scores are the model's to the last digit.
+    s = sweep._float_dots(np.array([[1e8, 1, -1e8]], np.float32), np.ones((1, 3), np.float32))
+    assert s[0] == 0
 
 
 def test_user_recs_form_no_product_of_tables(spark):
