@@ -63,8 +63,8 @@ FREQUENT_LEAST = 64
 STAR_ROUNDS = 2
 #: Hash classes of the second order.
 CLASSES = 16
-#: Words whose hashes a task keeps.
-VOCABULARY = 500_000
+#: Words whose hashes a task keeps, some 5 MB; frequent ones come back at once.
+VOCABULARY = 32_000
 
 _ODD = [
     np.uint64(x)

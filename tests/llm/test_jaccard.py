@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import pytest
 
@@ -141,3 +142,17 @@ def test_the_other_orders_remove_candidates(spark):
     assert linked.count() and linked.where("not (meet2 and meet3)").isEmpty()
     kept = {(r.meet2, r.meet3): r["count"] for r in found.groupBy("meet2", "meet3").count().collect()}
     assert all(any(not k[i] for k in kept) for i in (0, 1)), kept
+
+
+def test_kept_words_take_little_memory():
+    """Half a million kept words took some 100 MB in each of an executor's workers."""
+    tracemalloc.start()
+    try:
+        words = jaccard._Words()
+        for i in range(200_000):
+            words[b"word%07d" % i]
+        taken = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert taken < 10e6
+    assert words[b"word0000003"] == jaccard._Words()[b"word0000003"]
