@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -147,32 +148,58 @@ class Model:
         self.langs, self.step, self.cost = langs, step, cost
 
 
-def build_model(rows: list[tuple[str, int, int, int, int]]) -> Model | None:
+def build_model(rows: pa.Table | list[tuple[str, int, int, int, int]]) -> Model | None:
     """Model from (lang, order, context, symbol, count) rows whose contexts form
-    a closed tree; None without rows."""
-    if not rows:
+    a closed tree; None without rows.
+
+    The driver holds the rows, the model itself and the probabilities of a context
+    and those it comes from, not all contexts' counts and probabilities at once."""
+    if not len(rows):
         return None
-    langs = sorted({r[0] for r in rows})
-    contexts = sorted({(r[1], r[2]) for r in rows} | {(0, 0)})
-    index = {c: i for i, c in enumerate(contexts)}
-    where = {lang: i for i, lang in enumerate(langs)}
-    counts = np.zeros((len(contexts), 256, len(langs)))
-    for lang, order, ctx, sym, n in rows:
-        counts[index[order, ctx], sym, where[lang]] += n
-    prob = np.empty(counts.shape)
+    if not isinstance(rows, pa.Table):
+        rows = pa.table([pa.array(c) for c in zip(*rows)], names=_COUNTS.fieldNames())
+    lang = pc.dictionary_encode(rows.column("lang").combine_chunks())
+    names = lang.dictionary.to_pylist()
+    langs = sorted(names)
+    where = np.array([langs.index(name) for name in names])[lang.indices.to_numpy()]
+    order, ctx, sym, n = (rows.column(c).to_numpy() for c in ("ctx_order", "ctx", "sym", "n"))
+    # One number per context, shorter ones first.
+    mixed = (order.astype(np.int64) << 8 * MAX_ORDER) | ctx
+    contexts = np.union1d(mixed, [0])
+    orders, codes = contexts >> 8 * MAX_ORDER, contexts & ((1 << 8 * MAX_ORDER) - 1)
+    cell = np.searchsorted(contexts, mixed)
+    by_context = np.argsort(cell, kind="stable")
+    edge = np.searchsorted(cell[by_context], np.arange(len(contexts) + 1))
+
+    def number(orders: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        wanted = (orders << 8 * MAX_ORDER) | codes
+        at = np.searchsorted(contexts, wanted)
+        if not np.array_equal(contexts[at], wanted):
+            raise ValueError("the contexts are not a closed tree")
+        return at
+
     step = np.zeros((len(contexts), 256), np.int32)
-    for i, (order, ctx) in enumerate(contexts):  # shorter contexts come first
-        parent = index[order - 1, ctx & ((1 << 8 * (order - 1)) - 1)] if order else None
-        lower = prob[parent] if order else np.full((256, len(langs)), 1 / 256)
-        total, kinds = counts[i].sum(0), (counts[i] > 0).sum(0)
+    for k in range(MAX_ORDER + 1):
+        at = np.flatnonzero(orders == k)
+        if k:
+            step[at] = step[number(orders[at] - 1, codes[at] & ((1 << 8 * (k - 1)) - 1))]
+        longer = np.flatnonzero(orders == k + 1)
+        step[number(orders[longer] - 1, codes[longer] >> 8), codes[longer] & 255] = longer
+    cost = np.empty((len(contexts), 256, len(langs)), np.float32)
+    # Contexts behind the one that lacks their first byte: by bytes, last one first.
+    back = [bytes(int(codes[i]).to_bytes(MAX_ORDER, "little")[: orders[i]]) for i in range(len(contexts))]
+    prob = np.empty((MAX_ORDER + 1, 256, len(langs)))
+    for i in sorted(range(len(contexts)), key=back.__getitem__):
+        mine = by_context[edge[i] : edge[i + 1]]
+        counts = np.zeros((256, len(langs)))
+        np.add.at(counts, (sym[mine], where[mine]), n[mine])
+        lower = prob[orders[i] - 1] if orders[i] else np.full((256, len(langs)), 1 / 256)
+        total, kinds = counts.sum(0), (counts > 0).sum(0)
         seen = np.where(total > 0, total + kinds, 1)
         escape = np.where(total > 0, kinds / seen, 1.0)
-        prob[i] = np.where(counts[i] > 0, counts[i] / seen, escape * lower)
-        for byte in range(256):
-            longer = (order + 1, (ctx << 8) | byte)
-            step[i, byte] = index[longer] if longer in index else step[parent, byte] if order else index.get((1, byte), 0)
-    cost = -np.log2(prob).reshape(-1, len(langs))
-    return Model(langs, step.reshape(-1), cost.astype(np.float32))
+        prob[orders[i]] = np.where(counts > 0, counts / seen, escape * lower)
+        cost[i] = -np.log2(prob[orders[i]])
+    return Model(langs, step.reshape(-1), cost.reshape(-1, len(langs)))
 
 
 def _paying(counts: DataFrame, share: float) -> DataFrame:
@@ -190,13 +217,12 @@ def _paying(counts: DataFrame, share: float) -> DataFrame:
     worth = worth.groupBy("lang", "ctx_order", "ctx").agg(F.sum(F.col("n") * (F.col("_bits") - F.col("bits"))).alias("saved"))
     plain = known.where("ctx_order = 0").groupBy("lang").agg(F.greatest(F.lit(LEAST_BITS), share * F.sum(F.col("n") * F.col("bits"))).alias("least"))
     kept = worth.join(plain, "lang").where(F.col("saved") >= F.col("least")).select("lang", "ctx_order", "ctx").checkpoint()
-    # Prefixes and suffixes of a context of k bytes: k rounds at most.
-    closed = kept
-    for _ in range(MAX_ORDER):
-        longer = kept.where("ctx_order > 0")
-        first = F.shiftright("ctx", 8)
-        kept = longer.select("lang", F.explode(F.array(first, low)).alias("ctx"), (F.col("ctx_order") - 1).alias("ctx_order")).distinct()
-        closed = closed.unionByName(kept)
+    # All runs of a context's bytes, itself included.
+    runs = F.expr(
+        "flatten(transform(sequence(1, ctx_order), k -> transform(sequence(0, ctx_order - k), i -> "
+        "struct(k as ctx_order, shiftright(ctx, 8 * i) & (shiftleft(1L, 8 * k) - 1) as ctx))))"
+    )
+    closed = kept.select("lang", F.explode(runs).alias("run")).select("lang", "run.ctx_order", "run.ctx")
     roots = counts.select("lang").distinct().select("lang", F.lit(0).alias("ctx_order"), F.lit(0).cast("long").alias("ctx"))
     return closed.unionByName(roots).distinct()
 
@@ -211,8 +237,8 @@ def train(docs: DataFrame, per_lang: int = SAMPLE_DOCS, share: float = SAVED_SHA
         .agg(F.sum("n").alias("n"))
         .checkpoint()
     )
-    rows = counts.join(_paying(counts, share), ["lang", "ctx_order", "ctx"]).select(*_COUNTS.fieldNames()).collect()
-    return build_model([tuple(r) for r in rows])
+    rows = counts.join(_paying(counts, share), ["lang", "ctx_order", "ctx"]).select(*_COUNTS.fieldNames())
+    return build_model(rows.toArrow())
 
 
 def code_lengths(model: Model, docs: list[bytes]) -> np.ndarray:

@@ -1,9 +1,11 @@
 import math
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shelfrank.llm import langid
 
@@ -137,3 +139,20 @@ def test_other_languages_change_nothing(spark):
     among = langid.train(docs, 40)
     a, b = langid.code_lengths(alone, raw), langid.code_lengths(among, raw)
     assert len(among.langs) > 1 and np.allclose(a[:, 0], b[:, among.langs.index(one)], rtol=1e-5)
+
+
+def test_model_is_built_in_little_memory(spark):
+    counts = langid.training_sample(spark.read.parquet(f"{SF}/documents.parquet"), 60).mapInArrow(
+        langid._count_contexts, langid._COUNTS
+    )
+    counts = counts.groupBy("lang", "ctx_order", "ctx", "sym").agg(F.sum("n").alias("n")).checkpoint()
+    paying = langid._paying(counts, langid.SAVED_SHARE)
+    assert paying._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") == 1  # not one a round
+    rows = counts.join(paying, ["lang", "ctx_order", "ctx"]).select(*langid._COUNTS.fieldNames()).toArrow()
+    tracemalloc.start()
+    built = langid.build_model(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * (built.step.nbytes + built.cost.nbytes)
+    again = langid.build_model([tuple(r.values()) for r in rows.to_pylist()])
+    assert built.langs == again.langs and np.array_equal(built.step, again.step) and np.array_equal(built.cost, again.cost)
