@@ -477,8 +477,10 @@ def links(nodes: DataFrame) -> DataFrame:
             pairs = pairs.join(old, ["a", "b"], "left_anti")
         pairs = pairs.checkpoint()
         tried.append(pairs)
-        found.append(_verified(pairs, nodes).checkpoint())
-        label = components(reduce(DataFrame.unionByName, found))
+        new = _verified(pairs, nodes).checkpoint()
+        if label is None or not new.isEmpty():  # else the components are as they were
+            found.append(new)
+            label = components(reduce(DataFrame.unionByName, found))
 
     def placed() -> DataFrame:
         if label is None:

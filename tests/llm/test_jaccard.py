@@ -156,3 +156,17 @@ def test_kept_words_take_little_memory():
         tracemalloc.stop()
     assert taken < 10e6
     assert words[b"word0000003"] == jaccard._Words()[b"word0000003"]
+
+
+def test_nodes_are_labelled_again_only_after_new_links(spark, monkeypatch):
+    """Each labelling takes some twenty jobs, whose plans and broadcasts the driver holds."""
+    calls, label = [], jaccard.components
+    monkeypatch.setattr(jaccard, "components", lambda links: calls.append(1) or label(links))
+    base = [f"w{i}" for i in range(60)]
+    near = [(i, " ".join([*base[:i], f"x{i}", *base[i + 1 :]])) for i in range(0, 60, 59)]  # ends: a shingle each
+    rows = [*near, (70, " ".join(base)), (71, "one two three four five six seven")]
+    assert run(spark, rows) == brute(rows)
+    assert len(calls) == 1
+    del calls[:]
+    assert run(spark, rows[3:]) == brute(rows[3:])  # no links at all
+    assert len(calls) == 1
