@@ -6,7 +6,7 @@ import pytest
 from conftest import SF_SMALL, rows
 from pyspark.sql import functions as F
 
-from shelfrank.operators import blocked, cooccur, impact, pivots, similarity, waves
+from shelfrank.operators import blocked, cooccur, impact, packed, pivots, similarity, waves
 from shelfrank.sources import adapters
 
 
@@ -351,3 +351,68 @@ def test_cooccurrence_joins_counts_before_pairs(spark):
         assert rows(cooccur.scored(pairs, n_item, 1)) == rows(cooccur.scored(cooccur.pair_counts(up, heavy), n_item, 1))
         joins = pairs._jdf.queryExecution().optimizedPlan().toString().count("Join Inner")
         assert heavy == 20 or joins <= 3  # users' pairs, and the counts on each side
+
+
+def test_packed_lists_come_back():
+    rng = np.random.default_rng(2)
+    size = np.append([0, 0], rng.integers(0, 30, 50))
+    ids = np.concatenate([np.sort(rng.choice(2**32 - 1, n, replace=False) - 2**31) for n in size]).astype(np.int64)
+    codes = rng.integers(0, 1 << rng.integers(1, 40), len(ids))
+    data, ends = packed.encode(ids, codes, size)
+    back, code, row = packed.decode(data, ends)
+    assert (back == ids).all() and (code == codes).all() and (row == np.repeat(np.arange(len(size)), size)).all()
+
+
+def test_best_rows_keep_all_that_rounding_may_rank():
+    """Ties by position, and scores that engines may round up or down."""
+    half = 0.5000000015  # between two rounded values
+    score = np.array([0.2, 0.9, 0.2, 0.2, half, 0.500000001, 0.500000002, 0.1])
+    assert packed.best_rows(np.zeros(8, int), score, 1).tolist() == [1]
+    assert packed.best_rows(np.repeat([0, 4], 4), score, 2).tolist()[:2] == [1, 0]
+    assert {4, 5, 6} <= set(packed.best_rows(np.repeat([0, 3], 4), score, 2).tolist())
+
+
+def _counted(data, k, support):
+    users = defaultdict(set)
+    for u, p in data:
+        users[u].add(p)
+    n = Counter(p for _, p in set(data) if p is not None)
+    pairs = Counter((a, b) for u, s in users.items() if u is not None for a in s for b in s if None not in (a, b) and a != b)
+    out = defaultdict(list)
+    for (a, b), c in pairs.items():
+        if c >= support:
+            out[a].append((-round(c / math.sqrt(n[a] * n[b]), 9), b))
+    return {a: [b for _, b in sorted(v)[:k]] for a, v in out.items()}
+
+
+@pytest.mark.parametrize("heavy,hot,entries,meet", [(1000, 4096, 1 << 25, 1 << 19), (1000, 4096, 300, 40), (1000, 8, 300, 40), (20, 4096, 300, 1 << 19), (6, 8, 100, 10)])
+def test_best_pairs_by_lists(spark, heavy, hot, entries, meet):
+    """Many and few blocks; products of many users, users of many products, null
+    ids, negative ids and ties."""
+    rng = np.random.default_rng(heavy + hot)
+    data = [(int(u), int(p) - 40) for u, p in zip(rng.integers(0, 60, 500), rng.integers(0, 90, 500) ** 2 // 90)]
+    data += [(99, p) for p in range(-40, 10)] + [(None, 3), (None, -7), (5, None), (6, None)]
+    df = spark.createDataFrame(data, "userId int, productId int")
+    up = df.distinct()
+    n_item = up.groupBy("productId").agg(F.count("*").alias("n"))
+    for support in (1, 2):
+        best = similarity.rank_similar(cooccur.top_pairs(up, n_item, 4, support, heavy, hot, entries, meet), 4)
+        got = defaultdict(list)
+        for r in best.orderBy("productId", "rank").collect():
+            got[r.productId].append(r.simId)
+        assert dict(got) == _counted(data, 4, support)
+
+
+def test_itemcf_deals_out_no_row_per_pair(spark):
+    """120 users of 40 products each: 93,600 pairs, of which a product keeps 5."""
+    rng = np.random.default_rng(1)
+    data = [(u, int(p), 1.0) for u in range(120) for p in rng.choice(2000, 40, replace=False)]
+    df = spark.createDataFrame(data, "userId int, productId int, score double")
+    out = similarity.cooccurrence_similarity(df, k=5)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    before = plan[plan.index("WindowGroupLimit") :]
+    assert "SortMergeJoin" not in before.split("MapInArrow")[0] and "BroadcastHashJoin" not in before.split("MapInArrow")[0]
+    got = defaultdict(list)
+    for r in out.orderBy("productId", "rank").collect():
+        got[r.productId].append(r.simId)
+    assert dict(got) == _counted([d[:2] for d in data], 5, 1)
