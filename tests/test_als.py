@@ -140,3 +140,60 @@ def test_unmirrored_equals_plain_join(spark):
     groups = sims.select(*similarity.mirror_sums()).groupBy("group").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
     assert similarity.unmirrored(sims, groups).first()["asymmetric"] == 5
     assert groups.where("up = 0 AND down = 0").count() >= 1
+
+
+def test_fit_leaves_few_shuffles_and_equals_sparks_own(spark):
+    """Checkpoints let Spark drop the factors shuffled before them, and change none."""
+    from pyspark.ml.recommendation import ALS
+
+    ratings = adapters.ratings(spark, SF_SMALL).select("userId", "productId", F.col("score").cast("float").alias("score"))
+    plain = ALS(rank=3, maxIter=6, regParam=0.1, userCol="userId", itemCol="productId", ratingCol="score", coldStartStrategy="drop", seed=42).fit(ratings)
+    model = als.fit(ratings, rank=3, max_iter=6, reg_param=0.1)
+    known = lambda m: {r["id"]: list(r["features"]) for r in m.itemFactors.collect()}
+    ours, theirs = known(model), known(plain)
+    assert ours.keys() == theirs.keys()
+    assert all(abs(x - y) < 1e-4 for i in ours for x, y in zip(ours[i], theirs[i]))
+
+
+def _params(monkeypatch):
+    """The parameters that `als.fit` gives Spark's ALS, which then does not run."""
+    given, real = [], als.ALS
+
+    class Told(real):
+        def fit(self, dataset):
+            given.append({p.name: v for p, v in self.extractParamMap().items()})
+
+    monkeypatch.setattr(als, "ALS", Told)
+    return given
+
+
+def test_blocks_of_large_inputs_hold_a_bounded_number_of_ratings(spark, monkeypatch):
+    given = _params(monkeypatch)
+    ratings = spark.range(1000).selectExpr("cast(id % 50 as int) userId", "cast(id as int) productId", "1.0 score")
+    als.fit(ratings, 2, 2, 0.1)
+    monkeypatch.setattr(als, "BLOCK_RATINGS", 30)
+    als.fit(ratings, 2, 2, 0.1)
+    assert [(g["numUserBlocks"], g["numItemBlocks"], g["checkpointInterval"]) for g in given] == [(10, 10, 2), (34, 34, 1)]
+    assert (given[0]["rank"], given[0]["maxIter"], given[0]["regParam"], given[0]["seed"]) == (2, 2, 0.1, 42)
+
+
+def test_grid_keeps_its_tables_on_disk_and_few_fits_of_large_ones(spark, monkeypatch):
+    lab = als.hash_split(adapters.ratings(spark, SF_SMALL))
+    train, test = lab.where("split = 'train'"), lab.where("split = 'test'")
+    running, most, levels = [], [], []
+    fit = als.fit
+
+    def counted(data, *a):
+        running.append(1)
+        most.append(len(running))
+        levels.append(data.storageLevel)
+        try:
+            return fit(data, *a)
+        finally:
+            running.pop()
+
+    monkeypatch.setattr(als, "fit", counted)
+    monkeypatch.setattr(als, "GRID_RATINGS", 2 * train.count() - 1)
+    grid = als.grid_search(train, test, (2, 3), (0.1,), max_iter=2).collect()
+    assert len(grid) == 2 and max(most) == 1
+    assert all(x.useDisk and not x.useMemory for x in levels)
