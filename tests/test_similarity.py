@@ -416,3 +416,77 @@ def test_itemcf_deals_out_no_row_per_pair(spark):
     for r in out.orderBy("productId", "rank").collect():
         got[r.productId].append(r.simId)
     assert dict(got) == _counted([d[:2] for d in data], 5, 1)
+
+
+@pytest.mark.parametrize("least", [2048, 20])
+def test_ranked_lists_equal_ranked_pairs(spark, monkeypatch, least):
+    """Lists made in tasks, of one block and of several that pivots prune, are those
+    that dealing out all pairs gives; ids may be negative, cosines too."""
+    from shelfrank.operators.topk import rank_all
+
+    monkeypatch.setattr(blocked, "LEAST_BLOCK_ROWS", least)
+    vecs = {i - 100: v for i, v in _clustered(6, 40, 8).items()}
+    vecs |= {500 + i: vecs[i - 100] for i in range(12)} | {999: np.zeros(8)}  # ties
+    f = factor_df(spark, vecs)
+    for threshold in (0.6, -0.3):
+        got = rows(similarity.ranked_cosines(f, threshold).select("productId", "rank", "simId", "sim"))
+        pairs = similarity.cosine_similarity(f, threshold)
+        want = rank_all(pairs, "productId", [F.round("sim", 9).desc(), F.col("simId").asc()])
+        assert got == rows(want.select("productId", "rank", "simId", "sim")) and len(got) > 100
+    assert similarity.ranked_cosines(f.limit(0)).count() == 0
+
+
+def test_ranked_cosines_deal_out_vectors_and_no_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    f = factor_df(spark, {i: rng.normal(size=8) for i in range(300)})
+    ranked = similarity.ranked_cosines(f, 0.1)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.split("MapInArrow")[0] and "Sort" not in plan
+    monkeypatch.setattr(pivots, "LIST_CELLS", 100)  # too many vectors for a task
+    assert rows(similarity.ranked_cosines(f, 0.1)) == rows(ranked)
+
+
+def test_rank_keys_round_as_spark_does(spark):
+    rng = np.random.default_rng(6)
+    values = [0.0, 1.0, -1.0, 0.1234567885, -0.1234567885, 0.5000000015, 0.9999999995, 1.0000000000000002]
+    values += (np.round(rng.uniform(-1, 1, 200), 9) + 5e-10).tolist() + rng.uniform(-1, 1, 200).tolist()
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    want = [r.v for r in df.select(F.round("v", 9).alias("v")).collect()]
+    assert (pivots._rank_keys(np.array(values)) / 1e9).tolist() == want
+
+
+def test_pages_of_runs_need_no_shuffle(spark):
+    """Pages of lists that lie in order, over batches and pages, and of torn lists."""
+    from shelfrank.operators import topk
+
+    data = [(p, s, 1.0 / (s + 1), s + 1) for p in range(7) for s in range(3 * p)]
+    for cut in (len(data), 11):  # the second part begins within a list
+        df = spark.createDataFrame(data[:cut], "productId int, simId int, sim double, rank int").coalesce(1)
+        if cut < len(data):
+            df = df.unionByName(spark.createDataFrame(data[cut:], df.schema).coalesce(1))
+        old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+        try:
+            paged = topk.nest(df, "productId", "simId", "sim", rank_col="rank", page_size=5, runs=True)
+            assert "Exchange" not in paged._jdf.queryExecution().executedPlan().toString()
+            whole = topk.nest(df, "productId", "simId", "sim", rank_col="rank", page_size=5)
+            assert paged.schema == whole.schema or paged.columns == whole.columns
+            if cut == len(data):
+                assert rows(paged) == rows(whole)
+            assert max(len(r.recs) for r in paged.collect()) <= 5
+            assert rows(topk.unnest(paged, "productId")) == sorted((p, r, s, v) for p, s, v, r in data)
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_similarity_queries_deal_out_no_pairs(spark, monkeypatch):
+    """product_recs_nested, sim_map and the table of stream_recs: no pair is written
+    to be ranked."""
+    from shelfrank.operators import topk
+    from shelfrank.plans import catalog
+
+    monkeypatch.setattr(topk, "rank_all", None)
+    monkeypatch.setattr(similarity, "rank_all", None)
+    for query in (catalog.q_product_recs_nested, catalog.q_sim_map):
+        plan = query(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan.split("MapInArrow")[0]
