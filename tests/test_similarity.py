@@ -490,3 +490,14 @@ def test_similarity_queries_deal_out_no_pairs(spark, monkeypatch):
     for query in (catalog.q_product_recs_nested, catalog.q_sim_map):
         plan = query(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan.split("MapInArrow")[0]
+
+
+def test_vectors_of_one_id_have_one_list(spark):
+    rng = np.random.default_rng(9)
+    f = factor_df(spark, {i: rng.normal(size=6) for i in range(60)})
+    twice = f.unionByName(f.where("id < 9")).unionByName(factor_df(spark, {3: rng.normal(size=6)}))
+    got = similarity.ranked_cosines(twice, 0.2)
+    want = similarity.rank_similar(similarity.cosine_similarity(twice, 0.2))
+    part = lambda df: rows(df.select("productId", "rank", F.round("sim", 9)))
+    assert part(got) == part(want)
+    assert got.select("productId", "rank").distinct().count() == got.count()
